@@ -1,7 +1,10 @@
-"""Distances in metres as Column expressions."""
+"""Distances in metres, as SQL text and as Columns."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, functions as F
 
 # Mean earth radius and the WGS-84 ellipsoid.
@@ -14,25 +17,52 @@ WGS84_ECC2 = WGS84_FLATTENING * (2 - WGS84_FLATTENING)
 MIN_DEGREE_M = 110_500.0
 
 
-def haversine_m(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:
-    """Great-circle distance on a sphere."""
-    s_lat = F.sin(F.radians(lat_b - lat_a) / 2)
-    s_lon = F.sin(F.radians(lon_b - lon_a) / 2)
-    chord = s_lat * s_lat + F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * s_lon * s_lon
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(chord))
+@dataclass(frozen=True)
+class Metric:
+    """A distance, and coordinates in space whose straight lines rank positions like it.
+
+    Both are SQL over the SQL of latitudes and longitudes in degrees. Over the spans
+    between a bus and its stops the ranks agree to well below a millimetre.
+    """
 
+    distance: Callable[[str, str, str, str], str]
+    place: Callable[[str, str], tuple[str, str, str]]
 
-def geodistance_m(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:
-    """Ellipsoidal distance from the radii of curvature at the middle latitude.
 
-    Within a city this is within millimetres of the geodesic.
-    """
-    mid = F.radians((lat_a + lat_b) / 2)
-    span = lon_b - lon_a
-    span = F.when(F.abs(span) > 180, span - F.signum(span) * 360).otherwise(span)
-    w = 1 - F.lit(WGS84_ECC2) * F.sin(mid) * F.sin(mid)
-    prime_vertical = F.lit(WGS84_MAJOR_M) / F.sqrt(w)
-    meridian = prime_vertical * F.lit(1 - WGS84_ECC2) / w
-    north = meridian * F.radians(lat_b - lat_a)
-    east = prime_vertical * F.cos(mid) * F.radians(span)
-    return F.sqrt(north * north + east * east)
+def _haversine(lat_a: str, lon_a: str, lat_b: str, lon_b: str) -> str:
+    chord = (f"pow(sin(radians({lat_b} - {lat_a}) / 2), 2) + cos(radians({lat_a})) "
+             f"* cos(radians({lat_b})) * pow(sin(radians({lon_b} - {lon_a}) / 2), 2)")
+    return f"({2 * EARTH_RADIUS_M}D * asin(sqrt({chord})))"
+
+
+def _geodistance(lat_a: str, lon_a: str, lat_b: str, lon_b: str) -> str:
+    mid = f"radians(({lat_a} + {lat_b}) / 2)"
+    w = f"(1 - {WGS84_ECC2!r}D * pow(sin({mid}), 2))"
+    north = f"{1 - WGS84_ECC2!r}D / {w} * radians({lat_b} - {lat_a})"
+    east = f"cos({mid}) * radians({lon_b} - {lon_a})"
+    return f"({WGS84_MAJOR_M}D * sqrt((pow({north}, 2) + pow({east}, 2)) / {w}))"
+
+
+def _place(radius_m: float, ecc2: float) -> Callable[[str, str], tuple[str, str, str]]:
+    def place(lat: str, lon: str) -> tuple[str, str, str]:
+        normal = f"{radius_m}D / sqrt(1 - {ecc2!r}D * pow(sin(radians({lat})), 2))"
+        flat = f"{normal} * cos(radians({lat}))"
+        return (f"{flat} * cos(radians({lon}))", f"{flat} * sin(radians({lon}))",
+                f"{normal} * {1 - ecc2!r}D * sin(radians({lat}))")
+    return place
+
+
+# Great-circle distance on a sphere.
+HAVERSINE = Metric(_haversine, _place(EARTH_RADIUS_M, 0.0))
+
+# Ellipsoidal distance from the radii of curvature at the middle latitude. Within a city
+# this is within millimetres of the geodesic.
+GEODISTANCE = Metric(_geodistance, _place(WGS84_MAJOR_M, WGS84_ECC2))
+
+
+def haversine_m(lat_a: str, lon_a: str, lat_b: str, lon_b: str) -> Column:
+    return F.expr(HAVERSINE.distance(lat_a, lon_a, lat_b, lon_b))
+
+
+def geodistance_m(lat_a: str, lon_a: str, lat_b: str, lon_b: str) -> Column:
+    return F.expr(GEODISTANCE.distance(lat_a, lon_a, lat_b, lon_b))

@@ -1,4 +1,7 @@
-"""Timetable and calendar arithmetic on integer seconds."""
+"""Timetable and calendar arithmetic on integer seconds.
+
+Functions take the SQL of their argument, usually a column name.
+"""
 
 from __future__ import annotations
 
@@ -7,46 +10,44 @@ from pyspark.sql import Column, functions as F
 from ..settings import DAY_S
 
 
-def service_seconds(text: Column) -> Column:
+def service_seconds(text: str) -> Column:
     """``H:M:S`` to seconds since service midnight; the hour may pass 23. Malformed gives null."""
-    parts = F.split(F.trim(text), ":")
-    h, m, s = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
-    valid = (F.size(parts) == 3) & (h >= 0) & m.between(0, 59) & s.between(0, 59)
-    return F.when(valid, h * 3600 + m * 60 + s)
+    return F.expr(f"""get(transform(
+        array(transform(split(trim({text}), ':'), p -> try_cast(p AS int))),
+        t -> CASE WHEN size(t) = 3 AND t[0] >= 0 AND t[1] BETWEEN 0 AND 59
+                  AND t[2] BETWEEN 0 AND 59 THEN t[0] * 3600 + t[1] * 60 + t[2] END), 0)""")
 
 
-def same_day_seconds(service_s: Column) -> Column:
+def same_day_seconds(service_s: str) -> Column:
     """Seconds after the midnight of the ping's own day: hours past 23 fall on the next day."""
-    return F.when(service_s >= DAY_S, F.lit(DAY_S) + service_s % DAY_S).otherwise(service_s)
+    return F.expr(f"if({service_s} >= {DAY_S}, {DAY_S} + {service_s} % {DAY_S}, {service_s})")
 
 
-def clock_text(seconds: Column) -> Column:
+def clock_text(seconds: str) -> Column:
     """Seconds since some midnight as ``HH:MM:SS`` on a 24 hour clock."""
-    s = F.pmod(seconds.cast("int"), F.lit(DAY_S))
-    return F.format_string("%02d:%02d:%02d",
-                           F.floor(s / 3600).cast("int"),
-                           (F.floor(s / 60) % 60).cast("int"),
-                           (s % 60).cast("int"))
+    s = f"pmod(CAST({seconds} AS int), {DAY_S})"
+    return F.expr(f"""CASE WHEN {seconds} IS NOT NULL THEN format_string('%02d:%02d:%02d',
+        {s} DIV 3600, {s} DIV 60 % 60, {s} % 60) END""")
 
 
-def parse_feed_time(text: Column) -> Column:
+def parse_feed_time(text: str) -> Column:
     """Feed time ``yyyy-MM-dd HH:mm:ss``; anything else gives null."""
-    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
+    return F.expr(f"try_to_timestamp({text}, 'yyyy-MM-dd HH:mm:ss')")
 
 
-def second_of_day(epoch_s: Column) -> Column:
-    return F.pmod(epoch_s, F.lit(DAY_S))
+def second_of_day_sql(epoch_s: str) -> str:
+    return f"pmod({epoch_s}, {DAY_S})"
 
 
-def day_start(epoch_s: Column) -> Column:
-    return F.floor(epoch_s / DAY_S) * DAY_S
+def day_start_sql(epoch_s: str) -> str:
+    return f"(floor({epoch_s} / {DAY_S}) * {DAY_S})"
 
 
-def calendar_features(ts: Column) -> dict[str, Column]:
+def calendar_features(ts: str) -> dict[str, Column]:
     """Hour, minute, weekday (Sunday is -1) and minute of the day."""
     return {
-        "hour": F.hour(ts),
-        "minute": F.minute(ts),
-        "weekday": F.dayofweek(ts) - 2,
-        "time_of_day": F.hour(ts) * 60 + F.minute(ts),
+        "hour": F.expr(f"hour({ts})"),
+        "minute": F.expr(f"minute({ts})"),
+        "weekday": F.expr(f"dayofweek({ts}) - 2"),
+        "time_of_day": F.expr(f"hour({ts}) * 60 + minute({ts})"),
     }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.geo import geodistance_m
 from ..functions.labels import eta_seconds
-from ..functions.times import day_start, second_of_day
+from ..functions.times import day_start_sql, second_of_day_sql
 from ..settings import ARRIVAL_RADIUS_M, PREDICTION_AGE_S, SEGMENT_S
 from .asof import match_schedule, nearest_intervals
 from .joins import join_dimension
@@ -48,7 +48,7 @@ def back_project(advanced: DataFrame, geometry: DataFrame) -> DataFrame:
         F.col("stop_lon").alias("passed_lon"))
     found = join_dimension(advanced, passed, ["direction_id", "passed_sequence"],
                            salt_on=["codBus", "event_s"])
-    metres = geodistance_m(F.col("lat"), F.col("lon"), F.col("passed_lat"), F.col("passed_lon"))
+    metres = geodistance_m("lat", "lon", "passed_lat", "passed_lon")
     return found.withColumn(
         "arrival_s", F.col("event_s") - eta_seconds(metres, F.col("speed_mps"))
     ).drop("passed_lat", "passed_lon")
@@ -64,9 +64,9 @@ def actual_delay(projected: DataFrame, schedule: DataFrame, *, strict: bool = Fa
     owned = nearest_intervals(schedule, by, **asof_options)
     matched = match_schedule(
         projected, owned.withColumnRenamed("scheduled_s", "_due_s"),
-        {"stop_id": F.col("passed_stop_id"), "direction_id": F.col("direction_id")},
-        second_of_day(F.col("arrival_s")))
-    late = F.col("arrival_s") - (day_start(F.col("arrival_s")) + F.col("_due_s"))
+        {"stop_id": "passed_stop_id", "direction_id": "direction_id"},
+        second_of_day_sql("arrival_s"))
+    late = F.expr(f"arrival_s - ({day_start_sql('arrival_s')} + _due_s)")
     if not strict:
         late = F.coalesce(late, F.lit(0.0))
     return matched.withColumn("actual_delay", late).drop("_due_s")

@@ -4,39 +4,38 @@ Each distinct scheduled time of a stop owns the interval of seconds it answers f
 Intervals of one key do not overlap, so a join on (key, time bucket) with the interval
 as residual gives at most one match per row and no ranking is needed.
 
-Result columns: ``scheduled_s``, seconds after the midnight of the row's own day.
+Result column: ``scheduled_s``, seconds after the midnight of the row's own day.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from ..functions.times import same_day_seconds
 from ..settings import ASOF_BUCKET_S, BROADCAST_ROWS, DAY_S, SALTS, SCHEDULE_HORIZON_S
-from .joins import join_dimension
+from .joins import Dimension, join_dimension
 from .timetable import service_times
 
 
 def _candidates(schedule: DataFrame, by: list[str], service_day: str) -> DataFrame:
     times = service_times(schedule, by)
     if service_day == "reference":
-        moment = times.select(*by, same_day_seconds(F.col("service_s")).alias("scheduled_s"))
+        moments = times.select(*by, same_day_seconds("service_s").alias("scheduled_s"))
     elif service_day == "adjacent":
-        shifts = F.array(*[F.lit(d * DAY_S) for d in (-1, 0, 1)])
-        moment = times.select(*by, F.explode(F.transform(
-            shifts, lambda d: F.col("service_s") + d)).alias("scheduled_s"))
+        moments = times.selectExpr(
+            *by, f"explode(array(service_s - {DAY_S}, service_s, service_s + {DAY_S})) "
+                 "AS scheduled_s")
     else:
         raise ValueError(f"unknown service_day {service_day!r}")
-    return moment.distinct()
+    return moments.distinct()
 
 
 def _bucketed(intervals: DataFrame, bucket_s: int) -> DataFrame:
     """Clip to one day and repeat each interval once per bucket it touches."""
-    low = F.greatest(F.col("own_from"), F.lit(0.0))
-    high = F.least(F.col("own_to"), F.col("own_before"), F.lit(DAY_S - 0.000001))
-    return (intervals.filter(low <= high)
-            .withColumn("bucket", F.explode(F.sequence(
-                F.floor(low / bucket_s), F.floor(high / bucket_s)))))
+    low = "greatest(own_from, 0D)"
+    high = f"least(own_to, own_before, {DAY_S - 0.000001}D)"
+    return intervals.filter(f"{low} <= {high}").selectExpr(
+        "*", f"explode(sequence(floor({low} / {bucket_s}), floor({high} / {bucket_s}))) AS bucket")
 
 
 def nearest_intervals(schedule: DataFrame, by: list[str], *,
@@ -45,16 +44,15 @@ def nearest_intervals(schedule: DataFrame, by: list[str], *,
                       bucket_s: int = ASOF_BUCKET_S) -> DataFrame:
     """Seconds for which each time is the nearest, strictly within the horizon. A tie
     belongs to the earlier time."""
-    w = Window.partitionBy(*by).orderBy("scheduled_s")
-    t = F.col("scheduled_s")
-    middle_before = (F.lag(t).over(w) + t) / 2.0
-    middle_after = (t + F.lead(t).over(w)) / 2.0
-    reach = float(horizon_s) if horizon_s is not None else 3.0 * DAY_S
-    owned = _candidates(schedule, by, service_day).select(
+    over = f"OVER (PARTITION BY {', '.join(by)} ORDER BY scheduled_s)"
+    reach = horizon_s if horizon_s is not None else 3 * DAY_S
+    owned = _candidates(schedule, by, service_day).selectExpr(
         *by, "scheduled_s",
-        F.greatest(F.coalesce(middle_before, t - reach), t - reach).alias("own_from"),
-        F.coalesce(middle_after, t + reach).alias("own_to"),
-        (t + reach).alias("own_before"),
+        f"CAST(greatest((lag(scheduled_s) {over} + scheduled_s) / 2, "
+        f"scheduled_s - {reach}) AS double) AS own_from",
+        f"CAST(coalesce((scheduled_s + lead(scheduled_s) {over}) / 2, "
+        f"scheduled_s + {reach}) AS double) AS own_to",
+        f"CAST(scheduled_s + {reach} AS double) AS own_before",
     )
     return _bucketed(owned, bucket_s)
 
@@ -66,25 +64,24 @@ def next_intervals(schedule: DataFrame, by: list[str], *, wrap: bool = False,
     time of the day, one day later, serves the seconds after the last."""
     times = _candidates(schedule, by, service_day)
     if wrap:
-        first = (times.groupBy(*by).agg(F.min("scheduled_s").alias("scheduled_s"))
-                 .withColumn("scheduled_s", F.col("scheduled_s") + DAY_S))
+        first = times.groupBy(*by).agg({"scheduled_s": "min"}).selectExpr(
+            *by, f"`min(scheduled_s)` + {DAY_S} AS scheduled_s")
         times = times.unionByName(first).distinct()
-    w = Window.partitionBy(*by).orderBy("scheduled_s")
-    t = F.col("scheduled_s")
-    owned = times.select(
+    over = f"OVER (PARTITION BY {', '.join(by)} ORDER BY scheduled_s)"
+    owned = times.selectExpr(
         *by, "scheduled_s",
-        F.coalesce(F.lag(t).over(w).cast("double"), F.lit(-1.0)).alias("own_from"),
-        t.cast("double").alias("own_to"),
-        F.lit(2.0 * DAY_S + 1).alias("own_before"),
+        f"CAST(coalesce(lag(scheduled_s) {over}, -1) AS double) AS own_from",
+        "CAST(scheduled_s AS double) AS own_to",
+        f"{2.0 * DAY_S + 1}D AS own_before",
     )
     return _bucketed(owned, bucket_s)
 
 
 def match_schedule(
     facts: DataFrame,
-    intervals: DataFrame,
-    keys: dict[str, Column] | list[str],
-    second_of_day: Column,
+    intervals: DataFrame | Dimension,
+    keys: dict[str, str] | list[str],
+    second_of_day: str,
     *,
     how: str = "left",
     salt_on: list[str] | None = None,
@@ -94,12 +91,11 @@ def match_schedule(
 ) -> DataFrame:
     """Add ``scheduled_s`` of the owning interval, null when no time answers."""
     if not isinstance(keys, dict):
-        keys = {k: F.col(k) for k in keys}
-    facts = facts.withColumn("_second", second_of_day.cast("double"))
-    x = F.col("_second")
-    inside = (x > F.col("own_from")) & (x <= F.col("own_to")) & (x < F.col("own_before"))
+        keys = {k: k for k in keys}
+    facts = facts.selectExpr("*", f"CAST({second_of_day} AS double) AS _second")
     matched = join_dimension(
-        facts, intervals, {**keys, "bucket": F.floor(x / bucket_s)}, how,
-        salt_on=salt_on or ["codBus", "event_s"], condition=inside,
+        facts, intervals, {**keys, "bucket": f"floor(_second / {bucket_s})"}, how,
+        salt_on=salt_on or ["codBus", "event_s"],
+        condition="_second > own_from AND _second <= own_to AND _second < own_before",
         max_rows=max_rows, salts=salts)
     return matched.drop("_second", "own_from", "own_to", "own_before")

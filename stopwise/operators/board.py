@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import delay_status, direction_label, display_delay
-from ..functions.times import day_start, second_of_day
+from ..functions.times import day_start_sql, second_of_day_sql
 from .asof import match_schedule, next_intervals
 from .joins import join_dimension
 from .position import route_position
@@ -27,9 +27,9 @@ def live_status(pings: DataFrame, stops: DataFrame, schedule: DataFrame, **optio
     placed = route_position(pings, stops)
     timed = match_schedule(
         placed, next_intervals(schedule_valid(schedule), ["stop_id", "direction_id"], wrap=True),
-        {"stop_id": F.col("next_stop_id"), "direction_id": F.col("direction_id")},
-        second_of_day(F.col("event_s")), **options)
-    due = day_start(F.col("event_s")) + F.col("scheduled_s")
+        {"stop_id": "next_stop_id", "direction_id": "direction_id"},
+        second_of_day_sql("event_s"), **options)
+    due = F.expr(f"{day_start_sql('event_s')} + scheduled_s")
     return timed.select(
         "codBus", "timestamp", "lat", "lon", "direction_id", "current_stop_id",
         "current_stop_name", "stop_sequence", "next_stop_id", "next_stop_name", "distance_m",

@@ -39,7 +39,7 @@ def clean_pings(raw: DataFrame, line: str | None = None) -> DataFrame:
     """
     if line is not None:
         raw = raw.filter(F.col("codLinea").isin(line, f"{line}.0"))
-    extra = [c for c in ("codParIni", "event_id", "ingest_time") if c in raw.columns]
+    extra = [c for c in ("codParIni", "ingest_time") if c in raw.columns]
     return (
         raw.filter(F.col("codBus").isNotNull())
         .select(
@@ -49,7 +49,7 @@ def clean_pings(raw: DataFrame, line: str | None = None) -> DataFrame:
             F.col("lat").try_cast("double").alias("lat"),
             F.col("lon").try_cast("double").alias("lon"),
             "last_update",
-            parse_feed_time(F.col("last_update")).alias("timestamp"),
+            parse_feed_time("last_update").alias("timestamp"),
             *extra,
         )
         .filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()

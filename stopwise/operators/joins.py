@@ -7,17 +7,28 @@ over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..settings import BROADCAST_ROWS, SALTS
 
 _held: list[DataFrame] = []
 
 
-def hold(dim: DataFrame) -> DataFrame:
-    """Keep a dimension cached between its count and its join."""
-    _held.append(dim.persist())
-    return dim
+def hold(df: DataFrame) -> DataFrame:
+    """Cache a dimension that several lookups are built from."""
+    _held.append(df.persist())
+    return df
+
+
+class Dimension:
+    """A cached dimension and its measured size.
+
+    ``weight`` is the SQL of a row's own size, such as the length of an array.
+    """
+
+    def __init__(self, df: DataFrame, weight: str = "1"):
+        self.df = hold(df)
+        self.rows = df.selectExpr(f"sum({weight}) AS n").first()["n"] or 0
 
 
 def release_dimensions() -> None:
@@ -26,48 +37,38 @@ def release_dimensions() -> None:
         _held.pop().unpersist()
 
 
-def measure(dim: DataFrame, weight: Column | None = None) -> int:
-    """Rows of a dimension, or the sum of a per-row weight such as an array length."""
-    if weight is None:
-        return dim.count()
-    return dim.agg(F.sum(weight).alias("n")).first()["n"] or 0
-
-
 def join_dimension(
     facts: DataFrame,
-    dim: DataFrame,
-    keys: dict[str, Column] | list[str],
+    dim: DataFrame | Dimension,
+    keys: dict[str, str] | list[str],
     how: str = "left",
     *,
     salt_on: list[str],
-    condition: Column | None = None,
-    weight: Column | None = None,
+    condition: str | None = None,
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join facts to a dimension on its key columns.
 
-    ``keys`` maps each key column of the dimension to an expression over the facts; a
-    list means equal names. The key columns of the dimension are dropped from the
-    result. ``condition`` may use every other column of both sides by name.
+    ``keys`` maps each key column of the dimension to SQL over the facts; a list means
+    equal names. The dimension's own key columns are dropped from the result.
+    ``condition`` is SQL that may use every other column of both sides.
     """
     if not isinstance(keys, dict):
-        keys = {k: F.col(k) for k in keys}
-    dim = hold(dim)
-    small = measure(dim, weight) <= max_rows
-    right = dim.select(*[F.col(c).alias(f"_dim_{c}") if c in keys else F.col(c)
-                         for c in dim.columns])
-    left = facts.select("*", *[value.alias(f"_fact_{k}") for k, value in keys.items()])
+        keys = {k: k for k in keys}
+    if isinstance(dim, DataFrame):
+        dim = Dimension(dim)
+    right = dim.df.selectExpr(*[f"{c} AS _dim_{c}" if c in keys else c for c in dim.df.columns])
+    left = facts.selectExpr("*", *[f"{sql} AS _fact_{k}" for k, sql in keys.items()])
     names = list(keys)
-    if small:
+    if dim.rows <= max_rows:
         right = F.broadcast(right)
     else:
-        left = left.withColumn("_fact_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)))
-        right = right.withColumn(
-            "_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+        left = left.selectExpr("*", f"pmod(xxhash64({', '.join(salt_on)}), {salts}) AS _fact_salt")
+        right = right.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) AS _dim_salt")
         names.append("salt")
-    on = [F.col(f"_fact_{k}") == F.col(f"_dim_{k}") for k in names]
+    on = [f"_fact_{k} = _dim_{k}" for k in names]
     if condition is not None:
-        on.append(condition)
-    joined = left.join(right, on, how)
+        on.append(f"({condition})")
+    joined = left.join(right, F.expr(" AND ".join(on)), how)
     return joined.drop(*[f"_{side}_{k}" for side in ("fact", "dim") for k in names])

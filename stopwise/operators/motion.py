@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.geo import geodistance_m
+from ..functions.geo import GEODISTANCE
 from ..functions.labels import eta_seconds
 from ..settings import DEFAULT_SPEED_MPS, MIN_MOVE_M, SEGMENT_S
 from .sequences import segment_of
@@ -18,15 +18,14 @@ from .sequences import segment_of
 _HERE = ("event_s", "lat", "lon", "stop_sequence", "direction_id")
 
 
-def _step_speed(here, before, min_move_m: float) -> Column:
-    """Speed since the previous ping, null when the bus has not clearly moved."""
-    metres = geodistance_m(before["lat"], before["lon"], here["lat"], here["lon"])
-    seconds = here["event_s"] - before["event_s"]
-    return F.when((seconds > 0) & (metres > min_move_m), metres / seconds)
-
-
-def _by_name(prefix: str | None = None) -> dict[str, Column]:
-    return {c: F.col(f"{prefix}.{c}" if prefix else c) for c in _HERE}
+def _with_step(df: DataFrame, name: str, here: str, before: str, min_move_m: float) -> DataFrame:
+    """Add the speed since the previous ping, null when the bus has not clearly moved."""
+    metres = GEODISTANCE.distance(f"{before}.lat", f"{before}.lon", f"{here}lat", f"{here}lon")
+    seconds = f"({here}event_s - {before}.event_s)"
+    return (df.selectExpr("*", f"{metres} AS _metres")
+            .selectExpr("*", f"CASE WHEN {seconds} > 0 AND _metres > {min_move_m} "
+                             f"THEN _metres / {seconds} END AS {name}")
+            .drop("_metres"))
 
 
 def link_pings(
@@ -47,26 +46,24 @@ def link_pings(
     here = F.struct(*_HERE)
     local = (pings.withColumn("segment", segment_of(F.col("event_s"), segment_s))
              .withColumn("_before", F.lag(here).over(inside)))
-    step = _step_speed(_by_name(), _by_name("_before"), min_move_m)
-    summary = (local.select("codBus", "segment", "event_s", here.alias("_here"),
-                            step.alias("_step"))
+    summary = (_with_step(local.select("codBus", "segment", *_HERE, "_before"), "_step", "",
+                          "_before", min_move_m)
                .groupBy("codBus", "segment").agg(
-        F.min_by("_here", "event_s").alias("_first"),
-        F.max_by("_here", "event_s").alias("_last"),
-        F.max_by("_step", F.when(F.col("_step").isNotNull(), F.col("event_s"))).alias("_step")))
+        F.min_by(here, "event_s").alias("_first"),
+        F.max_by(here, "event_s").alias("_last"),
+        F.max_by("_step", F.expr("if(_step IS NULL, NULL, event_s)")).alias("_step")))
     along = Window.partitionBy("codBus").orderBy("segment")
-    entered = summary.withColumn("_entry", F.lag("_last").over(along)).withColumn(
-        "_step", F.coalesce("_step", _step_speed(_by_name("_first"), _by_name("_entry"),
-                                                 min_move_m)))
+    entered = _with_step(summary.withColumn("_entry", F.lag("_last").over(along)),
+                         "_entry_step", "_first.", "_entry", min_move_m)
     carried = entered.select(
         "codBus", "segment", "_entry",
-        F.last("_step", ignorenulls=True)
+        F.last(F.coalesce("_step", "_entry_step"), ignorenulls=True)
         .over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_entry_speed"))
     linked = (local.join(carried, ["codBus", "segment"])
               .withColumn("before", F.coalesce("_before", "_entry")))
-    moved = _step_speed(_by_name(), _by_name("before"), min_move_m)
+    linked = _with_step(linked, "_step", "", "before", min_move_m)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (linked.withColumn("_step", moved)
+    return (linked
             .withColumn("speed_mps", F.coalesce(F.last("_step", ignorenulls=True).over(running),
                                                 F.col("_entry_speed"), F.lit(default_speed)))
             .drop("_before", "_entry", "_entry_speed", "_step", "segment"))
@@ -92,9 +89,9 @@ def ewma_speed(
     chain = math.ceil(-20 / math.log10(rest))
     inside = Window.partitionBy("codBus", "segment").orderBy("event_s")
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    step = _step_speed(_by_name(), _by_name("before"), 0.0)
-    local = (linked.withColumn("segment", segment_of(F.col("event_s"), segment_s))
-             .withColumn("_step", F.when((step > low) & (step < high), step))
+    local = (_with_step(linked, "_step", "", "before", 0.0)
+             .withColumn("segment", segment_of(F.col("event_s"), segment_s))
+             .withColumn("_step", F.expr(f"if(_step > {low} AND _step < {high}, _step, NULL)"))
              .withColumn("_uses", F.count("_step").over(running))
              .withColumn("_sum", F.coalesce(F.sum(
                  F.col("_step") * alpha * F.pow(F.lit(rest), -F.col("_uses"))).over(running),
@@ -131,7 +128,9 @@ def heuristic_delay(df: DataFrame) -> DataFrame:
     A ping without a scheduled time is taken to be due exactly at its estimated arrival.
     """
     eta = eta_seconds(F.col("distance_m"), F.col("speed_mps"))
-    wait = F.coalesce((F.col("scheduled_epoch_s") - F.col("event_s")).cast("double"), eta)
-    return (df.withColumn("has_schedule", F.col("scheduled_epoch_s").isNotNull())
-            .withColumn("seconds_to_scheduled", wait)
-            .withColumn("predicted_delay_math", eta - wait))
+    return (df.withColumn("_eta", eta)
+            .selectExpr("*", "scheduled_epoch_s IS NOT NULL AS has_schedule",
+                        "coalesce(CAST(scheduled_epoch_s - event_s AS double), _eta) "
+                        "AS seconds_to_scheduled")
+            .selectExpr("*", "_eta - seconds_to_scheduled AS predicted_delay_math")
+            .drop("_eta"))

@@ -9,40 +9,45 @@ The lookups are joins on the cell, so pings are never multiplied nor shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from ..functions.geo import MIN_DEGREE_M, haversine_m
+from ..functions.geo import HAVERSINE, MIN_DEGREE_M, Metric
 from ..settings import BROADCAST_ROWS, GRID_LEVELS, SALTS
-from .joins import join_dimension
-
-Metric = Callable[[Column, Column, Column, Column], Column]
+from .joins import Dimension, join_dimension
 
 _STOP = ("stop_sequence", "stop_id", "stop_name", "stop_lat", "stop_lon")
 
+_FOUND = ("struct<line:double,stop_sequence:int,stop_id:string,stop_name:string,"
+          "stop_lat:double,stop_lon:double>")
 
-def _cell(degrees: Column, offset: float, level: int) -> Column:
-    return F.floor((degrees + offset) / (360.0 / 2 ** level)).cast("int")
+
+def _cell(lat: str, lon: str, level: int, dy: int = 0, dx: int = 0) -> tuple[str, str]:
+    """Grid row and column of a position; columns wrap around the globe."""
+    size = 360.0 / 2 ** level
+    y = f"CAST(floor(({lat} + 90D) / {size!r}D) AS int) + {dy}"
+    x = f"pmod(CAST(floor(({lon} + 180D) / {size!r}D) AS int) + {dx}, {2 ** level})"
+    return y, x
 
 
-def _sure_metres(lat: Column, level: int) -> Column:
+def _sure_metres(lat: str, level: int) -> str:
     """Radius around a ping that its 3 x 3 block covers for certain."""
     size = 360.0 / 2 ** level
-    farthest = F.least(F.abs(lat) + size, F.lit(90.0))
-    return F.lit(size * MIN_DEGREE_M) * F.cos(F.radians(farthest))
+    return f"{size * MIN_DEGREE_M!r}D * cos(radians(least(abs({lat}) + {size!r}D, 90D)))"
 
 
-def grid_stops(stops: DataFrame, by: list[str], levels: tuple[int, ...]) -> DataFrame:
+def grid_stops(stops: DataFrame, by: list[str], levels: tuple[int, ...],
+               metric: Metric = HAVERSINE) -> DataFrame:
     """One row per grid cell with the stops of its 3 x 3 block; level 0 is one cell."""
-    lat, lon = F.col("stop_lat"), F.col("stop_lon")
-    cells = [F.struct(F.lit(0).alias("level"), F.lit(0).alias("cell_y"),
-                      F.lit(0).alias("cell_x"))]
-    cells += [F.struct(F.lit(level).alias("level"),
-                       (_cell(lat, 90.0, level) + dy).alias("cell_y"),
-                       F.pmod(_cell(lon, 180.0, level) + dx, F.lit(2 ** level)).alias("cell_x"))
-              for level in levels for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
-    return (stops.select(*by, F.struct(*_STOP).alias("stop"), F.inline(F.array(*cells)))
+    cells = ["struct(0 AS level, 0 AS cell_y, 0 AS cell_x)"]
+    for level in levels:
+        for dy in (-1, 0, 1):
+            for dx in (-1, 0, 1):
+                y, x = _cell("stop_lat", "stop_lon", level, dy, dx)
+                cells.append(f"struct({level} AS level, {y} AS cell_y, {x} AS cell_x)")
+    place = [f"{sql} AS {axis}" for axis, sql in
+             zip("xyz", metric.place("stop_lat", "stop_lon"))]
+    return (stops.selectExpr(*by, f"struct({', '.join(_STOP)}, {', '.join(place)}) AS stop",
+                             f"inline(array({', '.join(cells)}))")
             .groupBy("level", *by, "cell_y", "cell_x")
             .agg(F.collect_set("stop").alias("near_stops")))
 
@@ -51,7 +56,7 @@ def nearest_stop(
     pings: DataFrame,
     stops: DataFrame,
     *,
-    metric: Metric = haversine_m,
+    metric: Metric = HAVERSINE,
     by: list[str] | None = None,
     levels: tuple[int, ...] = GRID_LEVELS,
     max_rows: int = BROADCAST_ROWS,
@@ -61,36 +66,36 @@ def nearest_stop(
 
     ``by`` names columns both sides must share, such as ``direction_id``. Ties go to the
     lower sequence, then the lower stop_id. Works on a stream: no shuffle, no window.
+    Candidates are ranked by straight lines in space, which takes no trigonometry per
+    candidate; the distance itself is computed once, for the stop found.
     """
-    by = by or []
-    cells = grid_stops(stops.select(*by, *_STOP), by, levels)
-    lat, lon = F.col("lat"), F.col("lon")
-    found = pings.withColumn("_near", F.lit(None).cast(
-        "struct<distance_m:double,stop_sequence:int,stop_id:string,stop_name:string,"
-        "stop_lat:double,stop_lon:double>")).withColumn("_done", F.lit(False))
+    by, kept = by or [], pings.columns
+    cells = Dimension(grid_stops(stops.select(*by, *_STOP), by, levels, metric),
+                      "size(near_stops)")
+    line = "(s.x - _x) * (s.x - _x) + (s.y - _y) * (s.y - _y) + (s.z - _z) * (s.z - _z)"
+    best = (f"array_min(transform(near_stops, s -> struct({line} AS line, "
+            f"{', '.join(f's.{c} AS {c}' for c in _STOP)})))")
+    spot = [f"{sql} AS _{axis}" for axis, sql in zip("xyz", metric.place("lat", "lon"))]
+    away = metric.distance("lat", "lon", "_near.stop_lat", "_near.stop_lon")
+    found = pings.selectExpr("*", *spot, f"CAST(NULL AS {_FOUND}) AS _near", "false AS _done")
     for level in (*levels, 0):
-        open_ = ~F.col("_done")
-        y = _cell(lat, 90.0, level) if level else F.lit(0)
-        x = F.pmod(_cell(lon, 180.0, level), F.lit(2 ** level)) if level else F.lit(0)
-        keys = {"level": F.when(open_, F.lit(level)), "cell_y": y, "cell_x": x,
-                **{c: F.col(c) for c in by}}
+        y, x = _cell("lat", "lon", level) if level else ("0", "0")
+        keys = {"level": f"CASE WHEN NOT _done THEN {level} END", "cell_y": y, "cell_x": x,
+                **{c: c for c in by}}
         found = join_dimension(found, cells, keys, salt_on=["codBus", "event_s"],
-                               weight=F.size("near_stops"), max_rows=max_rows, salts=salts)
-        best = F.array_min(F.transform("near_stops", lambda s: F.struct(
-            metric(lat, lon, s["stop_lat"], s["stop_lon"]).alias("distance_m"),
-            *[s[c].alias(c) for c in _STOP])))
-        found = found.withColumn("_near", F.coalesce(best, "_near")).drop("near_stops")
+                               max_rows=max_rows, salts=salts)
+        found = found.selectExpr(*kept, "_x", "_y", "_z", "_done",
+                                 f"coalesce({best}, _near) AS _near")
         if level:
-            sure = F.col("_near.distance_m") <= _sure_metres(lat, level)
-            found = found.withColumn("_done", F.coalesce(sure, F.lit(False)))
-    return (found.filter(F.col("_near").isNotNull())
-            .select(*[c for c in found.columns if not c.startswith("_")], "_near.*"))
+            sure = f"coalesce({away} <= {_sure_metres('lat', level)}, false)"
+            found = found.selectExpr(*kept, "_x", "_y", "_z", "_near", f"{sure} AS _done")
+    return (found.filter("_near IS NOT NULL")
+            .selectExpr(*kept, *[f"_near.{c} AS {c}" for c in _STOP], f"{away} AS distance_m"))
 
 
 def match_snapshots(pings: DataFrame, stops: DataFrame, **options) -> DataFrame:
     """Nearest stop per bus and timestamp; of repeated pings the closest match is kept."""
     matched = nearest_stop(pings, stops, **options)
-    ties = ["distance_m", "stop_sequence", "stop_id"]
-    ties += [c for c in ("event_id",) if c in matched.columns]
-    w = Window.partitionBy("codBus", "timestamp").orderBy(*ties)
-    return (matched.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
+    w = Window.partitionBy("codBus", "timestamp").orderBy(
+        "distance_m", "stop_sequence", "stop_id", "lat", "lon")
+    return matched.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from ..functions.geo import geodistance_m
+from ..functions.geo import GEODISTANCE
 from ..settings import ARRIVAL_RADIUS_M
 from .joins import join_dimension
 from .nearest import nearest_stop
@@ -19,25 +19,22 @@ def route_position(pings: DataFrame, stops: DataFrame, *,
     Farther out the bus is between two stops and the distance is to the next one.
     """
     stops = with_direction_fallback(stops)
-    near = nearest_stop(pings, stops, metric=geodistance_m, by=["direction_id"])
+    near = nearest_stop(pings, stops, metric=GEODISTANCE, by=["direction_id"])
     near = join_dimension(near, stop_neighbours(stops), ["direction_id", "stop_sequence"],
                           salt_on=["codBus", "event_s"])
-    reached = F.col("distance_m") <= radius_m
-    between = F.col("toward_stop_id").isNotNull()
 
-    def pick(at_stop, on_the_way, otherwise):
-        return F.when(reached, at_stop).when(between, on_the_way).otherwise(otherwise)
+    def pick(at_stop, on_the_way, otherwise, name):
+        return (f"CASE WHEN distance_m <= {radius_m} THEN {at_stop} "
+                f"WHEN toward_stop_id IS NOT NULL THEN {on_the_way} ELSE {otherwise} END "
+                f"AS {name}")
 
-    to_next = geodistance_m(F.col("lat"), F.col("lon"), F.col("toward_lat"), F.col("toward_lon"))
-    null = F.lit(None)
-    return near.select(
+    to_next = GEODISTANCE.distance("lat", "lon", "toward_lat", "toward_lon")
+    return near.selectExpr(
         *pings.columns,
-        pick(F.col("stop_id"), F.col("before_stop_id"), F.col("stop_id")).alias("current_stop_id"),
-        pick(F.col("stop_name"), F.col("before_stop_name"), F.col("stop_name"))
-        .alias("current_stop_name"),
-        pick(F.col("stop_sequence"), F.col("before_sequence"), F.col("stop_sequence"))
-        .alias("stop_sequence"),
-        pick(F.col("after_stop_id"), F.col("toward_stop_id"), null).alias("next_stop_id"),
-        pick(F.col("after_stop_name"), F.col("toward_stop_name"), null).alias("next_stop_name"),
-        pick(F.col("distance_m"), to_next, F.col("distance_m")).alias("distance_m"),
+        pick("stop_id", "before_stop_id", "stop_id", "current_stop_id"),
+        pick("stop_name", "before_stop_name", "stop_name", "current_stop_name"),
+        pick("stop_sequence", "before_sequence", "stop_sequence", "stop_sequence"),
+        pick("after_stop_id", "toward_stop_id", "NULL", "next_stop_id"),
+        pick("after_stop_name", "toward_stop_name", "NULL", "next_stop_name"),
+        pick("distance_m", to_next, "distance_m", "distance_m"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.times import service_seconds
 from ..settings import DAY_S
 from ..sources.timetable import Timetable
-from .joins import join_dimension
+from .joins import hold, join_dimension
 
 
 def active_services(calendar_dates: DataFrame, date: str) -> DataFrame:
@@ -31,7 +31,7 @@ def line_trips(trips: DataFrame, line: str | None) -> DataFrame:
 
 def schedule_master(timetable: Timetable, line: str | None = None,
                     date: str | None = None) -> DataFrame:
-    """Stop times of the wanted trips with trip and stop attributes.
+    """Stop times of the wanted trips with trip and stop attributes and ``service_s``.
 
     Trips and stop times both grow with the timetable and meet on trip_id, which a
     trip repeats once per stop. Stops join as a measured dimension.
@@ -40,7 +40,8 @@ def schedule_master(timetable: Timetable, line: str | None = None,
     if date is not None and timetable.calendar_dates is not None:
         trips = active_trips(trips, timetable.calendar_dates, date)
     times = timetable.stop_times.join(
-        trips.select("trip_id", "direction_id", "trip_headsign"), "trip_id")
+        trips.select("trip_id", "direction_id", "trip_headsign"), "trip_id"
+    ).withColumn("service_s", service_seconds("arrival_time"))
     return join_dimension(times, timetable.stops, ["stop_id"], "inner", salt_on=["trip_id"])
 
 
@@ -52,7 +53,7 @@ def schedule_distinct(schedule: DataFrame) -> DataFrame:
 
 def schedule_valid(schedule: DataFrame) -> DataFrame:
     """Rows whose hour is 0..23."""
-    return schedule.filter(service_seconds(F.col("arrival_time")) < DAY_S)
+    return schedule.filter(F.col("service_s") < DAY_S)
 
 
 def schedule_times(schedule: DataFrame) -> DataFrame:
@@ -76,8 +77,7 @@ def schedule_arrays(schedule: DataFrame) -> DataFrame:
 
 def service_times(schedule: DataFrame, by: list[str]) -> DataFrame:
     """Distinct service seconds per key; malformed times are dropped."""
-    return (schedule.select(*by, service_seconds(F.col("arrival_time")).alias("service_s"))
-            .filter(F.col("service_s").isNotNull()).distinct())
+    return schedule.select(*by, "service_s").filter("service_s IS NOT NULL").distinct()
 
 
 def route_geometry(schedule: DataFrame) -> DataFrame:
@@ -96,6 +96,7 @@ def route_stops(schedule: DataFrame) -> DataFrame:
 
 def with_direction_fallback(stops: DataFrame) -> DataFrame:
     """Give a direction that has no stops the stops of the other one."""
+    stops = hold(stops)
     have = stops.select("direction_id").distinct()
     flipped = (stops.withColumn("direction_id", 1 - F.col("direction_id"))
                .join(have, "direction_id", "left_anti"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.times import calendar_features, day_start, second_of_day
+from ..functions.times import calendar_features, day_start_sql, second_of_day_sql
 from ..settings import LABEL_WINDOW_S, TRAIN_MAX_DELAY_S, TRAIN_MAX_DISTANCE_M
 from .asof import match_schedule, nearest_intervals
 from .timetable import schedule_valid
@@ -20,8 +20,8 @@ def true_delay(arrivals: DataFrame, schedule: DataFrame, *,
     arrived = arrivals.withColumn("_actual_s", F.unix_seconds("actual_time"))
     matched = match_schedule(
         arrived, nearest_intervals(schedule_valid(schedule), by, horizon_s=None), by,
-        second_of_day(F.col("_actual_s")), how="inner", salt_on=["codBus"], **options)
-    due = (day_start(F.col("_actual_s")) + F.col("scheduled_s")).cast("bigint")
+        second_of_day_sql("_actual_s"), how="inner", salt_on=["codBus"], **options)
+    due = F.expr(f"CAST({day_start_sql('_actual_s')} + scheduled_s AS bigint)")
     return matched.select(
         "codBus", "stop_id", F.timestamp_seconds(due).alias("scheduled_time"), "actual_time",
         (F.col("_actual_s") - due).alias("true_delay_seconds"))
@@ -60,7 +60,7 @@ def add_features(df: DataFrame) -> DataFrame:
     types = {"lat": "double", "lon": "double", "stop_sequence": "int", "distance_m": "double",
              "seconds_to_scheduled": "double", "true_delay_seconds": "double"}
     casts = {c: F.col(c).cast(t) for c, t in types.items() if c in df.columns}
-    return df.withColumns({**calendar_features(F.col("timestamp")), **casts})
+    return df.withColumns({**calendar_features("timestamp"), **casts})
 
 
 def clean_training(df: DataFrame, max_distance_m: float = TRAIN_MAX_DISTANCE_M,

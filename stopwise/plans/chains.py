@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.geo import geodistance_m
-from ..functions.times import calendar_features, clock_text, day_start, second_of_day
+from ..functions.geo import GEODISTANCE
+from ..functions.times import (calendar_features, clock_text, day_start_sql,
+                               second_of_day_sql)
 from ..operators.arrivals import (actual_delay, arrivals_by_radius, arrivals_by_visit,
                                   back_project, score_arrivals)
 from ..operators.asof import match_schedule, nearest_intervals, next_intervals
@@ -40,16 +41,16 @@ def enrich(pings: DataFrame, stops: DataFrame, schedule: DataFrame, *,
     The schedule is the nearest time, or the next one when ``upcoming``. Runs on batch
     and stream alike: the lookups are joins with measured dimensions.
     """
-    near = nearest_stop(pings, with_direction_fallback(stops), metric=geodistance_m,
+    near = nearest_stop(pings, with_direction_fallback(stops), metric=GEODISTANCE,
                         by=["direction_id"])
     by = ["stop_id", "direction_id"]
     intervals = next_intervals if upcoming else nearest_intervals
     timed = match_schedule(near, intervals(schedule, by, service_day=service_day), by,
-                           second_of_day(F.col("event_s")))
+                           second_of_day_sql("event_s"))
     return timed.withColumns({
-        "scheduled_epoch_s": day_start(F.col("event_s")) + F.col("scheduled_s"),
-        "scheduled_time": F.coalesce(clock_text(F.col("scheduled_s")), F.lit("N/A")),
-        **calendar_features(F.col("timestamp")),
+        "scheduled_epoch_s": F.expr(f"{day_start_sql('event_s')} + scheduled_s"),
+        "scheduled_time": F.coalesce(clock_text("scheduled_s"), F.lit("N/A")),
+        **calendar_features("timestamp"),
     }).drop("scheduled_s")
 
 
@@ -60,8 +61,15 @@ def score_enriched(enriched: DataFrame, model: PipelineModel | None) -> DataFram
                  "predicted_delay_ml").drop("seconds_to_scheduled")
 
 
-def track(enriched: DataFrame, *, speed: str = "instant", **motion) -> DataFrame:
-    """Speed, heuristic delay and stop advance of enriched pings, one per bus and second."""
+def track(enriched: DataFrame, *, speed: str = "instant", staged: bool = True,
+          **motion) -> DataFrame:
+    """Speed, heuristic delay and stop advance of enriched pings, one per bus and second.
+
+    The pings are read twice, for the segments and for their summaries. When ``staged``
+    they are written once to the shared folder first.
+    """
+    if staged:
+        enriched = stage(enriched, "enriched")
     linked = link_pings(enriched, **motion)
     if speed == "ewma":
         linked = ewma_speed(linked)

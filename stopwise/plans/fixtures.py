@@ -16,30 +16,40 @@ from ..settings import LINE
 from ..sources.timetable import Timetable
 
 
+# The columns the views use; a given schema spares a look into the file footers.
+_SCHEMAS = {
+    "events": "event_id bigint, user_id bigint",
+    "nation": "n_nationkey int, n_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return pin_time_zone(spark).read.parquet(f"{folder}/{name}.parquet")
+    return (pin_time_zone(spark).read.schema(_SCHEMAS[name])
+            .parquet(f"{folder}/{name}.parquet"))
 
 
 def gps_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Raw pings: a bus every user, a ping every 30 s, a stop every 45 s."""
     events = table(spark, folder, "events").select("event_id", "user_id")
-    e, u, k = F.col("event_id"), F.col("user_id"), F.col("k")
     numbered = number_within_key(events, "user_id", "event_id", "k")
-    travelled = ((k * 30 + u * 150) % 1125).cast("double") / 45.0
-    lat = F.round(36.70 + 0.0030 * travelled + ((e * 37) % 101 - 50) * 0.000004, 6)
-    lon = F.round(-4.45 + 0.0020 * travelled + ((e * 53) % 101 - 50) * 0.000004, 6)
-    base = F.when(u % 5 == 4, F.lit("2024-01-01 23:50:00")).otherwise("2024-01-01 06:00:00")
-    tick = k - F.when((e % 83 == 0) & (k > 0), 1).otherwise(0)
-    return numbered.select(
-        "event_id",
-        u.cast("string").alias("codBus"),
-        F.when(u % 5 == 3, "31.0").otherwise("11.0").alias("codLinea"),
-        F.when(e % 89 == 0, "Ida").when(u % 2 == 0, "1").otherwise("2").alias("sentido"),
-        F.when(e % 97 != 0, lat.cast("string")).alias("lat"),
-        lon.cast("string").alias("lon"),
-        (100 + u % 25).cast("string").alias("codParIni"),
-        F.date_format(F.timestamp_seconds(F.unix_timestamp(base) + tick * 30),
-                      "yyyy-MM-dd HH:mm:ss").alias("last_update"),
+    travelled = "(CAST((k * 30 + user_id * 150) % 1125 AS double) / 45D)"
+    lat = f"round(36.70D + 0.0030D * {travelled} + ((event_id * 37) % 101 - 50) * 0.000004D, 6)"
+    lon = f"round(-4.45D + 0.0020D * {travelled} + ((event_id * 53) % 101 - 50) * 0.000004D, 6)"
+    base = ("if(user_id % 5 = 4, timestamp '2024-01-01 23:50:00', "
+            "timestamp '2024-01-01 06:00:00')")
+    tick = "(k - if(event_id % 83 = 0 AND k > 0, 1, 0))"
+    return numbered.selectExpr(
+        "CAST(user_id AS string) AS codBus",
+        "if(user_id % 5 = 3, '31.0', '11.0') AS codLinea",
+        "CASE WHEN event_id % 89 = 0 THEN 'Ida' WHEN user_id % 2 = 0 THEN '1' ELSE '2' END "
+        "AS sentido",
+        f"if(event_id % 97 <> 0, CAST({lat} AS string), NULL) AS lat",
+        f"CAST({lon} AS string) AS lon",
+        "CAST(100 + user_id % 25 AS string) AS codParIni",
+        f"date_format(timestamp_seconds(unix_seconds({base}) + {tick} * 30), "
+        "'yyyy-MM-dd HH:mm:ss') AS last_update",
     )
 
 
@@ -48,53 +58,49 @@ def pings(spark: SparkSession, folder: str, line: str | None = LINE) -> DataFram
 
 
 def stops(spark: SparkSession, folder: str) -> DataFrame:
-    n = F.col("n_nationkey")
-    return table(spark, folder, "nation").select(
-        n.cast("string").alias("stop_id"), (n + 1000).cast("string").alias("stop_code"),
-        F.col("n_name").alias("stop_name"),
-        (36.70 + 0.0030 * n).alias("stop_lat"), (-4.45 + 0.0020 * n).alias("stop_lon"))
+    return table(spark, folder, "nation").selectExpr(
+        "CAST(n_nationkey AS string) AS stop_id",
+        "CAST(n_nationkey + 1000 AS string) AS stop_code", "n_name AS stop_name",
+        "36.70D + 0.0030D * n_nationkey AS stop_lat",
+        "-4.45D + 0.0020D * n_nationkey AS stop_lon")
 
 
 def _order_trips(spark: SparkSession, folder: str) -> DataFrame:
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    return table(spark, folder, "orders").select(
-        key.alias("key"),
-        F.when(customer % 5 == 3, "31").otherwise("11").alias("route_id"),
-        F.concat(F.lit("SVC_"), (customer % 4).cast("string")).alias("service_id"),
-        (key % 2).cast("int").alias("direction_id"),
-        (18000 + (key * 97) % 72000).alias("start_s"))
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey AS key", "if(o_custkey % 5 = 3, '31', '11') AS route_id",
+        "concat('SVC_', CAST(o_custkey % 4 AS string)) AS service_id",
+        "CAST(o_orderkey % 2 AS int) AS direction_id",
+        "18000 + (o_orderkey * 97) % 72000 AS start_s")
 
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
-    return _order_trips(spark, folder).select(
-        F.col("key").cast("string").alias("trip_id"), "route_id", "service_id", "direction_id",
-        F.concat(F.lit("Terminal "), F.col("direction_id").cast("string"))
-        .alias("trip_headsign"))
+    return _order_trips(spark, folder).selectExpr(
+        "CAST(key AS string) AS trip_id", "route_id", "service_id", "direction_id",
+        "concat('Terminal ', CAST(direction_id AS string)) AS trip_headsign")
 
 
 def stop_times(spark: SparkSession, folder: str) -> DataFrame:
     """One row per trip and stop. Aggregated before the join so that no trip is hot."""
     visits = (table(spark, folder, "lineitem")
-              .groupBy(F.col("l_orderkey").alias("key"), (F.col("l_partkey") % 25).alias("stop"))
-              .agg(F.min(F.col("l_suppkey") % 10).alias("wait_s")))
-    seconds = F.col("start_s") + F.col("stop") * 45 + F.col("wait_s")
+              .selectExpr("l_orderkey AS key", "l_partkey % 25 AS stop",
+                          "l_suppkey % 10 AS wait_s")
+              .groupBy("key", "stop").agg(F.min("wait_s").alias("wait_s")))
+    s = "(start_s + stop * 45 + wait_s)"
     timed = visits.join(_order_trips(spark, folder).select("key", "start_s"), "key")
-    part = [F.floor(seconds / 3600), F.floor(seconds / 60) % 60, seconds % 60]
-    return timed.select(
-        F.col("key").cast("string").alias("trip_id"),
-        F.col("stop").cast("string").alias("stop_id"),
-        (F.col("stop") + 1).cast("int").alias("stop_sequence"),
-        F.format_string("%02d:%02d:%02d", *part).alias("arrival_time"))
+    return timed.selectExpr(
+        "CAST(key AS string) AS trip_id", "CAST(stop AS string) AS stop_id",
+        "CAST(stop + 1 AS int) AS stop_sequence",
+        f"format_string('%02d:%02d:%02d', {s} DIV 3600, {s} DIV 60 % 60, {s} % 60) "
+        "AS arrival_time")
 
 
 def calendar_dates(spark: SparkSession, folder: str) -> DataFrame:
     """A service runs on the days of 2024 on which an order of it falls, except when its
     number plus the day of the month divides by 3."""
-    service, day = F.col("o_custkey") % 4, F.dayofmonth("o_orderdate")
-    return table(spark, folder, "orders").select(
-        F.concat(F.lit("SVC_"), service.cast("string")).alias("service_id"),
-        F.concat(F.lit("2024"), F.date_format("o_orderdate", "MMdd")).alias("date"),
-        F.when((service + day) % 3 == 0, 2).otherwise(1).alias("exception_type")).distinct()
+    return table(spark, folder, "orders").selectExpr(
+        "concat('SVC_', CAST(o_custkey % 4 AS string)) AS service_id",
+        "concat('2024', date_format(o_orderdate, 'MMdd')) AS date",
+        "if((o_custkey % 4 + day(o_orderdate)) % 3 = 0, 2, 1) AS exception_type").distinct()
 
 
 def timetable(spark: SparkSession, folder: str) -> Timetable:

@@ -70,7 +70,7 @@ def _state_function(columns: list[str], default_speed: float, min_move_m: float,
         for chunk in chunks:  # repeated seconds go as they come, so this stays small
             fresh = chunk if ts is None else chunk[chunk["event_s"] > ts]
             rows = fresh if rows is None else pd.concat([rows, fresh])
-            rows = (rows.sort_values(["event_s", "event_id"], kind="stable")
+            rows = (rows.sort_values(["event_s", "lat", "lon", "direction_id"])
                     .drop_duplicates("event_s"))
         if rows is None or rows.empty:
             return
@@ -121,9 +121,7 @@ def follow_vehicles(
     """
     if "predicted_delay_ml" not in enriched.columns:
         enriched = enriched.withColumn("predicted_delay_ml", F.lit(None).cast("double"))
-    if "event_id" not in enriched.columns:
-        enriched = enriched.withColumn("event_id", F.lit(0).cast("bigint"))
-    kept = [f for f in enriched.schema.fields if f.name != "event_id"]
+    kept = list(enriched.schema.fields)
     function = _state_function([f.name for f in kept], float(default_speed), float(min_move_m),
                                MIN_SPEED_MPS, PREDICTION_AGE_S, idle, speed == "ewma")
     timeout = "ProcessingTimeTimeout" if idle else "NoTimeout"
