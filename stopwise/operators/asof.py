@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame
 from ..functions.times import same_day_seconds
 from ..settings import ASOF_BUCKET_S, BROADCAST_ROWS, DAY_S, SALTS, SCHEDULE_HORIZON_S
 from .joins import Dimension, join_dimension
-from .timetable import service_times
 
 
 def _candidates(schedule: DataFrame, by: list[str], service_day: str) -> DataFrame:
-    times = service_times(schedule, by)
+    """Distinct scheduled moments per key, relative to the midnight of the probed day."""
+    timed = schedule.filter("service_s IS NOT NULL")
     if service_day == "reference":
-        moments = times.select(*by, same_day_seconds("service_s").alias("scheduled_s"))
+        moments = timed.select(*by, same_day_seconds("service_s").alias("scheduled_s"))
     elif service_day == "adjacent":
-        moments = times.selectExpr(
+        moments = timed.select(*by, "service_s").distinct().selectExpr(
             *by, f"explode(array(service_s - {DAY_S}, service_s, service_s + {DAY_S})) "
                  "AS scheduled_s")
     else:

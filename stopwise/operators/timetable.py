@@ -75,11 +75,6 @@ def schedule_arrays(schedule: DataFrame) -> DataFrame:
                  .alias("times")))
 
 
-def service_times(schedule: DataFrame, by: list[str]) -> DataFrame:
-    """Distinct service seconds per key; malformed times are dropped."""
-    return schedule.select(*by, "service_s").filter("service_s IS NOT NULL").distinct()
-
-
 def route_geometry(schedule: DataFrame) -> DataFrame:
     """One canonical stop per direction and sequence: that of the lowest trip_id text."""
     w = Window.partitionBy("direction_id", "stop_sequence").orderBy("trip_id", "stop_id")

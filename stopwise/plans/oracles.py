@@ -413,6 +413,11 @@ def oracle_sql() -> dict[str, str]:
             FROM status""", "status"),
         "sink_roundtrip": _with(_LIVE, "status"),
         "speed_instant": _with(motion.format(f"{r('speed')} AS speed_mps", "tracked"), "tracked"),
+        "speed_ewma": _with(f"""SELECT codBus, event_s, {r('''list_reduce([CAST(5.5 AS DOUBLE)] || coalesce(list(used) FILTER (WHERE used IS NOT NULL)
+              OVER (PARTITION BY codBus ORDER BY event_s), []), lambda s, v: 0.8 * s + 0.2 * v)''')}
+            AS speed_mps FROM (SELECT *, CASE WHEN moved / (event_s - p_s) > 0.1
+              AND moved / (event_s - p_s) < 25 THEN moved / (event_s - p_s) END AS used
+              FROM stepped)""", "stepped"),
         "heuristic_delay": _with(motion.format(
             f"""{r('wait')} AS seconds_to_scheduled, {r('delay')} AS predicted_delay_math,
             scheduled_epoch_s IS NOT NULL AS has_schedule""", "tracked"), "tracked"),

@@ -16,7 +16,7 @@ TRAIN_MAX_DELAY_S = 900
 DAY_S = 86400
 
 # Sizes of the physical plan, not of the results.
-BROADCAST_ROWS = 500_000     # a dimension above this joins by salted shuffle
+BROADCAST_ROWS = 1_000_000   # a dimension above this joins by salted shuffle
 SALTS = 32                   # copies of a shuffled dimension
 SEGMENT_S = 21_600           # longest stretch of one vehicle held by one task
 ASOF_BUCKET_S = 120          # width of the time bucket in the schedule join key
