@@ -81,6 +81,7 @@ def score_arrivals(df: DataFrame, predictions: dict[str, str], *,
     or more are out, so a segment needs only that much of the one before it: those
     rows are repeated there and dropped again.
     """
+    segment_s = max(segment_s, age_s)
     cut = segment_of(F.col("event_s"), segment_s)
     spill = F.col("event_s") - cut * segment_s >= segment_s - age_s
     spread = (df.withColumn("_home", cut)
