@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 
@@ -22,12 +22,8 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     header = spark.read.option("header", True).csv(path)
     return header.select(*[header[f.name].try_cast(f.dataType).alias(f.name)
                            if f.name in header.columns
-                           else _missing(f) for f in schema.fields])
-
-
-def _missing(field):
-    from pyspark.sql import functions as F
-    return F.lit(None).cast(field.dataType).alias(field.name)
+                           else F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in schema.fields])
 
 
 def read_timetable(spark: SparkSession, folder: str, ext: str = "csv",
