@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import host_rules
+from ..session import new_folder
+from . import digest_index, host_rules, mixing, sharding
 from .tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +28,19 @@ def queries() -> dict[str, Query]:
 def op1_host_rules(spark, sf):
     judged = host_rules.judge(documents(spark, sf).select("doc_id", "source", "text"))
     return judged.select("doc_id", *host_rules.MEASURES, "base_failed", "host_failed", "kept")
+
+
+@query
+def op3_digest_index(spark, sf):
+    index = digest_index.DigestIndex.create(spark, new_folder(spark, "digest-index"))
+    return digest_index.find_duplicates(documents(spark, sf), index)
+
+
+@query
+def op9_pfair_mix(spark, sf):
+    return mixing.mix(documents(spark, sf)).drop("row_tag")
+
+
+@query
+def op10_extendible_shards(spark, sf):
+    return sharding.assign_shards(documents(spark, sf))

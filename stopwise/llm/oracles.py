@@ -45,5 +45,65 @@ FROM b LEFT JOIN verdict ON b.source = verdict.source
 """
 
 
+OP3 = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+OP9 = """
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, source, coalesce('s:' || source, 'null') AS name,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key,
+         greatest(coalesce(length(text), 1), 1) AS size
+  FROM documents),
+share AS (
+  SELECT name, pow(sum(size)::DOUBLE, 0.7) AS x, count(*) OVER () AS k FROM d GROUP BY name),
+exact AS (SELECT name, (1000 - k) * x / sum(x) OVER () AS e FROM share),
+w AS MATERIALIZED (
+  SELECT name, row_number() OVER (ORDER BY name) AS i,
+         (1 + floor(e) + (row_number() OVER (ORDER BY round(e - floor(e), 9) DESC, name)
+                          <= 1000 - sum(1 + floor(e)) OVER ())::INT)::BIGINT AS p
+  FROM exact),
+l AS MATERIALIZED (SELECT list(p ORDER BY i) AS p, list(0::BIGINT ORDER BY i) AS zero FROM w),
+edf AS (
+  SELECT -1::BIGINT AS slot, 0::BIGINT AS pick, 0::BIGINT AS turn, zero AS done FROM l
+  UNION ALL
+  SELECT slot, pick, done[pick], list_transform(done, lambda x, i: x + (i = pick)::BIGINT)
+  FROM (
+    SELECT slot + 1 AS slot, done, list_min(list_transform(done, lambda x, i:
+      CASE WHEN x < p[i] AND x * 1000 // p[i] <= slot + 1
+           THEN ((x + 1) * 1000 + p[i] - 1) // p[i] * 1000 + i END)) % 1000 AS pick
+    FROM edf, l WHERE slot < 999)),
+period AS (SELECT name, p, turn, slot FROM edf JOIN w ON w.i = edf.pick WHERE slot >= 0),
+b AS (
+  SELECT *, (coalesce(sum(size) OVER (PARTITION BY name ORDER BY key, doc_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 65536)::BIGINT AS block
+  FROM d)
+SELECT doc_id, source, block, (block // p * 1000 + slot)::BIGINT AS slot,
+       row_number() OVER (PARTITION BY b.name, block ORDER BY key, doc_id) AS place
+FROM b JOIN period ON period.name = b.name AND period.turn = block % p
+"""
+
+OP10 = """
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(octet_length(encode(text)), 0) AS bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'text ' || md5(text), '')), 1, 15))::BIGINT
+         AS key
+  FROM documents),
+n AS (
+  SELECT r, doc_id, depth, key >> (60 - depth) AS prefix,
+         count(*) OVER bucket AS shard_docs, sum(bytes) OVER bucket AS shard_bytes
+  FROM d, (SELECT unnest(range(0, 25)) AS depth)
+  WINDOW bucket AS (PARTITION BY depth, key >> (60 - depth)))
+SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth::INT, '0') END AS shard,
+       depth::INT AS depth, shard_docs, shard_bytes::BIGINT AS shard_bytes
+FROM n WHERE shard_bytes <= 1048576 OR shard_docs = 1
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY depth) = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_host_rules": OP1}
+    return {"op1_host_rules": OP1, "op3_digest_index": OP3, "op9_pfair_mix": OP9,
+            "op10_extendible_shards": OP10}
