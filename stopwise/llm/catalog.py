@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import digest_index, host_rules, mixing, sharding
+from . import bpe_lexicon, digest_index, host_rules, mixing, sharding
 from .tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 _ALL: dict[str, Query] = {}
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(fn: Query) -> Query:
     _ALL[fn.__name__] = fn
     return fn
@@ -36,6 +44,18 @@ def op3_digest_index(spark, sf):
     return digest_index.find_duplicates(documents(spark, sf), index)
 
 
+@query
+def op5_bpe_lexicon(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    tokenizer = bpe_lexicon.BpeTokenizer(spark, tokenizer_path())
+    tokenizer.fit_lexicon(docs)
+    coded = tokenizer.encode(docs).withColumn("decoded", tokenizer.decode())
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op9_pfair_mix(spark, sf):
     return mixing.mix(documents(spark, sf)).drop("row_tag")
