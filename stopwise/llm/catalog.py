@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import bpe_lexicon, digest_index, host_rules, mixing, sharding
+from . import bpe_lexicon, digest_index, host_rules, html_density, mixing, sharding
 from .tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,13 @@ def op1_host_rules(spark, sf):
     return judged.select("doc_id", *host_rules.MEASURES, "base_failed", "host_failed", "kept")
 
 
+@query
+def op2_html_density(spark, sf):
+    pages = spark.read.parquet(f"{sf.rstrip('/')}/pages.parquet").select("page_id", "url", "html")
+    return html_density.extract(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op3_digest_index(spark, sf):
     index = digest_index.DigestIndex.create(spark, new_folder(spark, "digest-index"))

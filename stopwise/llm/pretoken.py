@@ -28,9 +28,25 @@ def classes() -> np.ndarray:
     table[first == ord("L")] = LETTER
     table[first == ord("N")] = NUMBER
     table[list(WHITE_SPACE)] = SPACE
+    for c, kind in _late_characters():
+        table[c] = kind
     return table
 
 
+def _late_characters():
+    """Letters and numbers that Python's tables do not know yet, as the tokenizers library
+    classes them: one that it joins to a letter is a letter."""
+    import regex
+    from tokenizers.pre_tokenizers import ByteLevel
+    unknown = "".join(chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn")
+    splitter = ByteLevel(add_prefix_space=False)
+    for kind, pattern, mate in ((LETTER, r"\p{L}", "a"), (NUMBER, r"\p{N}", "1")):
+        found = regex.findall(pattern, unknown)
+        pieces = splitter.pre_tokenize_str("".join(f"{mate}{c}\n" for c in found))
+        begins = {span[0] for _, span in pieces}
+        yield from ((ord(c), kind) for k, c in enumerate(found) if 3 * k + 1 not in begins)
+
+
 def word_starts(chars: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Positions in ``chars`` (code points) at which words start; ``begins`` starts each text."""
     n = len(chars)
