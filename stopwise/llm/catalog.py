@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import bpe_lexicon, digest_index, host_rules, html_density, mixing, sharding
+from . import bpe_lexicon, digest_index, host_rules, html_density, language_lm, mixing, sharding
 from .tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,19 @@ def op3_digest_index(spark, sf):
     return digest_index.find_duplicates(documents(spark, sf), index)
 
 
+def _remainder(n: int) -> F.Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query
+def op4_kneser_ney(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text", "lang")
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False))
+    models = language_lm.fit(docs.filter(~held_out))
+    return language_lm.identify(docs.select("doc_id", "text"), models).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 @query
 def op5_bpe_lexicon(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
