@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import bpe_lexicon, digest_index, host_rules, html_density, language_lm, mixing, sharding
+from . import bpe_lexicon, digest_index, host_rules, html_density, language_lm, mixing, sharding, toxicity
 from .tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,16 @@ def op5_bpe_lexicon(spark, sf):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op6_subword_toxicity(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf.rstrip('/')}/labels.parquet").select("doc_id", "toxic")
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    model = toxicity.fit(docs, labels.filter(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op9_pfair_mix(spark, sf):
     return mixing.mix(documents(spark, sf)).drop("row_tag")
