@@ -29,8 +29,9 @@ from .pretoken import portions, split_words
 from .tables import free_name
 
 LEXICON_WORDS = 1 << 16     # at most so many words are compiled
-PORTION_CHARS = 1 << 20     # characters that are worked on together
-HELD_WORDS = 1 << 19        # distinct words that a task remembers
+PORTION_CHARS = 1 << 19     # characters that are worked on together
+PORTION_IDS = 1 << 17       # ids that are decoded together
+HELD_WORDS = 1 << 18        # distinct words that a task remembers
 
 
 def byte_letters() -> list[str]:
@@ -422,9 +423,18 @@ class BpeTokenizer:
         @F.arrow_udf("string")
         def run(lists: pa.Array) -> pa.Array:
             vocabulary = _encoder(shared).vocabulary
-            ends = np.cumsum(np.asarray(lists.value_lengths().fill_null(0)))
-            values = np.asarray(lists.flatten().cast(pa.int64()).fill_null(-1))
-            texts = pa.array(vocabulary.text(values, ends), pa.string())
+            lengths = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+            ends = np.cumsum(lengths)
+            values = lists.flatten()
+            texts: list[str] = []
+            first = 0
+            while first < len(ends):       # a portion of rows, of at least one
+                begin = int(ends[first] - lengths[first])
+                last = max(first + 1, int(np.searchsorted(ends, begin + PORTION_IDS, "right")))
+                part = values.slice(begin, int(ends[last - 1]) - begin).fill_null(-1)
+                texts += vocabulary.text(np.asarray(part), ends[first:last] - begin)
+                first = last
+            texts = pa.array(texts, pa.string())
             return pa.compute.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
 
         return run(F.col(ids))
