@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import bpe_lexicon, digest_index, host_rules, html_density, language_lm, mixing, sharding, toxicity
+from . import (bpe_lexicon, digest_index, host_rules, html_density, language_lm, mixing,
+               ngram_join, sharding, toxicity)
 from .tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +87,11 @@ def op6_subword_toxicity(spark, sf):
         "doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op7_ngram_join(spark, sf):
+    return ngram_join.join_classes(documents(spark, sf).select("doc_id", "text")).drop("stays")
+
+
 @query
 def op9_pfair_mix(spark, sf):
     return mixing.mix(documents(spark, sf)).drop("row_tag")

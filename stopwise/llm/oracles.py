@@ -104,6 +104,31 @@ QUALIFY row_number() OVER (PARTITION BY r ORDER BY depth) = 1
 """
 
 
+OP7 = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+           WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+         END) AS s FROM d),
+x AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM g),
+c AS (
+  SELECT a.doc_id AS p, b.doc_id AS q, a.n AS m, b.n AS n, count(*) AS k
+  FROM x a JOIN x b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT p, q FROM c WHERE k >= 0.8 * (m + n - k) - 1e-9),
+e AS MATERIALIZED (SELECT p, q FROM l UNION ALL SELECT q, p FROM l),
+r AS (
+  SELECT doc_id AS a, doc_id AS b FROM g
+  UNION SELECT r.a, e.q FROM r JOIN e ON r.b = e.p),
+k AS (SELECT a, min(b) AS class_id, count(*) AS class_size FROM r GROUP BY a)
+SELECT a AS doc_id, class_id, class_size,
+       (SELECT count(*) FROM e WHERE e.p = k.a) AS n_links
+FROM k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_host_rules": OP1, "op3_digest_index": OP3, "op9_pfair_mix": OP9,
+    return {"op1_host_rules": OP1, "op3_digest_index": OP3, "op7_ngram_join": OP7,
+            "op9_pfair_mix": OP9,
             "op10_extendible_shards": OP10}
