@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
 from . import (bpe_lexicon, digest_index, host_rules, html_density, language_lm, mixing,
-               ngram_join, sharding, toxicity)
+               ngram_join, sharding, suffix_dedup, toxicity)
 from .tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,14 @@ def op7_ngram_join(spark, sf):
     return ngram_join.join_classes(documents(spark, sf).select("doc_id", "text")).drop("stays")
 
 
+@query
+def op8_suffix_dedup(spark, sf):
+    cut = suffix_dedup.remove_repeats(documents(spark, sf).select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_pfair_mix(spark, sf):
     return mixing.mix(documents(spark, sf)).drop("row_tag")
