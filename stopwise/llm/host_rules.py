@@ -44,8 +44,9 @@ _COVERED = """
               0L, (a, x) -> a + x)"""
 
 
-def score_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, text: str | F.Column = "text") -> DataFrame:
     """Add the five measures and ``base_failed``; columns of these names are replaced."""
+    text = F.col(text) if isinstance(text, str) else text
     kept = [c for c in docs.columns if c not in (*MEASURES, "base_failed")]
     names = {k: free_name(docs, f"r_{k}") for k in "tlwnbhgspq"}
 
@@ -56,7 +57,7 @@ def score_documents(docs: DataFrame, text: str = "text") -> DataFrame:
 
     none = "CAST(array() AS array<bigint>)"
     t, w, lines = (F.col(names[k]) for k in "twl")
-    out = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias(names["t"]))
+    out = docs.select(*kept, F.coalesce(text, F.lit("")).alias(names["t"]))
     out = out.select(
         *kept,
         F.split(F.btrim(t, F.lit(" \t\n\x0b\f\r")), _SPACE).alias(names["w"]),
@@ -125,17 +126,20 @@ def apply_verdicts(scored: DataFrame, hosts: DataFrame, host: str = "source") ->
             .drop(key))
 
 
-def judge(docs: DataFrame, text: str = "text", host: str = "source",
+def judge(docs: DataFrame, text: str | F.Column = "text", host: str = "source",
           max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """Measures, host verdicts and ``kept`` for every row of ``docs``; all columns stay."""
-    scored = stage(score_documents(docs, text), "quality")
+    """Measures, host verdicts and ``kept`` for every row of ``docs``; all columns but the
+    text, which is read here only, stay."""
+    scored = score_documents(docs, text)
+    if isinstance(text, str):
+        scored = scored.drop(text)
+    scored = stage(scored, "quality")
     return apply_verdicts(scored, host_verdicts(scored, host, max_rate), host)
 
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source",
               max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The rows that pass, with the columns of ``docs``."""
-    judged = judge(docs.select(F.struct(*docs.columns).alias("row"),
-                               F.col(text).alias("text"), F.col(host).alias("source")),
-                   max_rate=max_rate)
-    return judged.filter("kept").select("row.*")
+    """The rows that pass, with the columns of ``docs``, whatever their names."""
+    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+                         docs[host].alias("source"))
+    return judge(packed, F.col("row")[text], max_rate=max_rate).filter("kept").select("row.*")
