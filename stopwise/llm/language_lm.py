@@ -101,7 +101,10 @@ class LanguageModels:
         self.languages = languages
         self.order = ORDER
         self.grams, self.values, self.contexts, self.weights = [], [], [], []
+        self.sharpness, self.limits = 1.0, np.full(len(languages), np.inf)
         width = len(languages)
+        if not width:
+            return
         lower = np.zeros((1, width), np.float32)
         for k in range(1, ORDER + 1):
             own = {c: v[counts["k"] == k] for c, v in counts.items()}
@@ -133,8 +136,6 @@ class LanguageModels:
             self.weights.append(np.log(np.maximum(left.T, 1e-9)).astype(np.float32))
         # a character that no language has
         self.none = self.weights[0][0] - np.float32(np.log(len(self.grams[0].keys) + 1))
-        self.sharpness = 1.0
-        self.limits = np.full(width, np.inf)
 
     @staticmethod
     def _discount(amount: np.ndarray) -> float:
