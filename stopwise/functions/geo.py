@@ -39,7 +39,9 @@ def _geodistance(lat_a: str, lon_a: str, lat_b: str, lon_b: str) -> str:
     mid = f"radians(({lat_a} + {lat_b}) / 2)"
     w = f"(1 - {WGS84_ECC2!r}D * pow(sin({mid}), 2))"
     north = f"{1 - WGS84_ECC2!r}D / {w} * radians({lat_b} - {lat_a})"
-    east = f"cos({mid}) * radians({lon_b} - {lon_a})"
+    # the short way around the globe
+    turn = f"(pmod({lon_b} - {lon_a} + 180D, 360D) - 180D)"
+    east = f"cos({mid}) * radians({turn})"
     return f"({WGS84_MAJOR_M}D * sqrt((pow({north}, 2) + pow({east}, 2)) / {w}))"
 
 

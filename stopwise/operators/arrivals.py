@@ -77,31 +77,33 @@ def score_arrivals(df: DataFrame, predictions: dict[str, str], *,
     """Mean absolute error of the predictions made since the previous arrival.
 
     ``predictions`` maps a prediction column to the error column to add; the error is
-    null without an arrival or a prediction to score. Predictions of ``age_s`` seconds
-    or more are out, so a segment needs only that much of the one before it: those
-    rows are repeated there and dropped again.
+    null without an arrival or a prediction to score. A ping belongs to the next arrival
+    of its bus and to no other, so the errors are a plain aggregate. Predictions of
+    ``age_s`` seconds or more are out, so the next arrival that counts is in the ping's
+    segment or the first one of the segment after it.
     """
     segment_s = max(segment_s, age_s)
     cut = segment_of(F.col("event_s"), segment_s)
-    spill = F.col("event_s") - cut * segment_s >= segment_s - age_s
-    spread = (df.withColumn("_home", cut)
-              .withColumn("_segment", F.explode(F.when(spill, F.array(cut, cut + 1))
-                                                .otherwise(F.array(cut)))))
-    inside = Window.partitionBy("codBus", "_segment").orderBy("event_s")
-    arrived = F.when(F.col("passed_sequence").isNotNull(), F.col("event_s"))
-    spread = spread.withColumn("_since", F.last(arrived, ignorenulls=True).over(
-        inside.rowsBetween(Window.unboundedPreceding, -1)))
-    frame = inside.rangeBetween(-(age_s - 1), -1)
-    recent = F.struct("event_s", *predictions)
-    spread = spread.withColumn("_recent", F.collect_list(recent).over(frame))
-    counted = F.filter("_recent", lambda p: F.col("_since").isNull() |
-                       (p["event_s"] >= F.col("_since")))
-    scored = (spread.filter(F.col("_home") == F.col("_segment"))
-              .withColumn("_recent", F.when(F.col("passed_stop_id").isNotNull(), counted)))
-    for made, error in predictions.items():
-        scored = scored.withColumn(error, mean_absolute_error(
-            F.col(f"_recent.{made}"), F.col("actual_delay")))
-    return scored.drop("_home", "_segment", "_since", "_recent")
+    arrival = F.when(F.col("passed_sequence").isNotNull(),
+                     F.struct(F.col("event_s").alias("at"), "actual_delay"))
+    pings = df.select("codBus", "event_s", *predictions, cut.alias("_segment"),
+                      arrival.alias("_arrival"))
+    ahead = Window.partitionBy("codBus", "_segment").orderBy("event_s").rowsBetween(
+        1, Window.unboundedFollowing)
+    opening = (pings.groupBy("codBus", (F.col("_segment") - 1).alias("_segment"))
+               .agg(F.min("_arrival").alias("_opening")).filter("_opening IS NOT NULL"))
+    aimed = (pings.withColumn("_next", F.first("_arrival", ignorenulls=True).over(ahead))
+             .join(opening, ["codBus", "_segment"], "left")
+             .withColumn("_next", F.coalesce("_next", "_opening"))
+             .filter(F.col("_next.at") - F.col("event_s") < age_s))
+    errors = aimed.groupBy("codBus", F.col("_next.at").alias("event_s")).agg(
+        *[F.avg(F.abs(F.col(made) - F.col("_next.actual_delay"))).alias(error)
+          for made, error in predictions.items()])
+    scored = df.drop(*predictions.values()).join(errors, ["codBus", "event_s"], "left")
+    for error in predictions.values():
+        scored = scored.withColumn(error, F.when(F.col("passed_stop_id").isNotNull(),
+                                                 F.col(error)))
+    return scored
 
 
 def mean_absolute_error(predictions, actual):

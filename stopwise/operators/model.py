@@ -27,13 +27,6 @@ def fit_delay_model(training: DataFrame, **options) -> PipelineModel:
     return delay_pipeline(**options).fit(training)
 
 
-def random_split(training: DataFrame, share: float = 0.8,
-                 seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Row split that depends on how the rows are partitioned; see ``hash_split``."""
-    train, test = training.randomSplit([share, 1 - share], seed=seed)
-    return train, test
-
-
 def score(df: DataFrame, model: PipelineModel | None,
           name: str = "predicted_delay_seconds") -> DataFrame:
     """Add the model's prediction; null for every row when there is no model."""

@@ -29,20 +29,27 @@ def line_trips(trips: DataFrame, line: str | None) -> DataFrame:
     return trips if line is None else trips.filter(F.col("route_id") == line)
 
 
-def schedule_master(timetable: Timetable, line: str | None = None,
-                    date: str | None = None) -> DataFrame:
-    """Stop times of the wanted trips with trip and stop attributes and ``service_s``.
+def schedule_master(timetable: Timetable, line: str, date: str | None = None, *,
+                    keep_stopless: bool = False) -> DataFrame:
+    """Stop times of one line's trips with trip and stop attributes and ``service_s``.
+
+    Route geometry, stops and matches are keyed by direction, so a schedule holds one
+    line; a network is one schedule per line. ``keep_stopless`` keeps stop times whose
+    stop the timetable does not describe, with null attributes.
 
     Trips and stop times both grow with the timetable and meet on trip_id, which a
     trip repeats once per stop. Stops join as a measured dimension.
     """
+    if line is None:
+        raise ValueError("a schedule is of one line; routes of all lines would mix")
     trips = line_trips(timetable.trips, line)
     if date is not None and timetable.calendar_dates is not None:
         trips = active_trips(trips, timetable.calendar_dates, date)
     times = timetable.stop_times.join(
         trips.select("trip_id", "direction_id", "trip_headsign"), "trip_id"
     ).withColumn("service_s", service_seconds("arrival_time"))
-    return join_dimension(times, timetable.stops, ["stop_id"], "inner", salt_on=["trip_id"])
+    return join_dimension(times, timetable.stops, ["stop_id"],
+                          "left" if keep_stopless else "inner", salt_on=["trip_id"])
 
 
 def schedule_distinct(schedule: DataFrame) -> DataFrame:

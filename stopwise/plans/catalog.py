@@ -16,6 +16,7 @@ from ..session import new_folder, stage
 from ..settings import LINE
 from ..sources import (read_live_status, read_ping_history, read_ping_stream, read_timetable,
                        write_table)
+from ..sources.pings import FEED_HEADER
 from ..streaming import (finish_vehicles, follow_vehicles, read_sink, run_available)
 from ..streaming.ingest import clean_stream, dedup_stream
 from . import chains, fixtures
@@ -112,9 +113,14 @@ def dedup_pings(spark, sf):
 
 @query
 def ping_history(spark, sf):
-    path = write_table(fixtures.gps_raw(spark, sf), new_folder(spark, "history"), "csv")
-    return shown(clean.clean_pings(read_ping_history(spark, f"{path}/*.csv"), LINE)
-                 .select(*_PING))
+    """Snapshots in the feed's order of columns, half of them in its older spelling."""
+    raw, folder = fixtures.gps_raw(spark, sf).select(*FEED_HEADER), new_folder(spark, "history")
+    older = F.col("last_update") < "2024-01-01 06:20:00"
+    write_table(raw.filter(~older), f"{folder}/new", "csv")
+    write_table(raw.filter(older).withColumnsRenamed(
+        {"lat": "latitud", "lon": "longitud", "codLinea": " codlinea"}), f"{folder}/old", "csv")
+    read = read_ping_history(spark, [f"{folder}/new/*.csv", f"{folder}/old/*.csv"])
+    return shown(clean.clean_pings(read, LINE).select(*_PING))
 
 
 @query
@@ -515,7 +521,7 @@ def metric_mape(spark, sf):
 def _run_feed(spark, sf, build, fmt="csv", **options) -> DataFrame:
     """Land the feed in two parts, running the stream after each, and read its sink."""
     feed, out = new_folder(spark, "feed"), new_folder(spark, "sink")
-    raw = fixtures.gps_raw(spark, sf)
+    raw = fixtures.gps_raw(spark, sf).select(*FEED_HEADER)     # lon before lat, as the feed
     early = F.col("last_update") < "2024-01-01 06:20:00"
     for part in (early, ~early):
         raw.filter(part).write.mode("append").format(fmt).option("header", True).save(feed)

@@ -154,11 +154,15 @@ _VIEWS: list[tuple[str, tuple[str, ...], str]] = [
           FROM single p JOIN geometry g USING (direction_id))
         QUALIFY row_number() OVER (PARTITION BY codBus, event_s
           ORDER BY distance_m, stop_sequence, stop_id) = 1"""),
-    ("nearest_due", ("near", "due"), """
-        SELECT codBus, event_s, t FROM near JOIN due USING (stop_id, direction_id)
-        WHERE abs(t - event_s % 86400) < 7200
-        QUALIFY row_number() OVER (PARTITION BY codBus, event_s
-          ORDER BY abs(t - event_s % 86400), t) = 1"""),
+    ("near_key", ("near",), """
+        SELECT codBus, event_s, stop_id, direction_id, event_s % 86400 AS s FROM near"""),
+    ("nearest_due", ("near_key", "due"), """
+        SELECT codBus, event_s, min(abs(t - s) * 1000000 + t) % 1000000 AS t
+        FROM near_key JOIN due USING (stop_id, direction_id)
+        WHERE abs(t - s) < 7200 GROUP BY ALL"""),
+    ("next_due", ("near_key", "due"), """
+        SELECT codBus, event_s, min(t) AS t
+        FROM near_key JOIN due USING (stop_id, direction_id) WHERE t >= s GROUP BY ALL"""),
     ("enriched", ("near", "nearest_due"), f"""
         SELECT near.*, event_s // 86400 * 86400 + t AS scheduled_epoch_s,
                coalesce({clock('t')}, 'N/A') AS scheduled_time,
@@ -276,7 +280,7 @@ def _with(final: str, *needs: str) -> str:
         if name not in wanted:
             wanted.add(name)
             todo.extend(_NEEDS[name])
-    parts = [f"{name} AS ({sql})" for name, _, sql in _VIEWS if name in wanted]
+    parts = [f"{name} AS MATERIALIZED ({sql})" for name, _, sql in _VIEWS if name in wanted]
     return f"WITH {', '.join(parts)} {final}" if parts else final
 
 
@@ -315,9 +319,7 @@ def oracle_sql() -> dict[str, str]:
     next_due = f"""SELECT codBus, event_s, stop_id, direction_id,
         CAST(coalesce(t - event_s % 86400, 0) AS DOUBLE) AS seconds_to_scheduled,
         coalesce({clock('t')}, 'N/A') AS scheduled_arrival
-        FROM near LEFT JOIN (SELECT codBus, event_s, min(t) AS t
-          FROM near JOIN due USING (stop_id, direction_id) WHERE t >= event_s % 86400
-          GROUP BY ALL) USING (codBus, event_s)"""
+        FROM near LEFT JOIN next_due USING (codBus, event_s)"""
     motion = "SELECT codBus, event_s, {} FROM {}"
     clean = _with(_CLEAN, "pings")
     replay = _with(_OUTPUT, "scored")
@@ -403,7 +405,7 @@ def oracle_sql() -> dict[str, str]:
             {r('distance_m')} AS distance_m FROM placed""", "placed"),
         "asof_nearest": _with("""SELECT codBus, event_s, stop_id, direction_id, scheduled_epoch_s,
             scheduled_time FROM enriched""", "enriched"),
-        "asof_next": _with(next_due, "near", "due"),
+        "asof_next": _with(next_due, "near", "next_due"),
         "true_delay": _with(f"""SELECT codBus, stop_id, {ts('scheduled_time')} AS scheduled_time,
             {ts('actual_time')} AS actual_time, true_delay_seconds FROM true_delays""",
                             "true_delays"),
@@ -474,7 +476,7 @@ def oracle_sql() -> dict[str, str]:
                              "newest"),
         "vehicle_replay": replay,
         "stream_vehicle_state": replay,
-        "stream_enrich": _with(next_due, "near", "due"),
+        "stream_enrich": _with(next_due, "near", "next_due"),
         "board": board,
         "stream_board": board,
     }

@@ -34,12 +34,14 @@ def start_query(
     return writer.trigger(**trigger).start()
 
 
-def run_available(df: DataFrame, path: str, checkpoint: str, *, limit_s: int = 600,
-                  **options) -> None:
-    """Process what has landed, then stop."""
+def run_available(df: DataFrame, path: str, checkpoint: str, *,
+                  limit_s: int | None = None, **options) -> None:
+    """Process what has landed, then stop; with ``limit_s``, fail when it takes longer."""
     query = start_query(df, path, checkpoint, **options)
     try:
-        if not query.awaitTermination(limit_s):
+        if limit_s is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(limit_s):
             raise TimeoutError(f"stream still busy after {limit_s} s")
     finally:
         query.stop()

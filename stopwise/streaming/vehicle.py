@@ -46,7 +46,7 @@ def _state_function(columns: list[str], default_speed: float, min_move_m: float,
         w = 1 - ecc2 * np.sin(mid) ** 2
         normal = 6378137.0 / np.sqrt(w)
         north = normal * (1 - ecc2) / w * np.radians(lat_b - lat_a)
-        east = normal * np.cos(mid) * np.radians(lon_b - lon_a)
+        east = normal * np.cos(mid) * np.radians((lon_b - lon_a + 180.0) % 360.0 - 180.0)
         return float(np.sqrt(north * north + east * east))
 
     def next_speed(distance, seconds, speed):
@@ -72,6 +72,8 @@ def _state_function(columns: list[str], default_speed: float, min_move_m: float,
             rows = fresh if rows is None else pd.concat([rows, fresh])
             rows = (rows.sort_values(["event_s", "lat", "lon", "direction_id"])
                     .drop_duplicates("event_s"))
+        if idle_ms and state.exists:   # a repeated ping is a sign of life as well
+            state.setTimeoutDuration(idle_ms)
         if rows is None or rows.empty:
             return
         speeds, waits, delays, passed, recents, recent_mls = [], [], [], [], [], []
