@@ -18,9 +18,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder, stage
-from .tables import free_name, tagged
+from .tables import keyed, tagged, without
 
-_COLUMNS = "digest BINARY, keep_id BIGINT, keep_tag BIGINT, batch STRING"
+_COLUMNS = "digest BINARY, keep_id BIGINT, keep_tag BINARY, batch STRING"
 
 
 class DigestIndex:
@@ -112,10 +112,8 @@ def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None, doc_id: s
     Without an index the batch is compared with itself only, by an index of its own.
     """
     index = index or DigestIndex.create(docs.sparkSession, new_folder(docs.sparkSession, "index"))
-    rows, tag = tagged(docs, "batch-rows")
-    key = free_name(rows, "digest")
+    rows, tag = keyed(docs, doc_id, text, "batch-rows")
     digests = stage(rows.select(F.col(tag).alias("row_tag"), F.col(doc_id).alias("doc_id"),
                                 digest(text).alias("digest")), "digests")
-    gone = stage(deduplicate(digests, index).filter("NOT kept")
-                 .select(F.col("row_tag").alias(key)), "duplicate-rows")
-    return rows.join(gone, rows[tag] == F.col(key), "left_anti").drop(tag)
+    gone = deduplicate(digests, index).filter("NOT kept").select("row_tag")
+    return without(rows, tag, stage(gone, "duplicate-rows"))

@@ -17,7 +17,7 @@ import re
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .tables import free_name
+from .tables import free_name, without
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -140,6 +140,11 @@ def judge(docs: DataFrame, text: str | F.Column = "text", host: str = "source",
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source",
               max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The rows that pass, with the columns of ``docs``, whatever their names."""
+    narrow = docs.select(docs[text].alias("text"), docs[host].alias("source"))
+    hosts = host_verdicts(score_documents(narrow).drop("text"), max_rate=max_rate)
+    failed = stage(hosts.filter("host_failed").select("host"), "failed-hosts")
+    # the texts are measured again rather than written with their measures
     packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"),
                          docs[host].alias("source"))
-    return judge(packed, F.col("row")[text], max_rate=max_rate).filter("kept").select("row.*")
+    scored = score_documents(packed, F.col("row")[text]).filter("NOT base_failed")
+    return without(scored, "source", failed).select("row.*")

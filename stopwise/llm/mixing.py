@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stage
 from .sharding import hash_bits
-from .tables import free_name, tagged
+from .tables import free_name, keyed, tagged
 
 QUANTA = 1000            # resolution of a weight, and slots of a period
 BLOCK_CHARS = 1 << 16
 EXPONENT = 0.7           # default weights: a source's characters to this power
 CHUNK_ROWS = 1024        # rows of one source that are ranked together
+BROADCAST_ROWS = 1_000_000   # places, of 40 bytes each; more are joined by a shuffle
 
 
 def whole_quanta(shares: dict[str, float], quanta: int = QUANTA) -> dict[str, int]:
@@ -121,12 +122,14 @@ def mix(docs: DataFrame, targets: dict[str | None, float] | None = None, doc_id:
 
 def interleave(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in the order of the mix, dealt out by ranges of slots."""
-    rows, tag = tagged(docs, "mixed-rows")
-    keys = ("row_tag", "doc_id", "text", "source")
-    names = {k: options.pop(k, k) for k in keys[1:]}
+    names = {k: options.pop(k, k) for k in ("doc_id", "text", "source")}
+    rows, tag = keyed(docs, names["doc_id"], names["text"], "mixed-rows")
     given = rows.select(F.col(tag).alias("row_tag"), *(F.col(v).alias(k) for k, v in names.items()))
     slot, place, key = (free_name(rows, c) for c in ("slot", "place", "row_tag_of"))
-    places = mix(given, **options).select(F.col("row_tag").alias(key), F.col("slot").alias(slot),
-                                          F.col("place").alias(place))
+    places = stage(mix(given, **options).select(
+        F.col("row_tag").alias(key), F.col("slot").alias(slot), F.col("place").alias(place)),
+        "places")
+    if places.count() <= BROADCAST_ROWS:
+        places = F.broadcast(places)
     return rows.join(places, rows[tag] == F.col(key)).orderBy(slot, place).drop(
         tag, key, slot, place)

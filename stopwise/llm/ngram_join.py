@@ -26,7 +26,7 @@ from ..session import stage
 from .components import components
 from .pretoken import portions
 from .shingles import PORTION_CHARS, WORDS, band_hashes, set_keys, shingle_sets
-from .tables import free_name, tagged
+from .tables import free_name, keyed, numbered, without
 
 THRESHOLD = 0.8
 RECALL = 0.999               # of a pair at the threshold
@@ -226,11 +226,11 @@ def join_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     bands, rows = choose_bands(threshold, recall)
     tagged_in = "row_tag" in docs.columns
     name = "row_tag" if tagged_in else free_name(docs, "row_tag")
-    given = docs if tagged_in else docs.withColumn(name, F.monotonically_increasing_id())
+    given = docs if tagged_in else docs.withColumn(name, numbered())
     signed = stage(given.select(F.struct(F.col(name).alias("tag"), F.col(doc_id).cast("long")
                                          .alias("doc_id")).alias("doc_id"), text)
                    .mapInArrow(_sign(bands, rows, words),
-                               "doc_id struct<tag: long, doc_id: long>, node binary, "
+                               "doc_id struct<tag: binary, doc_id: long>, node binary, "
                                "bands array<long>")
                    .select("doc_id.tag", "doc_id.doc_id", "node", "bands"), "signatures")
     # equal sets are one node; documents without words are left alone
@@ -265,10 +265,8 @@ def join_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each class, that of the smallest doc_id, with the columns of ``docs``."""
-    rows, tag = tagged(docs, "batch-rows")
+    rows, tag = keyed(docs, doc_id, text, "batch-rows")
     given = rows.select(F.col(tag).alias("row_tag"), F.col(doc_id).alias("doc_id"),
                         F.col(text).alias("text"))
-    key = free_name(rows, "gone_tag")
-    gone = stage(join_classes(given, **options).filter("NOT stays").select(
-        F.col("row_tag").alias(key)), "near-copies")
-    return rows.join(gone, rows[tag] == F.col(key), "left_anti").drop(tag)
+    gone = join_classes(given, **options).filter("NOT stays").select("row_tag")
+    return without(rows, tag, stage(gone, "near-copies"))

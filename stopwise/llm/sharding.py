@@ -95,7 +95,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, doc_id: str = "doc_
         offset, round_ = offset + depth, round_ + 1
         # the bits that were used are gone; equal hashes go on with one of the row number
         fresh = F.when(F.lit(offset >= BITS), hash_bits(
-            F.concat(F.col("row_tag").cast("string"), F.lit(f" {round_}"))))
+            F.concat(F.hex("row_tag"), F.lit(f" {round_}"))))
         used = F.call_function("shiftleft", F.col("key"), F.lit(depth)).bitwiseAND(
             F.lit((1 << BITS) - 1).cast("long"))
         left = stage(placed.filter("NOT fits").select(
