@@ -83,7 +83,8 @@ def test_suffix_order():
         assert heads == sorted(heads)
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_contexts": 1, "broadcast_anchors": 0}])
+@pytest.mark.parametrize("options", [
+    {}, {"hot_contexts": 1}, {"broadcast_anchors": 0, "broadcast_runs": 0}])
 def test_repeats_match_brute_force(spark, options):
     given = [r for r in rows() if len(r[1] or "") < 20_000]
     rng = random.Random(7)
