@@ -7,6 +7,9 @@ over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..settings import BROADCAST_ROWS, SALTS
@@ -37,6 +40,17 @@ def release_dimensions() -> None:
         _held.pop().unpersist()
 
 
+@contextmanager
+def released_after() -> Iterator[None]:
+    """Drop the dimensions that are cached inside the block, such as one micro-batch."""
+    before = len(_held)
+    try:
+        yield
+    finally:
+        while len(_held) > before:
+            _held.pop().unpersist()
+
+
 def join_dimension(
     facts: DataFrame,
     dim: DataFrame | Dimension,

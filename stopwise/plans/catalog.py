@@ -14,8 +14,8 @@ from ..operators import position, timetable as tt, training
 from ..operators.joins import join_dimension
 from ..session import new_folder, stage
 from ..settings import LINE
-from ..sources import (read_live_status, read_ping_history, read_ping_stream, read_timetable,
-                       write_table)
+from ..sources import (load_model, read_live_status, read_ping_history, read_ping_stream,
+                       read_timetable, save_model, write_table)
 from ..sources.pings import FEED_HEADER
 from ..streaming import (finish_vehicles, follow_vehicles, read_sink, run_available)
 from ..streaming.ingest import clean_stream, dedup_stream
@@ -27,8 +27,11 @@ _ALL: dict[str, Query] = {}
 
 DATE = "20240101"
 
-# Forest size of the registered queries; the library default is larger.
-SMALL_FOREST = {"num_trees": 20, "max_depth": 5}
+# The forest is fitted on about so many labelled rows, at its full size of 400 trees.
+FOREST_ROWS = 1000
+
+_MODELS: dict[tuple[str, str], str] = {}      # saved models of this application, by folder
+
 
 def query(fn: Query) -> Query:
     _ALL[fn.__name__] = fn
@@ -481,27 +484,68 @@ def split_counts(spark, sf):
                                      F.sum("true_delay_seconds").alias("sum_delay")))
 
 
+def _clean_split(spark, sf):
+    return training.hash_split(training.clean_training(_training(spark, sf)), _row_key())
+
+
 def _model(spark, sf):
-    rows = training.hash_split(training.clean_training(_training(spark, sf)), _row_key())
-    return model.fit_delay_model(rows.filter("is_train"), **SMALL_FOREST), rows
+    """The delay model of a data folder, fitted once, saved and loaded from there on."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        rows = stage(_clean_split(spark, sf).filter("is_train"), "labelled")
+        part = F.pmod(F.xxhash64(_row_key()), F.lit(1 << 20)) / float(1 << 20)
+        sample = rows.filter(part < FOREST_ROWS / max(rows.count(), 1)).coalesce(8)
+        _MODELS[key] = save_model(model.fit_delay_model(sample), new_folder(spark, "model"))
+    return load_model(_MODELS[key])
 
 
 @query
 def score_batch(spark, sf):
-    return model.score_live_status(_live(spark, sf), _model(spark, sf)[0])
+    return model.score_live_status(_live(spark, sf), _model(spark, sf))
+
+
+def _in_range(column: str):
+    """A forest averages labels, and cleaned labels are below 900 s."""
+    return F.coalesce(F.abs(F.col(column)) < 900, F.lit(False))
+
+
+@query
+def score_batch_keys(spark, sf):
+    """The rows of ``score_batch``, with whether each prediction is one of a fitted forest."""
+    return shown(score_batch(spark, sf).select(
+        "codBus", "timestamp", "stop_sequence", "seconds_to_scheduled",
+        _in_range("predicted_delay_seconds").alias("in_range")))
 
 
 @query
 def model_metrics(spark, sf):
     """Hold-out error of the forest."""
-    fitted, rows = _model(spark, sf)
-    held_out = model.score(rows.filter("NOT is_train"), fitted)
+    held_out = model.score(_clean_split(spark, sf).filter("NOT is_train"), _model(spark, sf))
     return evaluate.mae_rmse(held_out, F.col(model.LABEL), F.col("predicted_delay_seconds"))
 
 
 @query
 def feature_importance(spark, sf):
-    return model.feature_importance(_model(spark, sf)[0])
+    return model.feature_importance(_model(spark, sf))
+
+
+@query
+def feature_importance_sum(spark, sf):
+    """Importances are shares: none below 0, together 1."""
+    return feature_importance(spark, sf).agg(
+        F.count("*").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"),
+        (F.min("importance") >= 0).alias("all_shares"))
+
+
+@query
+def model_metrics_bounds(spark, sf):
+    """The hold-out error beside that of always predicting no delay."""
+    held_out = _clean_split(spark, sf).filter("NOT is_train")
+    scored = model.score(held_out, _model(spark, sf))
+    miss = F.abs(F.col(model.LABEL) - F.col("predicted_delay_seconds"))
+    return scored.agg(
+        F.count("*").alias("n_rows"), F.sum(F.abs(model.LABEL)).alias("sum_abs_delay"),
+        (F.avg(miss) < F.avg(F.abs(model.LABEL)) + 60).alias("no_worse"))
 
 
 @query
@@ -560,20 +604,29 @@ def stream_enrich(spark, sf):
 @query
 def stream_score(spark, sf):
     schedule = _line(spark, sf)
-    stops, fitted = tt.route_geometry(schedule), _model(spark, sf)[0]
+    stops, fitted = tt.route_geometry(schedule), _model(spark, sf)
     out = _run_feed(spark, sf, lambda raw: chains.score_enriched(
         chains.enrich(clean_stream(raw, LINE), stops, schedule), fitted))
     return out.select("codBus", "timestamp", "stop_sequence", "predicted_delay_ml")
 
 
+@query
+def stream_score_keys(spark, sf):
+    """The rows of ``stream_score``, with whether each prediction is one of a fitted forest."""
+    return stream_score(spark, sf).groupBy("codBus", "timestamp").agg(
+        F.min("stop_sequence").alias("stop_sequence"),
+        F.min(_in_range("predicted_delay_ml")).alias("in_range")).withColumn(
+        "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query
 def stream_microbatch(spark, sf):
-    """Live status of the buses of each micro-batch."""
+    """Live status of the buses of each micro-batch; either part of the feed is one."""
     schedule = _line(spark, sf)
     stops = tt.route_stops(schedule)
-    return _run_feed(spark, sf, lambda raw: clean_stream(raw, LINE),
-                     step=lambda batch: live.live_status(live.latest_ping(batch), stops,
-                                                         schedule))
+    return shown(_run_feed(spark, sf, lambda raw: clean_stream(raw, LINE),
+                           step=lambda batch: live.live_status(live.latest_ping(batch), stops,
+                                                               schedule)))
 
 
 def _run_vehicles(spark, sf) -> DataFrame:

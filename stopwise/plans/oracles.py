@@ -264,6 +264,19 @@ _VIEWS += [
             FROM newest_placed j JOIN valid v
               ON j.next_stop_id = v.stop_id AND j.direction_id = v.direction_id
             GROUP BY ALL) USING (codBus))"""),
+    ("newest_parts", ("pings",), """
+        SELECT * FROM pings QUALIFY row_number() OVER (
+          PARTITION BY codBus, last_update < '2024-01-01 06:20:00'
+          ORDER BY event_s DESC, lat DESC, lon DESC) = 1"""),
+    ("parts_placed", ("newest_parts", "route_ends"), _position("newest_parts")),
+    ("parts_status", ("parts_placed", "valid"), f"""
+        SELECT * EXCLUDE (n), {_AT.format('n')} AS next_scheduled_time FROM (
+          SELECT p.*, n FROM parts_placed p LEFT JOIN (
+            SELECT j.codBus, j.event_s, min(event_s // 86400 * 86400 + service_s
+                     + CASE WHEN service_s < event_s % 86400 THEN 86400 ELSE 0 END) AS n
+            FROM parts_placed j JOIN valid v
+              ON j.next_stop_id = v.stop_id AND j.direction_id = v.direction_id
+            GROUP BY ALL) USING (codBus, event_s))"""),
     ("final_state", ("scored",), """
         SELECT * FROM scored QUALIFY row_number() OVER (
           PARTITION BY codBus ORDER BY event_s DESC) = 1"""),
@@ -462,6 +475,20 @@ def oracle_sql() -> dict[str, str]:
         "split_counts": _with(f"""SELECT substr(md5({_KEY}), 1, 8) < 'cccccccc' AS is_train,
             count(*) AS n_rows, CAST(sum(true_delay_seconds) AS BIGINT) AS sum_delay
             FROM labelled GROUP BY ALL""", "labelled"),
+        "stream_microbatch": _with(_LIVE.replace("FROM status", "FROM parts_status"),
+                                   "parts_status"),
+        "score_batch_keys": _with(f"""SELECT codBus, {ts('seen')} AS "timestamp", stop_sequence,
+            CAST(epoch(next_scheduled_time) - event_s AS DOUBLE) AS seconds_to_scheduled,
+            true AS in_range FROM status WHERE next_scheduled_time IS NOT NULL""", "status"),
+        "feature_importance_sum": """SELECT 9::BIGINT AS n_features, 1.0::DOUBLE AS total,
+            true AS all_shares""",
+        "model_metrics_bounds": _with(f"""SELECT count(*) AS n_rows,
+            CAST(sum(abs(true_delay_seconds)) AS DOUBLE) AS sum_abs_delay, true AS no_worse
+            FROM labelled WHERE distance_m < 500 AND abs(true_delay_seconds) < 900
+              AND substr(md5({_KEY}), 1, 8) >= 'cccccccc'""", "labelled"),
+        "stream_score_keys": _with(f"""SELECT codBus, {ts('seen')} AS "timestamp",
+            min(stop_sequence) AS stop_sequence, true AS in_range FROM enriched
+            GROUP BY ALL""", "enriched"),
         "metric_mae_rmse": _with(f"""SELECT {r('avg(abs(actual_delay - delay))')} AS mae,
             {r('sqrt(avg(power(actual_delay - delay, 2)))')} AS rmse
             FROM actual WHERE passed IS NOT NULL""", "actual"),

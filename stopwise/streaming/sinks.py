@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.joins import released_after
+
 
 def start_query(
     df: DataFrame,
@@ -25,8 +27,9 @@ def start_query(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = step(batch) if step else batch
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        with released_after():
+            out = step(batch) if step else batch
+            out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = (df.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint).foreachBatch(write))
