@@ -146,5 +146,7 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source",
     # the texts are measured again rather than written with their measures
     packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"),
                          docs[host].alias("source"))
-    scored = score_documents(packed, F.col("row")[text]).filter("NOT base_failed")
-    return without(scored, "source", failed).select("row.*")
+    # a filter below the explode would take the measures' steps apart and repeat them
+    scored = score_documents(packed, F.col("row")[text]).select(
+        "row", "source", F.explode(F.array("base_failed")).alias("failed"))
+    return without(scored.filter("NOT failed"), "source", failed).select("row.*")
