@@ -19,5 +19,5 @@ DAY_S = 86400
 BROADCAST_ROWS = 1_000_000   # a dimension above this joins by salted shuffle
 SALTS = 32                   # copies of a shuffled dimension
 SEGMENT_S = 21_600           # longest stretch of one vehicle held by one task
-ASOF_BUCKET_S = 120          # width of the time bucket in the schedule join key
+ASOF_BUCKET_S = 900          # width of the time bucket in the schedule join key
 GRID_LEVELS = (16, 10)       # 2**level grid columns around the globe, fine to coarse
