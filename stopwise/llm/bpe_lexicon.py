@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .pretoken import portions, split_words
+from .pretoken import row_portions, split_words
 from .tables import free_name
 
 LEXICON_WORDS = 1 << 16     # at most so many words are compiled
 PORTION_CHARS = 1 << 19     # characters that are worked on together
 PORTION_IDS = 1 << 17       # ids that are decoded together
-HELD_WORDS = 1 << 18        # distinct words that a task remembers
+HELD_WORDS = 1 << 17        # distinct words that a task remembers
 
 
 def byte_letters() -> list[str]:
@@ -337,9 +337,9 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
                 ["word", "n"])
 
         for batch in batches:
-            texts = [t for t in batch.column(0).to_pylist() if t]
-            for a, b in portions(texts, PORTION_CHARS):
-                held.update(split_words(texts[a:b])[0])
+            for a, b in row_portions(batch.column(0), PORTION_CHARS):
+                texts = [t for t in batch.column(0).slice(a, b - a).to_pylist() if t]
+                held.update(split_words(texts)[0])
                 if len(held) > HELD_WORDS:
                     yield table()
                     held.clear()
@@ -398,18 +398,15 @@ class BpeTokenizer:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encoder = _encoder(shared)
             for batch in batches:
-                texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-                ids, ends, total = [], [np.zeros(1, np.int64)], 0
-                for a, b in portions(texts, PORTION_CHARS):
-                    part, stops = encoder.encode(texts[a:b])
-                    ids.append(part)
-                    ends.append(stops + total)
-                    total += len(part)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(ends), pa.int32()),
-                    pa.array(np.concatenate(ids) if ids else [], pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], lists], [*batch.schema.names[:-1], out])
+                column = batch.column(batch.num_columns - 1)
+                for a, b in row_portions(column, PORTION_CHARS):
+                    ids, ends = encoder.encode(
+                        [t or "" for t in column.slice(a, b - a).to_pylist()])
+                    lists = pa.ListArray.from_arrays(
+                        pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids, pa.int32()))
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.slice(a, b - a).columns[:-1], lists],
+                        [*batch.schema.names[:-1], out])
 
         given = docs.select(*kept, F.col(text).alias(name))
         fields = [f for f in docs.schema.fields if f.name != out]
@@ -426,16 +423,16 @@ class BpeTokenizer:
             lengths = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
             ends = np.cumsum(lengths)
             values = lists.flatten()
-            texts: list[str] = []
+            parts = [pa.array([], pa.string())]
             first = 0
             while first < len(ends):       # a portion of rows, of at least one
                 begin = int(ends[first] - lengths[first])
                 last = max(first + 1, int(np.searchsorted(ends, begin + PORTION_IDS, "right")))
                 part = values.slice(begin, int(ends[last - 1]) - begin).fill_null(-1)
-                texts += vocabulary.text(np.asarray(part), ends[first:last] - begin)
+                parts.append(pa.array(vocabulary.text(np.asarray(part), ends[first:last] - begin),
+                                      pa.string()))
                 first = last
-            texts = pa.array(texts, pa.string())
-            return pa.compute.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
+            return pa.compute.if_else(lists.is_valid(), pa.concat_arrays(parts), pa.scalar(None, pa.string()))
 
         return run(F.col(ids))
 

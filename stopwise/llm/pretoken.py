@@ -11,6 +11,8 @@ import unicodedata
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 
@@ -104,3 +106,14 @@ def portions(texts: list[str], chars: int):
         total += len(text)
     if first < len(texts):
         yield first, len(texts)
+
+
+def row_portions(column: pa.Array, size: int):
+    """Runs ``(first, last + 1)`` of rows with about ``size`` bytes in each, before any is decoded."""
+    lengths = np.asarray(pc.fill_null(pc.binary_length(column), 0)).astype(np.int64)
+    ends = np.cumsum(lengths)
+    first = 0
+    while first < len(ends):
+        last = int(np.searchsorted(ends, ends[first] - lengths[first] + size, "right"))
+        yield first, max(last, first + 1)
+        first = max(last, first + 1)
