@@ -3,9 +3,12 @@
 Every node of the page's tree gets its characters per tag, weakened where much of its text
 is in links; a node's density sum is the sum over its children. The node of the largest sum
 holds the article, and the least density on the path from it to the body is the threshold
-at which other parts of the page count as content as well. Menus, headers, footers, side
-bars, notices, adverts, forms, scripts, styles and reader comments, known by tag, role or
-class, are taken out of the tree before it is weighed.
+at which other parts of the page count as content as well. What else stands in the same
+article or main element, headings, short blocks and loose text too, is content without a
+threshold, and so are headings of an outer main before it; only what is mostly links needs
+to be a heading. Menus, headers, footers, side bars, notices, adverts, forms, scripts,
+styles and reader comments, known by tag, role or class, are taken out of the tree before
+it is weighed.
 
 Null or empty html, and pages without text, give an empty string. Unclosed and misplaced
 tags are closed as browsers do it roughly. Of equal sums the first in page order counts.
@@ -27,8 +30,9 @@ from .tables import free_name
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article blockquote body center dd details div dl dt fieldset figcaption figure "
-    "h1 h2 h3 h4 h5 h6 hgroup hr html li main ol p pre section summary table tbody tfoot thead "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr html li main ol p pre section summary table tbody tfoot thead "
     "tr ul".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 UNSEEN = frozenset(
     "aside button canvas datalist dialog footer form head header iframe input math menu nav "
     "noscript object script select style svg template textarea title".split())
@@ -184,37 +188,77 @@ def main_text(html: str | None) -> str:
     while k != body:
         k = tree.parent[k]
         threshold = min(threshold, density[k])
-    chosen = [False] * n
-    chosen[best] = True
     on_path, k = {best}, best
     while k != body:
         k = tree.parent[k]
         on_path.add(k)
-    for k in range(1, n):
+    # the article of the best node, else its main element
+    home, k = -1, best
+    while k > 0:
+        if tree.tag[k] == "article":
+            home = k
+            break
+        if tree.tag[k] == "main" and home < 0:
+            home = k
+        k = tree.parent[k]
+    at_home = [False] * n
+    share = [_OUT] * n
+    for k in range(n):
         up = tree.parent[k]
-        if chosen[up]:
-            chosen[k] = True
-        elif up in on_path and k not in on_path and alive[k] and tree.tag[k] in BLOCK \
-                and density[k] > threshold and tree.link_chars[k] * 2 < tree.chars[k] \
-                and density[k] >= density[best]:
-            chosen[k] = True
-    blocks, line = [], []
+        at_home[k] = k == home or (up >= 0 and at_home[up])
+        linked = tree.link_chars[k] * 2 >= tree.chars[k]
+        if not alive[k]:
+            continue
+        if k == best or (up >= 0 and share[up] == _ALL):
+            share[k] = _ALL
+        elif at_home[k]:
+            whole = k not in on_path and (tree.tag[k] in HEADING
+                                          or tree.tag[k] in BLOCK and not linked)
+            share[k] = _ALL if whole else _LOOSE
+        elif k in on_path or up < 0:
+            continue
+        elif tree.tag[k] in HEADING and tree.inside[k] and k < best and (
+                up in on_path or tree.tag[up] == "header" and tree.parent[up] in on_path):
+            share[k] = _ALL
+        elif up in on_path and tree.tag[k] in BLOCK and density[k] >= threshold and not linked:
+            share[k] = _ALL
+    return "\n".join(_blocks(tree, share))
+
+
+_OUT, _LOOSE, _ALL = range(3)       # of a node's own text: none, lines not mostly links, all
+
+
+def _blocks(tree: _Tree, share: list[int]) -> list[str]:
+    """The texts between borders of blocks, with single blanks."""
+    out: list[str] = []
+    line: list[str] = []
+    sure, chars, linked = False, 0, 0
+
+    def end() -> None:
+        nonlocal sure, chars, linked
+        text = " ".join("".join(line).split())
+        if text and (sure or linked * 2 < chars):
+            out.append(text)
+        line.clear()
+        sure, chars, linked = False, 0, 0
+
     for k, text in tree.events:
-        if not chosen[k] or tree.dead[k]:
+        if not share[k]:
             if tree.tag[k] in BLOCK and line:
-                blocks.append("".join(line))
-                line = []
+                end()
             continue
         if not text and tree.tag[k] in BLOCK:
-            blocks.append("".join(line))
-            line = []
+            end()
         elif text:
             line.append(text)
+            size = len("".join(text.split()))
+            sure |= share[k] == _ALL and size > 0
+            chars += size
+            linked += size * tree.link[k]
         elif tree.tag[k] in ("td", "th"):
             line.append(" ")
-    blocks.append("".join(line))
-    cleaned = (" ".join(b.split()) for b in blocks)
-    return "\n".join(b for b in cleaned if b)
+    end()
+    return out
 
 
 def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:

@@ -90,6 +90,34 @@ def test_main_text_of_a_page():
         "Second paragraph has many words in it as well, so it counts.")
 
 
+def _paragraphs(n, size, mark):
+    return [" ".join(f"{mark}{k}" + "x" * 7 for _ in range(size // 10)) for k in range(n)]
+
+
+def _html(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize("outer, inner", [("article", "section"), ("main", "div"), ("div", "div")])
+def test_second_section_below_the_best_density_is_content(outer, inner):
+    """By the threshold of the path alone where no article or main holds both."""
+    one, two = _paragraphs(5, 400, "a"), _paragraphs(5, 390, "b")
+    page = (f"<body><{outer}><{inner}>{_html(one)}</{inner}><{inner}>{_html(two)}</{inner}>"
+            f"</{outer}><div><a href=x>{'link ' * 30}</a></div></body>")
+    assert html_density.main_text(page) == "\n".join(one + two)
+
+
+def test_heading_short_blocks_and_loose_text_of_the_article():
+    long = _paragraphs(5, 400, "a")
+    page = (f"<body><nav>Menu</nav><main><h1>Title</h1><div><a href=x>More of it</a></div>"
+            f"<article><header><h2><a href=t>Part</a></h2></header>Loose <a href=y>linked</a> text"
+            f"<p>Short.</p><ul><li><a href=z>Elsewhere on this site</a></li></ul>"
+            f"<div>{_html(long)}</div><p>End.</p><aside>Beside</aside>after all</article>"
+            f"<h2><a href=m>More stories</a></h2></main><footer>Foot</footer></body>")
+    assert html_density.main_text(page) == "\n".join(
+        ["Title", "Part", "Loose linked text", "Short.", *long, "End.", "after all"])
+
+
 @pytest.mark.parametrize("html, text", [
     (None, ""), ("", ""), ("   ", ""), ("plain words only", "plain words only"),
     ("<p>one<p>two", "one\ntwo"), ("<b><i>odd</b> nest</i>", "odd nest"),
