@@ -144,3 +144,41 @@ def test_mix_follows_given_weights(spark):
     assert out.columns == docs.columns and out.count() == 900
     first = out.limit(200).collect()
     assert abs(sum(r["source"] == "small" for r in first) / 200 - 0.75) < 0.05
+
+
+def _sources(n, blocks):
+    """``blocks`` blocks of one source, and one each of ``n`` others."""
+    given = [(k, "x" * 10, "big") for k in range(blocks)]
+    return given + [(10_000 + k, "y" * 10, f"h{k}") for k in range(n)]
+
+
+def test_mix_of_more_sources_than_quanta(spark):
+    given = _sources(2600, 700)
+    docs = spark.createDataFrame(given, "doc_id long, text string, source string").repartition(8)
+    targets = {s: 0.5 if s == "big" else 0.5 / 2600 for _, _, s in given}
+    got = mixing.mix(docs, targets=targets, block_chars=10).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in given)
+    assert len({r["slot"] for r in got}) == len(given) and {r["place"] for r in got} == {1}
+    share = 0.5 * 49 / 50 + 0.5 / 50 / 6       # the quantum each has goes evenly over groups
+    for r in got:
+        if r["source"] == "big":
+            assert abs((r["slot"] + 0.5) * share - r["block"] - 0.5) < 0.05 * r["block"] + 2
+    early = sum(r["slot"] < 650 for r in got if r["source"] != "big")
+    assert 0.6 * 325 < early < 1.4 * 325       # the small ones are spread, not left to the end
+    assert mixing.mix(docs, block_chars=10).count() == len(given)
+
+
+def test_weights_hold_with_nearly_as_many_sources_as_quanta(spark):
+    given = _sources(980, 400)
+    docs = spark.createDataFrame(given, "doc_id long, text string, source string").repartition(8)
+    targets = {s: 0.5 if s == "big" else 0.5 / 980 for _, _, s in given}
+    got = mixing.mix(docs, targets=targets, block_chars=10).collect()
+    assert len(got) == len(given)
+    for r in got:
+        if r["source"] == "big":
+            assert abs(r["slot"] * 0.49 - r["block"]) < 0.02 * r["block"] + 2
+
+
+def test_few_sources_keep_the_given_period():
+    assert [mixing.period_slots(n) for n in (1, 20, 50, 51, 1000)] == [
+        1000, 1000, 1000, 2550, 50_000]
