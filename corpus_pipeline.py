@@ -3,6 +3,9 @@
 Quality rules, exact duplicates, near duplicates, mixing of sources, encoding. Each stage
 is written as Parquet and read again as the documents of the next one, so a lost executor
 costs no more than the tasks of the running stage.
+
+Parquet read in parts keeps no order, so the last stage has each document's slot and place
+in the mix as columns, and run() gives its rows in that order.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stopwise.llm import bpe_lexicon, digest_index, host_rules, mixing, ngram_join
 from stopwise.llm.catalog import tokenizer_path
-from stopwise.llm.tables import documents
+from stopwise.llm.tables import documents, keyed
 from stopwise.session import stage
 
 VOCABULARY = os.environ.get("CORPUS_VOCABULARY")    # a tokenizer file; None: the public one
@@ -40,15 +43,21 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token count and digests of the ids and of the decoded text, per document."""
+    """Token count, digests of the ids and of the decoded text, and place in the mix, per document.
+
+    Places follow from hashes and sizes alone, so they are those of the mixing stage.
+    """
+    rows, tag = keyed(docs, "doc_id", "text", "encoded-rows")
+    places = mixing.places_of(rows, tag).withColumnRenamed("row_tag", "row_tag_of")
     tokenizer = bpe_lexicon.BpeTokenizer(spark, VOCABULARY or tokenizer_path())
-    given = docs.select("doc_id", "text")
-    tokenizer.fit_lexicon(given)
-    coded = tokenizer.encode(given).withColumn("decoded", tokenizer.decode())
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    tokenizer.fit_lexicon(docs.select("doc_id", "text"))
+    coded = tokenizer.encode(rows.select("doc_id", "text", F.col(tag).alias("row_tag")))
+    coded = coded.withColumn("decoded", tokenizer.decode()).select(
+        "row_tag", "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+    return coded.join(places, F.col("row_tag") == F.col("row_tag_of")).drop(
+        "row_tag", "row_tag_of")
 
 
 STAGES = [
@@ -64,7 +73,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encoded documents in the order of the mix."""
     docs = documents(spark, sf_dir)
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    return docs.orderBy("slot", "place").drop("slot", "place")

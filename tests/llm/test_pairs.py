@@ -1,5 +1,6 @@
 """Near copies and repeated passages against brute force, and the whole pipeline."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from stopwise.llm import ngram_join, suffix_dedup
+from stopwise.llm import mixing, ngram_join, suffix_dedup
 from stopwise.llm.components import components
 from stopwise.llm.shingles import WORDS, shingle_sets
 
@@ -143,3 +144,30 @@ def test_pipeline_matches_a_plain_version(spark, tmp_path):
     columns = docs.columns
     for name, step in corpus_pipeline.STAGES[:-1]:
         assert step(spark, docs, str(tmp_path)).columns == columns, name
+
+
+def test_pipeline_gives_the_order_of_the_mix(spark, tmp_path):
+    """Three sources of several blocks, in the slots of the Pfair period."""
+    rng = random.Random(21)
+    given = [(k, prose(rng, 700), "en", f"s{min(k % 7, 2)}", 1) for k in range(350)]
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, "
+                                        "n_chars long").repartition(5)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(r[0] for r in given)
+    size = Counter()
+    for r in given:
+        size[f"s:{r[3]}"] += len(r[1])
+    weights = mixing.whole_quanta({s: n ** mixing.EXPONENT for s, n in size.items()})
+    slots = {(s, j): slot for s, j, slot in mixing.pfair_period(weights)}
+    key = {r[0]: int(hashlib.md5(str(r[0]).encode()).hexdigest()[:15], 16) for r in given}
+    want, start = [], Counter()
+    for r in sorted(given, key=lambda r: key[r[0]]):
+        s = f"s:{r[3]}"
+        want.append((slots[s, start[s] // mixing.BLOCK_CHARS], key[r[0]], r[0]))
+        start[s] += len(r[1])
+    assert len({w[0] for w in want}) > 10
+    assert got == [w[2] for w in sorted(want)]
+    last = corpus_pipeline.encode(spark, docs, str(tmp_path))
+    assert last.columns[-2:] == ["slot", "place"]
+    assert [r["doc_id"] for r in last.orderBy("slot", "place").collect()] == got
