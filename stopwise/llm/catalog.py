@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
 from . import (bpe_lexicon, digest_index, host_rules, html_density, language_lm, mixing,
-               ngram_join, sharding, suffix_dedup, toxicity)
+               ngram_join, packing, sharding, suffix_dedup, toxicity)
 from .tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +108,14 @@ def op9_pfair_mix(spark, sf):
 @query
 def op10_extendible_shards(spark, sf):
     return sharding.assign_shards(documents(spark, sf))
+
+
+WORD_TOKENIZER = "word_bpe_49k.json"
+
+
+@query
+def op12_best_fit_packing(spark, sf):
+    packed = packing.pack(documents(spark, sf).select("doc_id", "text"),
+                          tokenizer_path(WORD_TOKENIZER))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "sequence_id", "offset")
