@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import (bpe_lexicon, digest_index, host_rules, html_density, language_lm, mixing,
-               ngram_join, packing, sharding, suffix_dedup, toxicity)
+from . import (bpe_lexicon, digest_index, hard_negatives, host_rules, html_density, language_lm,
+               mixing, ngram_join, packing, sharding, suffix_dedup, toxicity,
+               turn_trie)
 from .tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +111,16 @@ def op10_extendible_shards(spark, sf):
     return sharding.assign_shards(documents(spark, sf))
 
 
+@query
+def op11_turn_trie(spark, sf):
+    given = spark.read.parquet(f"{sf.rstrip('/')}/conversations.parquet")
+    head = F.crc32(F.col("conv").cast("string").cast("binary")) % 9
+    turns, convs = turn_trie.with_shared_heads(*turn_trie.number_turns(given), 5, head, 8)
+    nodes = turn_trie.with_end_digests(*turn_trie.prefix_trie(turns, convs))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+                        "saved_tokens", "ends_sha256")
+
+
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
@@ -119,3 +130,12 @@ def op12_best_fit_packing(spark, sf):
                           tokenizer_path(WORD_TOKENIZER))
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "sequence_id", "offset")
+
+
+@query
+def op13_hard_negatives(spark, sf):
+    rows = spark.read.parquet(f"{sf.rstrip('/')}/embeddings.parquet").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+        .otherwise(F.col("label")).alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

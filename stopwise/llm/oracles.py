@@ -127,8 +127,78 @@ SELECT a AS doc_id, class_id, class_size,
 FROM k
 """
 
+OP11 = """
+WITH t AS MATERIALIZED (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, strlen(coalesce(text, '')) AS size,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS MATERIALIZED (
+  SELECT c, id, size,
+         row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, id) AS pos FROM t),
+v AS MATERIALIZED (     -- CRC-32 of the decimal id, bit by bit
+  SELECT c, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
+           string_split(c::VARCHAR, ''), lambda s: ascii(s)::UBIGINT)),
+         lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+           lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT)
+                        ELSE x >> 1 END))) % 9 AS h
+  FROM (SELECT DISTINCT c FROM t)),
+r AS (
+  SELECT v.c, 0 AS own, pos, id, size FROM v JOIN n ON n.c = v.c - v.c % 5 AND pos <= h
+  UNION ALL SELECT v.c, 1, pos, id, size FROM v JOIN n ON n.c = v.c AND pos > h),
+q AS (SELECT c, id, size, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS d FROM r),
+k AS MATERIALIZED (
+  SELECT c, d, size, md5(string_agg(id, ',') OVER (
+           PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS key FROM q
+  UNION ALL SELECT c, 0, 0, '' FROM v),
+node AS MATERIALIZED (
+  SELECT key, d, min(c) AS conv_id, count(*) AS n, max(size) AS size FROM k GROUP BY key, d),
+up AS MATERIALIZED (
+  SELECT node.key, k.key AS up FROM node JOIN k ON k.c = conv_id AND k.d = node.d - 1),
+children AS MATERIALIZED (SELECT up AS key, count(*) AS n FROM up GROUP BY up),
+own AS (
+  SELECT node.*, coalesce(children.n, 0) AS children,
+         CASE WHEN children.n IS NULL THEN 1 ELSE 0 END AS leaf, (node.n - 1) * size AS saved
+  FROM node LEFT JOIN children ON node.key = children.key),
+below AS (
+  SELECT k.key, sum(leaf) AS leaves, sum(saved) AS saved
+  FROM own JOIN k ON k.c = conv_id AND k.d <= own.d GROUP BY k.key),
+ends AS (
+  SELECT key, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS digest
+  FROM (SELECT c, arg_max(key, d) AS key FROM k GROUP BY c) GROUP BY key)
+SELECT own.conv_id, own.d::BIGINT AS depth, p.conv_id AS parent_conv_id, own.n::BIGINT AS n_convs,
+       own.children::BIGINT AS n_children, leaves::BIGINT AS n_leaves,
+       below.saved::BIGINT AS saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM own JOIN below ON own.key = below.key LEFT JOIN ends ON own.key = ends.key
+LEFT JOIN up ON own.key = up.key LEFT JOIN node AS p ON up.up = p.key
+"""
+
+
+OP13 = """
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.r AS a, a.vec_id AS anchor_id, e.r, e.vec_id, a.label = e.label AS same,
+         list_dot_product(a.v, e.v)::BIGINT AS score
+  FROM e AS a JOIN e ON a.vec_id % 50 = 0 AND a.r <> e.r),
+p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, r) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.a, p.r ORDER BY n.score DESC, n.vec_id NULLS LAST, n.r)::INTEGER
+         AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s AS n ON n.a = p.a AND NOT n.same
+  AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_host_rules": OP1, "op3_digest_index": OP3, "op7_ngram_join": OP7,
-            "op9_pfair_mix": OP9,
-            "op10_extendible_shards": OP10}
+            "op9_pfair_mix": OP9, "op10_extendible_shards": OP10, "op11_turn_trie": OP11,
+            "op13_hard_negatives": OP13}
