@@ -126,10 +126,10 @@ WORD_TOKENIZER = "word_bpe_49k.json"
 
 @query
 def op12_best_fit_packing(spark, sf):
-    packed = packing.pack(documents(spark, sf).select("doc_id", "text"),
-                          tokenizer_path(WORD_TOKENIZER))
-    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
-                         "sequence_id", "offset")
+    pieces = packing.cut_pieces(documents(spark, sf).select("doc_id", "text"),
+                                tokenizer_path(WORD_TOKENIZER))
+    return packing.Plan(pieces).place(pieces.select(
+        "part", "nth", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
 @query

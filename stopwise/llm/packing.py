@@ -37,8 +37,9 @@ from .pretoken import row_portions
 SIZE = 4096                  # tokens of a sequence
 END_ID = 1
 PORTION_BYTES = 4_000_000    # text that a task holds as words and ids at once
-WORDS_KEPT = 300_000         # ids of so many words stay in a worker
-OFFSET_ROWS = 1_000_000      # counts of parts and lengths that are broadcast
+WORDS_KEPT = 250_000         # words of a generation; a worker keeps two
+OFFSET_ROWS = 200_000        # counts of parts and lengths that are broadcast
+WORD_END = "</w>"            # ends the last token of a word in the vocabulary
 BREAK = "<|endoftext|>"      # parts words in one call; its id cannot come from a word
 
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -61,38 +62,63 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.split_id = self.tokenizer.token_to_id(BREAK)
+        vocabulary_ids = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(1 + max(vocabulary_ids.values()), bool)
+        for token, i in vocabulary_ids.items():
+            self.ends_word[i] = token.endswith(WORD_END)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast(
             [text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _learn(self, words: set[str]) -> None:
-        known = self.known
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > WORDS_KEPT:
-            known.clear()
-            new = list(words)
-        ended = [w for w in new if len(w) > 1 and w[-1] in _MARKS and w[:-1].isalpha()
-                 and not _LOWER_LATER.search(w)]     # others may end in a mark when normalised
-        stems = {w[:-1] for w in ended} | {w[-1] for w in ended}
-        plain = [w for w in {*new, *stems}.difference(ended, known) if "<|" not in w]
-        for k in range(0, len(plain), 2000):
-            part = plain[k:k + 2000]
-            ids = self._ids(BREAK.join(part))
-            at = np.flatnonzero(ids == self.split_id)
-            if len(at) != len(part) - 1:
-                raise ValueError("the tokenizer gave the separator's id to a word")
-            packed, start = ids.tobytes(), 0
-            for word, end in zip(part, [*at.tolist(), len(ids)]):
-                known[word] = packed[4 * start:4 * end]
-                start = end + 1
-        for word in ended:          # letters and a mark are words apart to the tokenizer
-            known[word] = known[word[:-1]] + known[word[-1]]
+        if len(self.known) > WORDS_KEPT:        # words not used since are forgotten
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = words.difference(known)
+        used = new.intersection(older)
+        known.update((w, older[w]) for w in used)
+        new -= used
+        letters, ended, other = set(), [], []
         for word in new:
+            if word.isascii() or not _LOWER_LATER.search(word):
+                if word.isalpha():
+                    letters.add(word)
+                    continue
+                if word[-1] in _MARKS and word[:-1].isalpha():
+                    ended.append(word)
+                    continue
+            other.append(word)
+        letters.update(w[:-1] for w in ended)
+        letters.difference_update(known)
+        self._add(list(letters), " ")       # letters are one word to the tokenizer
+        self._add([w for w in {*other, *(w[-1] for w in ended)} if "<|" not in w and w not in known],
+                  BREAK)
+        for word in ended:                  # and a mark after them is another
+            known[word] = known[word[:-1]] + known[word[-1]]
+        for word in other:
             if word not in known:
                 known[word] = self._ids(word).tobytes()
 
+    def _add(self, words: list[str], mark: str) -> None:
+        """Encodes words many at a time, with a mark between them by which ids are told apart."""
+        for k in range(0, len(words), 2000):
+            part = words[k:k + 2000]
+            ids = self._ids(mark.join(part))
+            if mark == BREAK:
+                ends = np.append(np.flatnonzero(ids == self.split_id), len(ids))
+                starts = np.append(0, ends[:-1] + 1)
+            else:
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                starts = np.append(0, ends[:-1])
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer's ids cannot be told apart by word")
+            packed = ids.tobytes()
+            self.known.update((w, packed[4 * a:4 * b]) for w, a, b in zip(
+                part, starts.tolist(), ends.tolist()))
+
     @staticmethod
     def words(text: str) -> list[str]:
         if "<|" not in text and (text.isascii() or not _LOWER_LATER.search(text)):
@@ -220,37 +246,51 @@ def _places(counts: dict[int, int], size: int) -> dict[str, np.ndarray]:
     return dict(zip(("key", "takes", "sequence", "offset"), table.T.copy()))
 
 
+class Plan:
+    """Which sequence takes the piece of each length and rank, and the ranks before each part."""
+
+    def __init__(self, pieces: DataFrame, size: int = SIZE) -> None:
+        spark = pieces.sparkSession
+        counts = stage(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
+        total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(
+            F.sum("n").alias("n")).collect()}
+        self.places = spark.sparkContext.broadcast(_places(total, size))
+        before = F.sum("n").over(Window.partitionBy("length").orderBy("part")
+                                 .rowsBetween(Window.unboundedPreceding, -1))
+        offsets = counts.select("part", "length", F.coalesce(before, F.lit(0)).alias("before"))
+        self.offsets = F.broadcast(offsets) if counts.count() <= OFFSET_ROWS else offsets
+
+    def place(self, pieces: DataFrame) -> DataFrame:
+        """Adds sequence_id and offset to rows with part, nth and length, in place of part and nth.
+
+        Only these rows are shuffled where the offsets are too many to broadcast, so leave the
+        ids out where they are not needed.
+        """
+        places = self.places
+
+        @F.pandas_udf("sequence_id long, offset long")
+        def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+            plan, n, rank = places.value, length.to_numpy(), rank.to_numpy()
+            at = np.searchsorted(plan["key"], n << 48 | rank, "right") - 1
+            rank = rank - (plan["key"][at] & (1 << 48) - 1)
+            takes = plan["takes"][at]
+            return pd.DataFrame({"sequence_id": plan["sequence"][at] + rank // takes,
+                                 "offset": plan["offset"][at] + rank % takes * n})
+
+        placed = pieces.join(self.offsets, ["part", "length"]).withColumn(
+            "place", place("length", F.col("before") + F.col("nth")))
+        return placed.select(*(c for c in pieces.columns if c not in ("part", "nth")),
+                             "place.sequence_id", "place.offset")
+
+
 def pack(docs: DataFrame, vocabulary_path: str, size: int = SIZE, end_id: int = END_ID,
          doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All pieces: doc_id, piece, start, length, ids, sequence_id and offset.
 
     ``ids`` are little-endian unsigned 32-bit numbers.
     """
-    spark = docs.sparkSession
     pieces = cut_pieces(docs, vocabulary_path, size, end_id, doc_id, text)
-    counts = stage(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
-    total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(
-        F.sum("n").alias("n")).collect()}
-    places = spark.sparkContext.broadcast(_places(total, size))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("part")
-                             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("part", "length", F.coalesce(before, F.lit(0)).alias("before"))
-    if counts.count() <= OFFSET_ROWS:
-        offsets = F.broadcast(offsets)
-
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        plan, n, rank = places.value, length.to_numpy(), rank.to_numpy()
-        at = np.searchsorted(plan["key"], n << 48 | rank, "right") - 1
-        rank = rank - (plan["key"][at] & (1 << 48) - 1)
-        takes = plan["takes"][at]
-        return pd.DataFrame({"sequence_id": plan["sequence"][at] + rank // takes,
-                             "offset": plan["offset"][at] + rank % takes * n})
-
-    placed = pieces.join(offsets, ["part", "length"]).withColumn(
-        "place", place("length", F.col("before") + F.col("nth")))
-    return placed.select("doc_id", "piece", "start", "length", "ids", "place.sequence_id",
-                         "place.offset")
+    return Plan(pieces, size).place(pieces)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
