@@ -16,10 +16,25 @@ def mape(df: DataFrame, label: Column, prediction: Column) -> DataFrame:
     return df.agg((F.avg(share) * 100).alias("mape"))
 
 
-def mae_summary(arrivals: DataFrame, errors: dict[str, str]) -> DataFrame:
-    """Samples and mean error per predictor. ``errors`` maps a predictor to its column."""
+ERROR_SUMS = "predictor string, samples bigint, error_sum double"
+
+
+def error_sums(arrivals: DataFrame, errors: dict[str, str]) -> DataFrame:
+    """Samples and summed error per predictor, which add up over parts of the arrivals.
+
+    ``errors`` maps a predictor to its column; negative and null errors do not count.
+    """
     pairs = F.array(*[F.struct(F.lit(name).alias("predictor"), F.col(c).alias("abs_error"))
                       for name, c in errors.items()])
     return (arrivals.select(F.inline(pairs)).filter(F.col("abs_error") >= 0)
             .groupBy("predictor")
-            .agg(F.count("*").alias("samples"), F.avg("abs_error").alias("mae")))
+            .agg(F.count("*").alias("samples"), F.sum("abs_error").alias("error_sum")))
+
+
+def mean_errors(sums: DataFrame) -> DataFrame:
+    return sums.select("predictor", "samples", (F.col("error_sum") / F.col("samples")).alias("mae"))
+
+
+def mae_summary(arrivals: DataFrame, errors: dict[str, str]) -> DataFrame:
+    """Samples and mean error per predictor. ``errors`` maps a predictor to its column."""
+    return mean_errors(error_sums(arrivals, errors))

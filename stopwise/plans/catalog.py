@@ -17,7 +17,8 @@ from ..settings import LINE
 from ..sources import (load_model, read_live_status, read_ping_history, read_ping_stream,
                        read_timetable, save_model, write_table)
 from ..sources.pings import FEED_HEADER
-from ..streaming import (finish_vehicles, follow_vehicles, read_sink, run_available)
+from ..streaming import (KeptTable, finish_vehicles, follow_vehicles, newest, read_sink,
+                         run_available, totals)
 from ..streaming.ingest import clean_stream, dedup_stream
 from . import chains, fixtures
 
@@ -562,16 +563,26 @@ def metric_mape(spark, sf):
 
 # --- streams ----------------------------------------------------------------------------
 
-def _run_feed(spark, sf, build, fmt="csv", **options) -> DataFrame:
-    """Land the feed in two parts, running the stream after each, and read its sink."""
+EARLY = "2024-01-01 06:20:00"       # the feed lands in two parts, cut here
+
+
+def _run_feed(spark, sf, build, fmt="csv", keep=None, **options) -> DataFrame:
+    """Land the feed in two parts, running the stream after each, and read its sink.
+
+    With ``keep``, which makes a kept table and what goes into it from a folder and the
+    stream, there is no history and the table is read.
+    """
     feed, out = new_folder(spark, "feed"), new_folder(spark, "sink")
     raw = fixtures.gps_raw(spark, sf).select(*FEED_HEADER)     # lon before lat, as the feed
-    early = F.col("last_update") < "2024-01-01 06:20:00"
+    early, table = F.col("last_update") < EARLY, None
     for part in (early, ~early):
         raw.filter(part).write.mode("append").format(fmt).option("header", True).save(feed)
-        run_available(build(read_ping_stream(spark, feed, fmt)), out, f"{out}-checkpoint",
-                      **options)
-    return read_sink(spark, out).drop("batch_id")
+        made = build(read_ping_stream(spark, feed, fmt))
+        if keep:
+            table, rows = keep(out, made)
+            options["keep"] = [(table, rows)]
+        run_available(made, None if keep else out, f"{out}-checkpoint", **options)
+    return table.read() if keep else read_sink(spark, out).drop("batch_id")
 
 
 @query
@@ -629,7 +640,7 @@ def stream_microbatch(spark, sf):
                                                                schedule)))
 
 
-def _run_vehicles(spark, sf) -> DataFrame:
+def _run_vehicles(spark, sf, keep=None) -> DataFrame:
     schedule = _line(spark, sf)
     stops = tt.route_geometry(schedule)
 
@@ -637,7 +648,7 @@ def _run_vehicles(spark, sf) -> DataFrame:
         followed = follow_vehicles(chains.enrich(clean_stream(raw, LINE), stops, schedule))
         return finish_vehicles(followed, stops, schedule)
 
-    return _run_feed(spark, sf, build, output_mode="update")
+    return _run_feed(spark, sf, build, keep=keep, output_mode="update")
 
 
 @query
@@ -646,15 +657,46 @@ def stream_vehicle_state(spark, sf):
                  **_DEGREES)
 
 
+IDLE_S = 60
+
+
+@query
+def stream_timeout(spark, sf):
+    """Vehicle state that event time expires: after a silence of a minute a bus starts afresh."""
+    schedule = _line(spark, sf)
+    stops = tt.route_geometry(schedule)
+
+    def build(raw):
+        known = clean_stream(raw, LINE).withWatermark("timestamp", "10 minutes")
+        return follow_vehicles(chains.enrich(known, stops, schedule), idle_s=IDLE_S)
+
+    return shown(_run_feed(spark, sf, build, output_mode="update").select(
+        "codBus", "event_s", "speed_mps", "predicted_delay_math", "passed_sequence"))
+
+
 @query
 def stream_mae(spark, sf):
-    return shown(evaluate.mae_summary(_run_vehicles(spark, sf),
-                                      {"heuristic": "final_math_error"}))
+    """Running errors, folded into one row per predictor with each batch."""
+
+    def keep(folder, made):
+        errors = {"heuristic": "final_math_error"}
+        table = KeptTable(spark, folder, evaluate.ERROR_SUMS, ["predictor"],
+                          totals(["predictor"], ["samples", "error_sum"]), buckets=1)
+        return table, lambda batch: evaluate.error_sums(batch, errors)
+
+    return shown(evaluate.mean_errors(_run_vehicles(spark, sf, keep)))
 
 
 @query
 def stream_board(spark, sf):
-    return shown(_board(_run_vehicles(spark, sf), spark, sf), **_DEGREES)
+    """The board from a table that keeps each bus's newest row."""
+
+    def keep(folder, made):
+        table = KeptTable(spark, folder, made.schema, ["bus_id"],
+                          newest(["bus_id"], ["last_update", "lat", "lon"]))
+        return table, lambda batch: batch
+
+    return shown(_board(_run_vehicles(spark, sf, keep), spark, sf), **_DEGREES)
 
 
 for _name in ("calendar_features_", "service_seconds_", "delay_status_", "display_delay_"):

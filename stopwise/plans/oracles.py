@@ -186,6 +186,25 @@ _VIEWS: list[tuple[str, tuple[str, ...], str]] = [
                        CAST(5.5 AS DOUBLE)) AS speed,
                      CASE WHEN stop_sequence > p_seq AND p_seq >= 0 THEN p_seq END AS passed
               FROM stepped)))"""),
+    ("fresh_starts", ("enriched",), f"""
+        SELECT *, sum(fresh) OVER (PARTITION BY codBus ORDER BY event_s) AS run,
+               CASE WHEN fresh = 0 AND moved > 5 THEN moved / (event_s - p_s) END AS step
+        FROM (SELECT *, {geo('p_', '')} AS moved,
+                     CASE WHEN p_s IS NULL OR event_s - p_s >= 60 THEN 1 ELSE 0 END AS fresh
+              FROM (SELECT *, lag(event_s) OVER w AS p_s, lag(lat) OVER w AS p_lat,
+                           lag(lon) OVER w AS p_lon, lag(stop_sequence) OVER w AS p_seq
+                    FROM enriched WINDOW w AS (PARTITION BY codBus ORDER BY event_s)))"""),
+    ("expired", ("fresh_starts",), """
+        SELECT codBus, event_s, speed, passed,
+               eta - coalesce(CAST(scheduled_epoch_s - event_s AS DOUBLE), eta) AS delay FROM (
+          SELECT *, distance_m / greatest(speed, 1.0) AS eta FROM (
+            SELECT *, coalesce(last_value(step IGNORE NULLS) OVER (
+                     PARTITION BY codBus, run ORDER BY event_s
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                     CAST(5.5 AS DOUBLE)) AS speed,
+                   CASE WHEN fresh = 0 AND stop_sequence > p_seq AND p_seq >= 0 THEN p_seq END
+                     AS passed
+            FROM fresh_starts))"""),
     ("projected", ("tracked", "geometry"), f"""
         SELECT t.*, g.stop_id AS passed_stop_id,
                event_s - {geo('t.', 'g.', 'stop_lat', 'stop_lon')} / greatest(speed, 1.0)
@@ -503,6 +522,9 @@ def oracle_sql() -> dict[str, str]:
                              "newest"),
         "vehicle_replay": replay,
         "stream_vehicle_state": replay,
+        "stream_timeout": _with(f"""SELECT codBus, event_s, {r('speed')} AS speed_mps,
+            {r('delay')} AS predicted_delay_math, passed AS passed_sequence FROM expired""",
+                                "expired"),
         "stream_enrich": _with(next_due, "near", "next_due"),
         "board": board,
         "stream_board": board,

@@ -1,4 +1,6 @@
-from .sinks import read_sink, run_available, start_query
+from .kept import KeptTable, newest, totals
+from .sinks import compact_sink, read_sink, run_available, start_query
 from .vehicle import follow_vehicles, finish_vehicles
 
-__all__ = ["finish_vehicles", "follow_vehicles", "read_sink", "run_available", "start_query"]
+__all__ = ["KeptTable", "compact_sink", "finish_vehicles", "follow_vehicles", "newest", "read_sink",
+           "run_available", "start_query", "totals"]

@@ -2,26 +2,36 @@
 
 Everything that does not depend on the vehicle's past (nearest stop, schedule, model)
 is added before the stateful step, and everything that only needs its output (passed
-stop, actual delay, errors) after it. The state function keeps the last position, the
-speed, the last sequence and the predictions of the past ten minutes.
+stop, actual delay, errors) after it. Per bus the state has one value (last position,
+time, speed, sequence) and one list (the predictions of the past ten minutes), both kept
+by RocksDB, so a change of one bus writes that bus only.
+
+A silent bus is forgotten by event time or by the clock. By event time (``clock="event"``)
+a timer stands at its last ping plus ``idle_s`` and fires when the watermark passes it. Since
+no later ping of the bus can be older than the watermark, the rule is the same as the one
+the rows themselves follow: a ping ``idle_s`` or more after the previous one starts afresh.
+So the output does not depend on batches, and a replay from history gives the same rows.
+By the clock (``clock="processing"``) both states live for ``idle_s`` after the last
+input of the bus, repeated pings included.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections import deque
+from itertools import repeat
+
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.arrivals import mean_absolute_error
 from ..plans.chains import evaluate_arrivals, vehicle_output
 from ..settings import DEFAULT_SPEED_MPS, MIN_MOVE_M, MIN_SPEED_MPS, PREDICTION_AGE_S
 
-STATE = T.StructType([
-    T.StructField("last_lat", T.DoubleType()),
-    T.StructField("last_lon", T.DoubleType()),
-    T.StructField("last_ts", T.LongType()),
-    T.StructField("speed", T.DoubleType()),
-    T.StructField("buffer", T.ArrayType(T.ArrayType(T.DoubleType()))),
-    T.StructField("last_seq", T.IntegerType()),
-])
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+_LAST = "lat double, lon double, ts bigint, speed double, seq int, timer bigint"
+_RECENT = "ts bigint, math double, ml double"
 
 _ADDED = [
     T.StructField("speed_mps", T.DoubleType()),
@@ -32,11 +42,13 @@ _ADDED = [
     T.StructField("recent_ml", T.ArrayType(T.DoubleType())),
 ]
 
+_ORDER = ["event_s", "lat", "lon", "direction_id"]
+
 
-def _state_function(columns: list[str], default_speed: float, min_move_m: float,
-                    min_speed: float, age_s: int, idle_ms: int | None, ewma: bool):
-    """Build the per-bus function. It is self-contained so that workers need no imports
-    beyond numpy and pandas."""
+def _follower(columns: list[str], default_speed: float, min_move_m: float, min_speed: float,
+              age_s: int, idle_s: int | None, clock: str, ewma: bool) -> StatefulProcessor:
+    """The processor of one bus. Its class is local, so that workers get it by value and
+    need no imports beyond numpy and pandas."""
 
     def metres(lat_a, lon_a, lat_b, lon_b):
         import numpy as np
@@ -55,56 +67,89 @@ def _state_function(columns: list[str], default_speed: float, min_move_m: float,
             return 0.2 * step + 0.8 * speed if 0.1 < step < 25.0 else speed
         return distance / seconds if distance > min_move_m else speed
 
-    def follow(key, chunks, state):
-        import pandas as pd
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if state.exists:
-            lat, lon, ts, speed, buffer, seq = state.get
-            buffer = [list(b) for b in buffer]
-        else:
-            lat = lon = ts = None
-            speed, buffer, seq = default_speed, [], -1
-        rows = None
-        for chunk in chunks:  # repeated seconds go as they come, so this stays small
-            fresh = chunk if ts is None else chunk[chunk["event_s"] > ts]
-            rows = fresh if rows is None else pd.concat([rows, fresh])
-            rows = (rows.sort_values(["event_s", "lat", "lon", "direction_id"])
-                    .drop_duplicates("event_s"))
-        if idle_ms and state.exists:   # a repeated ping is a sign of life as well
-            state.setTimeoutDuration(idle_ms)
-        if rows is None or rows.empty:
-            return
-        speeds, waits, delays, passed, recents, recent_mls = [], [], [], [], [], []
-        for row in rows.itertuples(index=False):
-            now = int(row.event_s)
-            if ts is not None:
-                speed = next_speed(metres(lat, lon, row.lat, row.lon), now - ts, speed)
-            eta = row.distance_m / max(speed, min_speed)
-            wait = eta if pd.isna(row.scheduled_epoch_s) else row.scheduled_epoch_s - now
-            delay = eta - wait
-            buffer = [b for b in buffer if now - b[0] < age_s]
-            stop = int(row.stop_sequence)
-            arrived = stop > seq >= 0
-            passed.append(seq if arrived else None)
-            recents.append([b[1] for b in buffer] if arrived else None)
-            recent_mls.append([b[2] for b in buffer] if arrived else None)
-            ml = float("nan") if pd.isna(row.predicted_delay_ml) else row.predicted_delay_ml
-            buffer = ([] if arrived else buffer) + [[float(now), float(delay), float(ml)]]
-            speeds.append(float(speed))
-            waits.append(float(wait))
-            delays.append(float(delay))
-            lat, lon, ts, seq = float(row.lat), float(row.lon), now, stop
-        state.update((lat, lon, ts, float(speed), buffer, seq))
-        if idle_ms:
-            state.setTimeoutDuration(idle_ms)
-        yield rows[columns].assign(
-            speed_mps=speeds, seconds_to_scheduled=waits, predicted_delay_math=delays,
-            passed_sequence=pd.Series(passed, index=rows.index, dtype="Int32"),
-            recent_math=recents, recent_ml=recent_mls)
-
-    return follow
+    class Follower(StatefulProcessor):
+        def init(self, handle):
+            life = 1000 * idle_s if idle_s and clock == "processing" else None
+            self.handle = handle
+            self.last = handle.getValueState("last", _LAST, life)
+            self.recent = handle.getListState("recent", _RECENT, life)
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+            if self.last.exists():
+                lat, lon, ts, speed, seq, timer = self.last.get()
+                recent = deque(self.recent.get())
+            else:
+                lat = lon = ts = timer = None
+                speed, seq, recent = default_speed, -1, deque()
+            known, runs = ts, []
+            for chunk in rows:      # each chunk is sorted once, the sorted runs are merged
+                fresh = chunk if ts is None else chunk[chunk["event_s"] > ts]
+                if len(fresh):
+                    runs.append(fresh.sort_values(_ORDER).drop_duplicates("event_s"))
+            merged = heapq.merge(*(
+                zip(*(run[c].tolist() for c in _ORDER), repeat(k), range(len(run)))
+                for k, run in enumerate(runs)))
+            facts = [tuple(run[c].tolist() for c in (
+                "distance_m", "scheduled_epoch_s", "stop_sequence", "predicted_delay_ml"))
+                for run in runs]
+            out = [{"at": [], "speed_mps": [], "seconds_to_scheduled": [], "predicted_delay_math": [],
+                    "passed_sequence": [], "recent_math": [], "recent_ml": []} for _ in runs]
+            for now, here_lat, here_lon, _, k, i in merged:
+                now = int(now)
+                if ts is not None and now <= ts:
+                    continue
+                distance, due, stop, ml = (values[i] for values in facts[k])
+                if idle_s and ts is not None and now - ts >= idle_s and clock == "event":
+                    lat = lon = ts = None
+                    speed, seq = default_speed, -1
+                    recent.clear()
+                if ts is not None:
+                    speed = next_speed(metres(lat, lon, here_lat, here_lon), now - ts, speed)
+                eta = distance / max(speed, min_speed)
+                wait = eta if pd.isna(due) else due - now
+                while recent and now - recent[0][0] >= age_s:
+                    recent.popleft()
+                stop = int(stop)
+                arrived = stop > seq >= 0
+                mine = out[k]
+                mine["at"].append(i)
+                mine["passed_sequence"].append(seq if arrived else None)
+                mine["recent_math"].append([b[1] for b in recent] if arrived else None)
+                mine["recent_ml"].append([b[2] for b in recent] if arrived else None)
+                mine["speed_mps"].append(float(speed))
+                mine["seconds_to_scheduled"].append(float(wait))
+                mine["predicted_delay_math"].append(float(eta - wait))
+                if arrived:
+                    recent.clear()
+                recent.append((now, float(eta - wait), float("nan") if pd.isna(ml) else float(ml)))
+                lat, lon, ts, seq = float(here_lat), float(here_lon), now, stop
+            if ts is not None and (ts != known or clock == "processing"):
+                self._keep(lat, lon, ts, speed, seq, timer, recent)
+            for run, mine in zip(runs, out):
+                if mine["at"]:
+                    kept = run[columns].iloc[mine.pop("at")].reset_index(drop=True)
+                    passed = pd.Series(mine.pop("passed_sequence"), dtype="Int32")
+                    yield kept.assign(passed_sequence=passed, **mine)
+
+        def _keep(self, lat, lon, ts, speed, seq, timer, recent):
+            if idle_s and clock == "event" and timer != 1000 * (ts + idle_s):
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                timer = 1000 * (ts + idle_s)
+                self.handle.registerTimer(timer)
+            self.last.update((lat, lon, ts, float(speed), seq, timer))
+            self.recent.put(list(recent))
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            self.last.clear()
+            self.recent.clear()
+            return iter([])
+
+        def close(self):
+            pass
+
+    return Follower()
 
 
 def follow_vehicles(
@@ -113,22 +158,27 @@ def follow_vehicles(
     speed: str = "instant",
     default_speed: float = DEFAULT_SPEED_MPS,
     min_move_m: float = MIN_MOVE_M,
-    idle: int | None = None,
+    idle_s: int | None = None,
+    clock: str = "event",
 ) -> DataFrame:
     """Speed, heuristic delay and stop advance per bus on a stream of enriched pings.
 
-    Pings not newer than the last one of their bus are dropped. ``idle`` is the time in
-    milliseconds after which a silent bus is forgotten; None keeps it for good, which a
-    run over the available files needs in order to end.
+    Pings not newer than the last one of their bus are dropped. ``idle_s`` are the seconds
+    after which a silent bus is forgotten; None keeps it for good. With ``clock="event"`` the
+    stream needs a watermark on ``timestamp``; ``"processing"`` keeps a query over the
+    available files from ending before its states have.
     """
+    if clock not in ("event", "processing"):
+        raise ValueError(f"unknown clock {clock!r}")
+    enriched.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     if "predicted_delay_ml" not in enriched.columns:
         enriched = enriched.withColumn("predicted_delay_ml", F.lit(None).cast("double"))
     kept = list(enriched.schema.fields)
-    function = _state_function([f.name for f in kept], float(default_speed), float(min_move_m),
-                               MIN_SPEED_MPS, PREDICTION_AGE_S, idle, speed == "ewma")
-    timeout = "ProcessingTimeTimeout" if idle else "NoTimeout"
-    return enriched.groupBy("codBus").applyInPandasWithState(
-        function, T.StructType(kept + _ADDED), STATE, "update", timeout)
+    follower = _follower([f.name for f in kept], float(default_speed), float(min_move_m),
+                         MIN_SPEED_MPS, PREDICTION_AGE_S, idle_s, clock, speed == "ewma")
+    mode = "none" if not idle_s else "eventTime" if clock == "event" else "processingTime"
+    return enriched.groupBy("codBus").transformWithStateInPandas(
+        follower, T.StructType(kept + _ADDED), "update", mode)
 
 
 def finish_vehicles(followed: DataFrame, stops: DataFrame, schedule: DataFrame,

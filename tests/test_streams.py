@@ -102,7 +102,7 @@ def test_idle_vehicle_is_forgotten(spark, tmp_path):
                                    columns), feed)
 
     ping("1", "07:00:00", 1)
-    query = start_query(vehicles(spark, feed, network, idle=1000), out, f"{tmp_path}/check",
+    query = start_query(vehicles(spark, feed, network, idle_s=1, clock="processing"), out, f"{tmp_path}/check",
                         output_mode="update", every="1 seconds")
     try:
         limit, rows_left = time.time() + 60, None
