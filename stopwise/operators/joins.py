@@ -10,16 +10,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from ..settings import BROADCAST_ROWS, SALTS
 
-_held: list[DataFrame] = []
+_held: list[DataFrame | Broadcast] = []
 
 
-def hold(df: DataFrame) -> DataFrame:
-    """Cache a dimension that several lookups are built from."""
-    _held.append(df.persist())
+def hold(df: DataFrame | Broadcast) -> DataFrame | Broadcast:
+    """Keep a dimension that several lookups are built from, a table in the cache."""
+    _held.append(df.persist() if isinstance(df, DataFrame) else df)
     return df
 
 

@@ -3,7 +3,7 @@
 Stops are filed under the grid cells around them, at a few cell sizes. A ping looks up
 its own cell, which lists every stop in the 3 x 3 block around it, and keeps the
 closest. The answer is final when that distance is within what the block is sure to
-cover; otherwise the next coarser grid is asked, and in the end the whole stop list.
+cover; otherwise the next coarser grid is asked, and in the end a quadtree of the stops.
 The lookups are joins on the cell, so pings are never multiplied nor shuffled.
 """
 
@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.geo import HAVERSINE, MIN_DEGREE_M, Metric
 from ..settings import BROADCAST_ROWS, GRID_LEVELS, SALTS
 from .joins import Dimension, join_dimension
-
-_STOP = ("stop_sequence", "stop_id", "stop_name", "stop_lat", "stop_lon")
+from .stop_tree import STOP as _STOP, TREE_STOPS, far_stop
 
 _FOUND = ("struct<line:double,stop_sequence:int,stop_id:string,stop_name:string,"
           "stop_lat:double,stop_lon:double>")
@@ -37,8 +36,8 @@ def _sure_metres(lat: str, level: int) -> str:
 
 def grid_stops(stops: DataFrame, by: list[str], levels: tuple[int, ...],
                metric: Metric = HAVERSINE) -> DataFrame:
-    """One row per grid cell with the stops of its 3 x 3 block; level 0 is one cell."""
-    cells = ["struct(0 AS level, 0 AS cell_y, 0 AS cell_x)"]
+    """One row per grid cell with the stops of its 3 x 3 block."""
+    cells = []
     for level in levels:
         for dy in (-1, 0, 1):
             for dx in (-1, 0, 1):
@@ -61,34 +60,39 @@ def nearest_stop(
     levels: tuple[int, ...] = GRID_LEVELS,
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    tree_stops: int = TREE_STOPS,
 ) -> DataFrame:
     """Add the nearest stop and ``distance_m`` to each ping.
 
     ``by`` names columns both sides must share, such as ``direction_id``. Ties go to the
-    lower sequence, then the lower stop_id. Works on a stream: no shuffle, no window.
+    lower sequence, then the lower stop_id. A ping without a position, or whose ``by`` no stop
+    shares, is left out. Works on a stream: no shuffle, no window.
     Candidates are ranked by straight lines in space, which takes no trigonometry per
     candidate; the distance itself is computed once, for the stop found.
     """
     by, kept = by or [], pings.columns
+    far = far_stop(stops, by, metric, tree_stops)
     cells = Dimension(grid_stops(stops.select(*by, *_STOP), by, levels, metric),
-                      "size(near_stops)")
+                      "size(near_stops)") if levels else None
     line = "(s.x - _x) * (s.x - _x) + (s.y - _y) * (s.y - _y) + (s.z - _z) * (s.z - _z)"
     best = (f"array_min(transform(near_stops, s -> struct({line} AS line, "
             f"{', '.join(f's.{c} AS {c}' for c in _STOP)})))")
     spot = [f"{sql} AS _{axis}" for axis, sql in zip("xyz", metric.place("lat", "lon"))]
     away = metric.distance("lat", "lon", "_near.stop_lat", "_near.stop_lon")
     found = pings.selectExpr("*", *spot, f"CAST(NULL AS {_FOUND}) AS _near", "false AS _done")
-    for level in (*levels, 0):
-        y, x = _cell("lat", "lon", level) if level else ("0", "0")
+    for level in levels:
+        y, x = _cell("lat", "lon", level)
         keys = {"level": f"CASE WHEN NOT _done THEN {level} END", "cell_y": y, "cell_x": x,
                 **{c: c for c in by}}
         found = join_dimension(found, cells, keys, salt_on=["codBus", "event_s"],
                                max_rows=max_rows, salts=salts)
         found = found.selectExpr(*kept, "_x", "_y", "_z", "_done",
                                  f"coalesce({best}, _near) AS _near")
-        if level:
-            sure = f"coalesce({away} <= {_sure_metres('lat', level)}, false)"
-            found = found.selectExpr(*kept, "_x", "_y", "_z", "_near", f"{sure} AS _done")
+        sure = f"coalesce({away} <= {_sure_metres('lat', level)}, false)"
+        found = found.selectExpr(*kept, "_x", "_y", "_z", "_near", f"{sure} AS _done")
+    found = far(found, "NOT _done", "_far").selectExpr(
+        *kept, "CASE WHEN _done THEN "
+        f"struct({', '.join(f'_near.{c} AS {c}' for c in _STOP)}) ELSE _far END AS _near")
     return (found.filter("_near IS NOT NULL")
             .selectExpr(*kept, *[f"_near.{c} AS {c}" for c in _STOP], f"{away} AS distance_m"))
 

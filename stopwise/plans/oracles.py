@@ -161,8 +161,8 @@ _VIEWS: list[tuple[str, tuple[str, ...], str]] = [
         FROM near_key JOIN due USING (stop_id, direction_id)
         WHERE abs(t - s) < 7200 GROUP BY ALL"""),
     ("next_due", ("near_key", "due"), """
-        SELECT codBus, event_s, min(t) AS t
-        FROM near_key JOIN due USING (stop_id, direction_id) WHERE t >= s GROUP BY ALL"""),
+        SELECT codBus, event_s, t FROM near_key k ASOF JOIN due d
+          ON k.stop_id = d.stop_id AND k.direction_id = d.direction_id AND k.s <= d.t"""),
     ("enriched", ("near", "nearest_due"), f"""
         SELECT near.*, event_s // 86400 * 86400 + t AS scheduled_epoch_s,
                coalesce({clock('t')}, 'N/A') AS scheduled_time,
@@ -432,6 +432,16 @@ def oracle_sql() -> dict[str, str]:
               SELECT p.*, s.stop_id, {hav('p.', 's.')} AS distance_m FROM all_pings p, stops s)
             QUALIFY row_number() OVER (PARTITION BY codBus, codLinea, event_s, lat, lon
               ORDER BY distance_m, stop_id) = 1""", "all_pings", "stops"),
+        "nearest_stop_far": _with(f"""SELECT codBus, event_s, lat, lon, stop_id,
+            {r('distance_m')} AS distance_m FROM (
+              SELECT f.*, s.stop_id, s.stop_sequence, {hav('f.', 's.')} AS distance_m
+              FROM (SELECT DISTINCT codBus, event_s,
+                      CASE WHEN event_s % 3 = 0 THEN CAST(0 AS DOUBLE) ELSE lat - 60 END AS lat,
+                      CASE WHEN event_s % 3 = 0 THEN CAST(0 AS DOUBLE) ELSE lon + 120 END AS lon
+                    FROM pings) f,
+                (SELECT DISTINCT stop_id, stop_sequence, stop_lat, stop_lon FROM route) s)
+            QUALIFY row_number() OVER (PARTITION BY codBus, event_s, lat, lon
+              ORDER BY distance_m, stop_sequence, stop_id) = 1""", "pings", "route"),
         "route_position": _with(f"""SELECT codBus, event_s, lat, lon, direction_id,
             current_stop_id, current_stop_name, stop_sequence, next_stop_id, next_stop_name,
             {r('distance_m')} AS distance_m FROM placed""", "placed"),
@@ -502,8 +512,12 @@ def oracle_sql() -> dict[str, str]:
         "feature_importance_sum": """SELECT 9::BIGINT AS n_features, 1.0::DOUBLE AS total,
             true AS all_shares""",
         "model_metrics_bounds": _with(f"""SELECT count(*) AS n_rows,
-            CAST(sum(abs(true_delay_seconds)) AS DOUBLE) AS sum_abs_delay, true AS no_worse
-            FROM labelled WHERE distance_m < 500 AND abs(true_delay_seconds) < 900
+            CAST(sum(abs(true_delay_seconds)) AS DOUBLE) AS sum_abs_delay,
+            {r('avg(abs(true_delay_seconds - mean))')} AS mean_label_mae, true AS beats_mean
+            FROM labelled, (SELECT avg(true_delay_seconds) AS mean FROM labelled
+              WHERE distance_m < 500 AND abs(true_delay_seconds) < 900
+                AND substr(md5({_KEY}), 1, 8) < 'cccccccc')
+            WHERE distance_m < 500 AND abs(true_delay_seconds) < 900
               AND substr(md5({_KEY}), 1, 8) >= 'cccccccc'""", "labelled"),
         "stream_score_keys": _with(f"""SELECT codBus, {ts('seen')} AS "timestamp",
             min(stop_sequence) AS stop_sequence, true AS in_range FROM enriched

@@ -47,7 +47,8 @@ def network(spark, seed=5):
 
 
 @pytest.mark.parametrize("options", [{}, {"levels": (18, 14, 9, 6)}, {"levels": ()},
-                                     {"max_rows": 0, "salts": 3}])
+                                     {"max_rows": 0, "salts": 3}, {"tree_stops": 5},
+                                     {"levels": (), "tree_stops": 0}])
 def test_grid_equals_all_pairs(spark, options):
     found = nearest_stop(scattered(spark), network(spark), **options)
     sql = HAVERSINE.distance("p.lat", "p.lon", "s.stop_lat", "s.stop_lon")
