@@ -71,7 +71,7 @@ def nearest_stop(
     candidate; the distance itself is computed once, for the stop found.
     """
     by, kept = by or [], pings.columns
-    far = far_stop(stops, by, metric, tree_stops)
+    far = far_stop(stops.select(*by, *_STOP), by, metric, tree_stops, max_rows=max_rows, salts=salts)
     cells = Dimension(grid_stops(stops.select(*by, *_STOP), by, levels, metric),
                       "size(near_stops)") if levels else None
     line = "(s.x - _x) * (s.x - _x) + (s.y - _y) * (s.y - _y) + (s.z - _z) * (s.z - _z)"

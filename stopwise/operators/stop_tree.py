@@ -6,9 +6,11 @@ splits while it has more than ``LEAF_STOPS``. A search goes on from the box that
 ends when no box can hold a stop as near as the best one, so it visits a few nodes however many
 stops there are, and its answer is exact.
 
-While the stops are few enough to broadcast, the tree is. Beyond that its levels are tables,
-and the distinct positions go down level by level: a position keeps the boxes whose nearest corner
-is no farther than the nearest farthest corner. No group or array ever holds all stops.
+Up to ``TREE_STOPS`` stops the tree is broadcast as arrays of nodes, and the search is SQL over
+them: at each level a position keeps the boxes whose nearest corner is no farther than the nearest
+farthest corner. Beyond that the levels are tables, and the distinct positions go down by joins
+in the same way; a stream, which cannot regroup its rows, searches a broadcast tree box by box in
+Arrow batches. No group of Spark's ever holds all stops.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import Metric
-from .joins import hold
+from ..settings import BROADCAST_ROWS
+from .joins import Dimension, hold, join_dimension
 
 LEAF_STOPS = 16
 CODE_LEVELS = 24                      # a cell of the finest level is about two metres wide
-TREE_STOPS = 200_000                  # stops of a tree that is broadcast
+TREE_STOPS = 20_000                   # stops of a tree in arrays, which go with each far ping
 LEVELS = (3, 6, 9, 12, 15, 18)        # levels that are tables when the tree is too large
 
 STOP = ("stop_sequence", "stop_id", "stop_name", "stop_lat", "stop_lon")
@@ -109,7 +112,8 @@ def _with_place(stops: DataFrame, by: list[str], metric: Metric) -> DataFrame:
     return stops.selectExpr(*by, *STOP, *places)
 
 
-def far_stop(stops: DataFrame, by: list[str], metric: Metric, bound: int = TREE_STOPS):
+def far_stop(stops: DataFrame, by: list[str], metric: Metric, bound: int = TREE_STOPS,
+             **join):
     """A function that adds the nearest stop, as a struct, where a condition holds.
 
     It takes a frame with ``_x``, ``_y``, ``_z`` and ``by``, the condition as SQL and the name of
@@ -118,47 +122,112 @@ def far_stop(stops: DataFrame, by: list[str], metric: Metric, bound: int = TREE_
     placed = _with_place(stops, by, metric).distinct()
     rows = placed.limit(bound + 1).collect()
     if len(rows) > bound:
-        return lambda df, where, name: _descend(df, placed, by, where, name)
-    rows.sort(key=_rank)
+        return lambda df, where, name: (_visit if df.isStreaming else _descend)(
+            df, placed, by, where, name)
+    trees = _trees(rows, by)
+    return lambda df, where, name: _look_up(df, stops.sparkSession, stops.schema, trees, by,
+                                            where, name, **join)
+
+
+def _trees(rows: list, by: list[str]) -> dict[tuple, dict]:
     groups: dict[tuple, list] = {}
-    for number, row in enumerate(rows):
-        groups.setdefault(tuple(row[c] for c in by), []).append(number)
+    for row in sorted(rows, key=_rank):
+        groups.setdefault(tuple(row[c] for c in by), []).append(row)
     trees = {}
-    for key, numbers in groups.items():
-        own = [rows[n] for n in numbers]
+    for key, own in groups.items():
         lat, lon = (np.array([r[c] for r in own], float) for c in ("stop_lat", "stop_lon"))
         trees[key] = build_tree(np.array([[r[a] for a in _AXES] for r in own]),
-                                z_codes(lat, lon)) | {"numbers": np.array(numbers)}
-    table = {c: [r[c] for r in rows] for c in STOP}
-    shared = stops.sparkSession.sparkContext.broadcast((trees, table))
+                                z_codes(lat, lon)) | {"stops": own}
+    return trees
+
+
+# -- a tree in arrays -----------------------------------------------------------------------
+
+_NODE = ("struct<low_x:double,low_y:double,low_z:double,high_x:double,high_y:double,high_z:double,"
+         "child:int,n:int,first:int,stops:int>")
+_STOP_PLACE = ("struct<x:double,y:double,z:double,stop_sequence:int,stop_id:string,stop_name:string,"
+               "stop_lat:double,stop_lon:double>")
+
+
+def _level_order(tree: dict) -> tuple[list[tuple], int]:
+    """The nodes, children side by side, and how many levels lie below the root."""
+    order, depth, begins, level = [0], 0, {}, [0]
+    while level:
+        below = []
+        for node in level:
+            begins[node] = len(order)
+            order += tree["children"][node]
+            below += tree["children"][node]
+        depth, level = depth + bool(below), below
+    nodes = []
+    for node in order:
+        first, last = tree["span"][node]
+        nodes.append((*tree["low"][node].tolist(), *tree["high"][node].tolist(),
+                      begins[node], len(tree["children"][node]), first, last - first))
+    return nodes, depth
+
+
+def _look_up(df: DataFrame, spark, schema, trees: dict, by: list[str], where: str, name: str,
+             **join) -> DataFrame:
+    kept, table, depth = df.columns, [], 0
+    for key, tree in trees.items():
+        nodes, levels = _level_order(tree)
+        depth = max(depth, levels)
+        own = [tree["stops"][k] for k in tree["index"]]
+        table.append((*key, True, nodes, [tuple(r[c] for c in (*_AXES, *STOP)) for r in own]))
+    keys = "".join(f"{c} {schema[c].dataType.simpleString()}, " for c in by)
+    arrays = spark.createDataFrame(
+        table, f"{keys}far boolean, nodes array<{_NODE}>, stops array<{_STOP_PLACE}>")
+    asked = {"far": f"CASE WHEN {where} THEN true END", **{c: c for c in by}}
+    joined = join_dimension(df, Dimension(arrays, "size(stops)"), asked,
+                            salt_on=["codBus", "event_s"], **join)
+    kids = ("flatten(transform(f, i -> if(nodes[i].n > 0, "
+            "sequence(nodes[i].child, nodes[i].child + nodes[i].n - 1), array(i))))")
+    boxes = (f"transform({kids}, k -> struct(k AS k, ({_gap('nearest', 'nodes[k].')}) * (1 - 1e-9) AS lower, "
+             f"({_gap('farthest', 'nodes[k].')}) * (1 + 1e-9) AS upper))")
+    step = (f"transform(array({boxes}), b -> transform(filter(b, c -> "
+            "c.lower <= array_min(transform(b, u -> u.upper))), c -> c.k))[0]")
+    leaves = f"aggregate(sequence(1, {depth}), array(0), (f, r) -> {step})" if depth else "array(0)"
+    line = " + ".join(f"(s.{a} - _{a}) * (s.{a} - _{a})" for a in _AXES)
+    near = f"flatten(transform({leaves}, i -> slice(stops, nodes[i].first + 1, nodes[i].stops)))"
+    best = (f"array_min(transform({near}, s -> struct({line} AS line, "
+            f"{', '.join(f's.{c} AS {c}' for c in STOP)})))")
+    found = f"CASE WHEN nodes IS NOT NULL AND _x IS NOT NULL AND _y IS NOT NULL THEN {best} END"
+    joined = joined.selectExpr(*kept, f"{found} AS _best")
+    return joined.selectExpr(*kept, "CASE WHEN _best IS NOT NULL THEN "
+                             f"struct({', '.join(f'_best.{c} AS {c}' for c in STOP)}) END AS {name}")
+
+
+# -- a broadcast tree, box by box ------------------------------------------------------------
+
+def _visit(df: DataFrame, stops: DataFrame, by: list[str], where: str, name: str) -> DataFrame:
+    """For streams with more stops than arrays should carry; up to BROADCAST_ROWS of them."""
+    rows = stops.limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) > BROADCAST_ROWS:
+        raise ValueError(f"more than {BROADCAST_ROWS} stops: search a stream's pings per batch")
+    shared = stops.sparkSession.sparkContext.broadcast({
+        key: tree | {"stops": [tuple(r[c] for c in STOP) for r in tree["stops"]]}
+        for key, tree in _trees(rows, by).items()})
     hold(shared)
 
     @F.arrow_udf(STOP_TYPE)
     def nearest(spots: pa.Array) -> pa.Array:
-        trees, table = shared.value
-        known: dict[tuple, int | None] = {}
+        known: dict[tuple, tuple | None] = {}
         found = []
         for spot in spots.to_pylist():
-            if spot is None:
-                found.append(None)
-                continue
-            key = tuple(spot.values())
+            key = tuple(spot.values()) if spot else ()
             if key not in known:
-                tree = trees.get(key[3:])
-                at = -1 if tree is None or None in key[:3] else search_tree(tree, np.array(key[:3]))[0]
-                known[key] = None if at < 0 else int(tree["numbers"][at])
+                tree = shared.value.get(key[3:]) if key and None not in key[:3] else None
+                at = search_tree(tree, np.array(key[:3]))[0] if tree else -1
+                known[key] = tree["stops"][at] if at >= 0 else None
             found.append(known[key])
         kinds = (pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64())
         return pa.StructArray.from_arrays(
-            [pa.array([None if n is None else table[c][n] for n in found], kind)
-             for c, kind in zip(STOP, kinds)], names=list(STOP),
-            mask=pa.array([n is None for n in found], pa.bool_()))
-
-    def add(df: DataFrame, where: str, name: str) -> DataFrame:
-        spot = F.when(F.expr(where), F.struct("_x", "_y", "_z", *by))
-        return df.withColumn(name, nearest(spot))
+            [pa.array([None if row is None else row[k] for row in found], kind)
+             for k, kind in enumerate(kinds)], names=list(STOP),
+            mask=pa.array([row is None for row in found], pa.bool_()))
 
-    return add
+    return df.withColumn(name, nearest(F.when(F.expr(where), F.struct("_x", "_y", "_z", *by))))
 
 
 # -- a tree of tables ---------------------------------------------------------------------
@@ -176,11 +245,11 @@ def _parent(cell: str, level: int, above: int) -> str:
     return f"shiftright({cell} DIV {side}, {down}) * {1 << above} + shiftright({cell} % {side}, {down})"
 
 
-def _gap(corner: str) -> str:
+def _gap(corner: str, box: str = "") -> str:
     """Squared distance of a position from the nearest or farthest corner of a box."""
-    one = {"nearest": "greatest(low_{a} - _{a}, _{a} - high_{a}, 0D)",
-           "farthest": "greatest(abs(low_{a} - _{a}), abs(high_{a} - _{a}))"}[corner]
-    return " + ".join(f"pow({one.format(a=a)}, 2)" for a in _AXES)
+    one = {"nearest": "greatest({b}low_{a} - _{a}, _{a} - {b}high_{a}, 0D)",
+           "farthest": "greatest(abs({b}low_{a} - _{a}), abs({b}high_{a} - _{a}))"}[corner]
+    return " + ".join(f"pow({one.format(a=a, b=box)}, 2)" for a in _AXES)
 
 
 def _boxes(stops: DataFrame, by: list[str], level: int, above: int) -> DataFrame:
@@ -190,9 +259,7 @@ def _boxes(stops: DataFrame, by: list[str], level: int, above: int) -> DataFrame
 
 
 def _descend(df: DataFrame, stops: DataFrame, by: list[str], where: str, name: str) -> DataFrame:
-    """The search by joins, for stops that are too many to broadcast; not for streams."""
-    if df.isStreaming:
-        raise ValueError(f"more than {TREE_STOPS} stops: search a stream's far pings per batch")
+    """The search by joins, for stops that are too many to broadcast."""
     spot = ["_x", "_y", "_z", *by]
     # faults repeat: a position is searched once
     frontier = df.filter(where).select(*spot).distinct().withColumn("above", F.lit(0).cast("bigint"))

@@ -89,8 +89,26 @@ def test_no_stop_and_no_position(spark):
 def test_no_array_or_group_of_all_stops(spark):
     """A far search builds neither; above the bound it goes by joins."""
     stops = two_ways(spark)
-    for bound, python in ((1000, True), (10, False)):
-        plan = nearest_stop(far_pings(spark), stops, tree_stops=bound)._jdf.queryExecution().toString()
-        assert ("ArrowEvalPython" in plan) == python
-        assert "collect_list" not in plan
+    for bound in (1000, 10):
+        plan = nearest_stop(far_pings(spark), stops, levels=(), tree_stops=bound)._jdf.queryExecution().toString()
+        assert "EvalPython" not in plan and "collect_" not in plan
     release_dimensions()
+
+
+def test_a_stream_with_many_stops_searches_box_by_box(spark, tmp_path):
+    from stopwise.streaming import read_sink, run_available
+    far_pings(spark).write.parquet(f"{tmp_path}/pings")
+    stream = spark.readStream.schema(far_pings(spark).schema).parquet(f"{tmp_path}/pings")
+    found = nearest_stop(stream, two_ways(spark), by=["direction_id"], tree_stops=10)
+    run_available(found, f"{tmp_path}/out", f"{tmp_path}/check")
+    want = nearest_stop(far_pings(spark), two_ways(spark), by=["direction_id"])
+    columns = ["codBus", "stop_id", F.round("distance_m", 6)]
+    assert rows(read_sink(spark, f"{tmp_path}/out"), *columns) == rows(want, *columns)
+
+
+def test_hot_faults_are_searched_once(spark):
+    """Many pings at one faulty position reach the joins as one row."""
+    many = spark.range(20_000).selectExpr("CAST(id AS string) AS codBus", "id AS event_s",
+                                          "0 AS direction_id", "0D AS lat", "0D AS lon")
+    got = nearest_stop(many, two_ways(spark), by=["direction_id"], tree_stops=0)
+    assert got.select("stop_id").distinct().count() == 1 and got.count() == 20_000
