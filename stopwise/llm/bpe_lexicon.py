@@ -14,11 +14,13 @@ replacement characters; ids that the vocabulary lacks decode to nothing, null id
 
 from __future__ import annotations
 
+import hashlib
 import json
 import mmap
 import tempfile
+import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,9 @@ PORTION_CHARS = 1 << 19     # characters that are worked on together
 PORTION_IDS = 1 << 17       # ids that are decoded together
 HELD_WORDS = 1 << 17        # distinct words that a task remembers
 
+#: Arrow columns from the ids of a portion, where each text's ids end, and their decoding.
+Derive = Callable[[np.ndarray, np.ndarray, list[str]], list[pa.Array]]
+
 
 def byte_letters() -> list[str]:
     """The letter of each byte in the vocabulary: itself if printable, else from 256 on."""
@@ -253,6 +258,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
+        """Start anew; the words so far stay within reach until the next time."""
+        self.older = (self.place, self.ids, self.ends) if hasattr(self, "place") else None
         self.place: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
         self.ends = np.zeros(1 << 14, np.int64)
@@ -273,10 +280,16 @@ class Encoder:
         if len(self.place) > HELD_WORDS:
             self._forget()
         special = self.vocabulary.special
-        fresh = [w for w in set(words) if w not in self.place]
-        for word in [w for w in fresh if w in special]:
+        fresh = set(words).difference(self.place)
+        if self.older:
+            place, ids, ends = self.older
+            again = list(fresh.intersection(place))
+            at = np.fromiter(map(place.__getitem__, again), np.int64, len(again))
+            self._add(again, *ragged(ids, ends[at - 1], ends[at] - ends[at - 1]))
+            fresh.difference_update(again)
+        for word in fresh.intersection(special):
             self._add([word], np.array([special[word]]), np.ones(1, np.int64))
-        fresh = [w for w in fresh if w not in special]
+        fresh = list(fresh.difference(special))
         coded = [w.encode("utf-8", "replace") for w in fresh]
         if self.lexicon:
             ranks = self.lexicon.ranks(coded)
@@ -373,9 +386,13 @@ class BpeTokenizer:
     def __init__(self, spark, vocabulary_path: str) -> None:
         self.spark = spark
         with open(vocabulary_path, encoding="utf-8") as f:
-            self._text = f.read()
-        self.vocabulary = Vocabulary(self._text)
-        self._shared: Broadcast = spark.sparkContext.broadcast((self._text, None))
+            self.vocabulary = Vocabulary(f.read())
+        self._share(None)
+
+    def _share(self, packed: bytes | None) -> None:
+        """Workers get the arrays of the vocabulary; none of them parses its file."""
+        self._shared: Broadcast = self.spark.sparkContext.broadcast(
+            (uuid.uuid4().hex, self.vocabulary, packed))
 
     def fit_lexicon(self, docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS) -> bytes:
         """Compile the frequent words of ``docs``; returns the file's bytes, at most a few MB."""
@@ -388,7 +405,7 @@ class BpeTokenizer:
         return packed
 
     def use_lexicon(self, packed: bytes) -> None:
-        self._shared = self.spark.sparkContext.broadcast((self._text, packed))
+        self._share(packed)
 
     def encode(self, docs: DataFrame, text: str = "text", out: str = "ids") -> DataFrame:
         """Add the ids of ``text``; a column named ``out`` is replaced."""
@@ -413,6 +430,33 @@ class BpeTokenizer:
         return given.mapInArrow(run, T.StructType(
             [*fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
 
+    def round_trip(self, docs: DataFrame, fields: str, derive: Derive,
+                   text: str = "text") -> DataFrame:
+        """``docs`` without ``text`` but with what ``derive`` makes of its ids and their decoding.
+
+        Texts are encoded, their ids decoded, and both handed to ``derive`` in the same task, a
+        portion at a time, so that neither leaves it unless ``fields`` (DDL) have them.
+        """
+        shared, name = self._shared, free_name(docs, "text_to_encode")
+        kept = [c for c in docs.columns if c != text]
+        made = T.StructType.fromDDL(fields)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            encoder = _encoder(shared)
+            for batch in batches:
+                column = batch.column(batch.num_columns - 1)
+                for a, b in row_portions(column, PORTION_CHARS):
+                    ids, ends = encoder.encode(
+                        [t or "" for t in column.slice(a, b - a).to_pylist()])
+                    decoded = encoder.vocabulary.text(ids, ends)
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.slice(a, b - a).columns[:-1], *derive(ids, ends, decoded)],
+                        [*batch.schema.names[:-1], *made.fieldNames()])
+
+        given = docs.select(*kept, F.col(text).alias(name))
+        return given.mapInArrow(run, T.StructType(
+            [*(docs.schema[c] for c in kept), *made.fields]))
+
     def decode(self, ids: str = "ids") -> F.Column:
         """The text of an array of ids."""
         shared = self._shared
@@ -437,14 +481,34 @@ class BpeTokenizer:
         return run(F.col(ids))
 
 
-_ENCODERS: dict[int, Encoder] = {}
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def digests(ids: np.ndarray, ends: np.ndarray, decoded: list[str]) -> list[pa.Array]:
+    """Of each text the number of ids, and the digests of the decimal ids and of the decoding."""
+    decimal = list(map(_decimals(int(ids.max(initial=0)) + 1).__getitem__, ids.tolist()))
+    begins = [0, *ends.tolist()]
+    return [pa.array(np.diff(begins), pa.int64()),
+            pa.array([hashlib.sha256(",".join(decimal[a:b]).encode()).hexdigest()
+                      for a, b in zip(begins, begins[1:])], pa.string()),
+            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string())]
+
+
+_DECIMALS: list[str] = []
+
+
+def _decimals(n: int) -> list[str]:
+    _DECIMALS.extend(map(str, range(len(_DECIMALS), n)))
+    return _DECIMALS
+
+
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def _encoder(shared: Broadcast) -> Encoder:
     """One encoder in each worker process, as long as it serves the same vocabulary and lexicon."""
-    key = hash(shared.value)
+    key, vocabulary, packed = shared.value
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        text, packed = shared.value
-        _ENCODERS[key] = Encoder(Vocabulary(text), Lexicon.of(packed) if packed else None)
+        _ENCODERS[key] = Encoder(vocabulary, Lexicon.of(packed) if packed else None)
     return _ENCODERS[key]

@@ -71,11 +71,7 @@ def op5_bpe_lexicon(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
     tokenizer = bpe_lexicon.BpeTokenizer(spark, tokenizer_path())
     tokenizer.fit_lexicon(docs)
-    coded = tokenizer.encode(docs).withColumn("decoded", tokenizer.decode())
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return tokenizer.round_trip(docs, bpe_lexicon.DIGESTS, bpe_lexicon.digests)
 
 
 @query

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 from stopwise.llm import bpe_lexicon, html_density, language_lm, toxicity
 from stopwise.llm.pretoken import split_words
 
-from .plain import SCHEMA, edge_docs, edge_texts, prose, rows
+from .plain import SCHEMA, edge_docs, edge_texts, prose, rows, sha
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -84,6 +84,33 @@ dense, as articles are.<p>Second&nbsp;paragraph<br>has many words in it as well,
 <footer>&copy; Site, all rights reserved, and some more words</footer></body></html>"""
 
 
+def test_round_trip_in_one_pass(spark, monkeypatch):
+    library = Tokenizer.from_file(PATH)
+    tokenizer = bpe_lexicon.BpeTokenizer(spark, PATH)
+    tokenizer.fit_lexicon(edge_docs(spark))
+    monkeypatch.setattr(bpe_lexicon, "HELD_WORDS", 40)
+    monkeypatch.setattr(bpe_lexicon, "PORTION_CHARS", 300)
+    got = tokenizer.round_trip(edge_docs(spark), bpe_lexicon.DIGESTS, bpe_lexicon.digests)
+    assert got.columns == [c for c in SCHEMA.names if c != "text"] + ["n_tokens", "ids_sha256", "decoded_sha256"]
+    want = []
+    for r in rows():
+        ids = library.encode(r[1] or "", add_special_tokens=False).ids
+        want.append((r[0], len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect())
+    assert tokenizer.round_trip(edge_docs(spark, []), bpe_lexicon.DIGESTS, bpe_lexicon.digests).count() == 0
+
+
+def test_forgotten_words_are_taken_over(monkeypatch):
+    monkeypatch.setattr(bpe_lexicon, "HELD_WORDS", 3)
+    vocabulary = bpe_lexicon.Vocabulary(open(PATH, encoding="utf-8").read())
+    encoder, library = bpe_lexicon.Encoder(vocabulary, None), Tokenizer.from_file(PATH)
+    for text in ["a b c d e", "d e f g", "e f a b", "<|endoftext|> a", "b <|endoftext|> z"] * 3:
+        ids, ends = encoder.encode([text, "", text])
+        own = library.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == own + own and ends.tolist() == [len(own), len(own), 2 * len(own)]
+
+
 def test_main_text_of_a_page():
     assert html_density.main_text(PAGE) == (
         "Title & more\nFirst paragraph with a link, long enough to be dense, as articles are.\n"
