@@ -11,6 +11,7 @@ from ..settings import ARRIVAL_RADIUS_M, PREDICTION_AGE_S, SEGMENT_S
 from .asof import match_schedule, nearest_intervals
 from .joins import join_dimension
 from .sequences import segment_of
+from .timetable import ways
 
 
 def arrivals_by_radius(matched: DataFrame, radius_m: float = ARRIVAL_RADIUS_M) -> DataFrame:
@@ -43,10 +44,10 @@ def arrivals_by_visit(matched: DataFrame, radius_m: float = ARRIVAL_RADIUS_M, *,
 def back_project(advanced: DataFrame, geometry: DataFrame) -> DataFrame:
     """Add the passed stop and ``arrival_s``: when the bus was there at its present speed."""
     passed = geometry.select(
-        "direction_id", F.col("stop_sequence").alias("passed_sequence"),
+        *ways(geometry), F.col("stop_sequence").alias("passed_sequence"),
         F.col("stop_id").alias("passed_stop_id"), F.col("stop_lat").alias("passed_lat"),
         F.col("stop_lon").alias("passed_lon"))
-    found = join_dimension(advanced, passed, ["direction_id", "passed_sequence"],
+    found = join_dimension(advanced, passed, [*ways(geometry), "passed_sequence"],
                            salt_on=["codBus", "event_s"])
     metres = geodistance_m("lat", "lon", "passed_lat", "passed_lon")
     return found.withColumn(
@@ -60,11 +61,11 @@ def actual_delay(projected: DataFrame, schedule: DataFrame, *, strict: bool = Fa
 
     Without a scheduled time it is 0, or null when ``strict``.
     """
-    by = ["stop_id", "direction_id"]
+    by = ["stop_id", *ways(schedule)]
     owned = nearest_intervals(schedule, by, **asof_options)
     matched = match_schedule(
         projected, owned.withColumnRenamed("scheduled_s", "_due_s"),
-        {"stop_id": "passed_stop_id", "direction_id": "direction_id"},
+        {**{c: c for c in by}, "stop_id": "passed_stop_id"},
         second_of_day_sql("arrival_s"))
     late = F.expr(f"arrival_s - ({day_start_sql('arrival_s')} + _due_s)")
     if not strict:

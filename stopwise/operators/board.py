@@ -9,7 +9,7 @@ from ..functions.times import day_start_sql, second_of_day_sql
 from .asof import match_schedule, next_intervals
 from .joins import join_dimension
 from .position import route_position
-from .timetable import schedule_valid
+from .timetable import schedule_valid, ways
 
 
 def latest_ping(pings: DataFrame, tie_break: list[str] | None = None) -> DataFrame:
@@ -26,12 +26,12 @@ def live_status(pings: DataFrame, stops: DataFrame, schedule: DataFrame, **optio
     """
     placed = route_position(pings, stops)
     timed = match_schedule(
-        placed, next_intervals(schedule_valid(schedule), ["stop_id", "direction_id"], wrap=True),
-        {"stop_id": "next_stop_id", "direction_id": "direction_id"},
+        placed, next_intervals(schedule_valid(schedule), ["stop_id", *ways(schedule)], wrap=True),
+        {"stop_id": "next_stop_id", **{c: c for c in ways(schedule)}},
         second_of_day_sql("event_s"), **options)
     due = F.expr(f"{day_start_sql('event_s')} + scheduled_s")
     return timed.select(
-        "codBus", "timestamp", "lat", "lon", "direction_id", "current_stop_id",
+        "codBus", "timestamp", "lat", "lon", *ways(schedule), "current_stop_id",
         "current_stop_name", "stop_sequence", "next_stop_id", "next_stop_name", "distance_m",
         F.timestamp_seconds(due).alias("next_scheduled_time"))
 
@@ -40,7 +40,7 @@ def board(vehicles: DataFrame, headsigns: DataFrame, mode: str = "heuristic") ->
     """Display rows from vehicle output: position, next stop, both delays, status."""
     if "predicted_delay_ml" not in vehicles.columns:
         vehicles = vehicles.withColumn("predicted_delay_ml", F.lit(None).cast("double"))
-    named = join_dimension(vehicles, headsigns, ["direction_id"], salt_on=["bus_id"])
+    named = join_dimension(vehicles, headsigns, ways(headsigns), salt_on=["bus_id"])
     heuristic, ml = F.col("predicted_delay_math"), F.col("predicted_delay_ml")
     shown = display_delay(mode, heuristic, ml)
     return named.select(

@@ -43,10 +43,11 @@ def link_pings(
     for missing in (c for c in _HERE if c not in pings.columns):
         pings = pings.withColumn(missing, F.lit(None).cast("int"))
     inside = Window.partitionBy("codBus", "segment").orderBy("event_s")
-    here = F.struct(*_HERE)
+    known = [*_HERE, *(c for c in ("route_id",) if c in pings.columns)]
+    here = F.struct(*known)
     local = (pings.withColumn("segment", segment_of(F.col("event_s"), segment_s))
              .withColumn("_before", F.lag(here).over(inside)))
-    summary = (_with_step(local.select("codBus", "segment", *_HERE, "_before"), "_step", "",
+    summary = (_with_step(local.select("codBus", "segment", *known, "_before"), "_step", "",
                           "_before", min_move_m)
                .groupBy("codBus", "segment").agg(
         F.min_by(here, "event_s").alias("_first"),
@@ -117,6 +118,8 @@ def advance(linked: DataFrame, *, reset_on_direction: bool = False) -> DataFrame
     """Add ``passed_sequence``: the stop left behind when the sequence went up, else null."""
     up = (F.col("stop_sequence") > F.col("before.stop_sequence")) & (
         F.col("before.stop_sequence") >= 0)
+    if "route_id" in linked.columns:        # sequences of two routes do not compare
+        up = up & F.col("route_id").eqNullSafe(F.col("before.route_id"))
     if reset_on_direction:
         up = up & (F.col("direction_id") == F.col("before.direction_id"))
     return linked.withColumn("passed_sequence", F.when(up, F.col("before.stop_sequence")))

@@ -8,7 +8,7 @@ from ..functions.geo import GEODISTANCE
 from ..settings import ARRIVAL_RADIUS_M
 from .joins import join_dimension
 from .nearest import nearest_stop
-from .timetable import stop_neighbours, with_direction_fallback
+from .timetable import stop_neighbours, ways, with_direction_fallback
 
 
 def route_position(pings: DataFrame, stops: DataFrame, *,
@@ -19,8 +19,8 @@ def route_position(pings: DataFrame, stops: DataFrame, *,
     Farther out the bus is between two stops and the distance is to the next one.
     """
     stops = with_direction_fallback(stops)
-    near = nearest_stop(pings, stops, metric=GEODISTANCE, by=["direction_id"])
-    near = join_dimension(near, stop_neighbours(stops), ["direction_id", "stop_sequence"],
+    near = nearest_stop(pings, stops, metric=GEODISTANCE, by=ways(stops))
+    near = join_dimension(near, stop_neighbours(stops), [*ways(stops), "stop_sequence"],
                           salt_on=["codBus", "event_s"])
 
     def pick(at_stop, on_the_way, otherwise, name):

@@ -1,4 +1,8 @@
-"""Timetable assembly: active trips, stop times of a line, route geometry, lookups."""
+"""Timetable assembly: active trips, stop times, route geometry, lookups.
+
+A schedule of one line is keyed by direction, a schedule of the network by route and direction.
+Every operator takes the key from the columns it is given, see ``ways``.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,23 @@ from ..sources.timetable import Timetable
 from .joins import hold, join_dimension
 
 
+def ways(df: DataFrame) -> list[str]:
+    """The columns that tell one way of the network from another: direction, and route if known."""
+    return [c for c in ("route_id", "direction_id") if c in df.columns]
+
+
+def with_route(pings: DataFrame, routes: DataFrame | None = None) -> DataFrame:
+    """Add the ``route_id`` of each ping's line: the line itself, or what ``routes`` call so.
+
+    ``routes`` has route_id and route_short_name. A line it lacks has a null route, and its
+    pings meet no stop.
+    """
+    if routes is None:
+        return pings.withColumn("route_id", F.col("codLinea"))
+    named = routes.groupBy("route_short_name").agg(F.min("route_id").alias("route_id"))
+    return join_dimension(pings, named, {"route_short_name": "codLinea"}, salt_on=["codBus", "event_s"])
+
+
 def active_services(calendar_dates: DataFrame, date: str) -> DataFrame:
     """Services added on a ``yyyyMMdd`` date."""
     return (calendar_dates
@@ -33,28 +54,36 @@ def schedule_master(timetable: Timetable, line: str, date: str | None = None, *,
                     keep_stopless: bool = False) -> DataFrame:
     """Stop times of one line's trips with trip and stop attributes and ``service_s``.
 
-    Route geometry, stops and matches are keyed by direction, so a schedule holds one
-    line; a network is one schedule per line. ``keep_stopless`` keeps stop times whose
-    stop the timetable does not describe, with null attributes.
-
-    Trips and stop times both grow with the timetable and meet on trip_id, which a
-    trip repeats once per stop. Stops join as a measured dimension.
+    ``keep_stopless`` keeps stop times whose stop the timetable does not describe, with
+    null attributes.
     """
     if line is None:
-        raise ValueError("a schedule is of one line; routes of all lines would mix")
-    trips = line_trips(timetable.trips, line)
+        raise ValueError("a schedule is of one line; network_schedule has those of all lines")
+    return _schedule(timetable, line_trips(timetable.trips, line), [], date, keep_stopless)
+
+
+def network_schedule(timetable: Timetable, date: str | None = None, *,
+                     keep_stopless: bool = False) -> DataFrame:
+    """The schedules of all lines in one, with ``route_id``, which joins every key."""
+    return _schedule(timetable, timetable.trips, ["route_id"], date, keep_stopless)
+
+
+def _schedule(timetable: Timetable, trips: DataFrame, route: list[str], date: str | None,
+              keep_stopless: bool) -> DataFrame:
+    """Trips and stop times both grow with the timetable and meet on trip_id, which a
+    trip repeats once per stop. Stops join as a measured dimension."""
     if date is not None and timetable.calendar_dates is not None:
         trips = active_trips(trips, timetable.calendar_dates, date)
     times = timetable.stop_times.join(
-        trips.select("trip_id", "direction_id", "trip_headsign"), "trip_id"
+        trips.select("trip_id", *route, "direction_id", "trip_headsign"), "trip_id"
     ).withColumn("service_s", service_seconds("arrival_time"))
     return join_dimension(times, timetable.stops, ["stop_id"],
                           "left" if keep_stopless else "inner", salt_on=["trip_id"])
 
 
 def schedule_distinct(schedule: DataFrame) -> DataFrame:
-    """One row per stop, direction and time."""
-    return (schedule.groupBy("stop_id", "direction_id", "arrival_time")
+    """One row per stop, way and time."""
+    return (schedule.groupBy("stop_id", *ways(schedule), "arrival_time")
             .agg(F.min("stop_sequence").alias("stop_sequence")))
 
 
@@ -64,65 +93,85 @@ def schedule_valid(schedule: DataFrame) -> DataFrame:
 
 
 def schedule_times(schedule: DataFrame) -> DataFrame:
-    """Times per stop and direction, with the number of trips sharing each time.
+    """Times per stop and way, with the number of trips sharing each time.
 
     The count keeps repeated times without a list that grows with the trips.
     """
-    return (schedule.groupBy("stop_id", "direction_id", "arrival_time")
+    return (schedule.groupBy("stop_id", *ways(schedule), "arrival_time")
             .agg(F.count("*").alias("n_trips")))
 
 
 def schedule_arrays(schedule: DataFrame) -> DataFrame:
-    """Sorted times per stop and direction as one array of (arrival_time, n_trips).
+    """Sorted times per stop and way as one array of (arrival_time, n_trips).
 
     Its length is bounded by the distinct times of a service day.
     """
-    return (schedule_times(schedule).groupBy("stop_id", "direction_id")
+    return (schedule_times(schedule).groupBy("stop_id", *ways(schedule))
             .agg(F.array_sort(F.collect_list(F.struct("arrival_time", "n_trips")))
                  .alias("times")))
 
 
 def route_geometry(schedule: DataFrame) -> DataFrame:
-    """One canonical stop per direction and sequence: that of the lowest trip_id text."""
-    w = Window.partitionBy("direction_id", "stop_sequence").orderBy("trip_id", "stop_id")
+    """One canonical stop per way and sequence: that of the lowest trip_id text."""
+    w = Window.partitionBy(*ways(schedule), "stop_sequence").orderBy("trip_id", "stop_id")
     return (schedule.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-            .select("direction_id", "stop_sequence", "stop_id", "stop_code", "stop_name",
+            .select(*ways(schedule), "stop_sequence", "stop_id", "stop_code", "stop_name",
                     "stop_lat", "stop_lon"))
 
 
 def route_stops(schedule: DataFrame) -> DataFrame:
-    """Distinct stops with their sequence, per direction."""
-    return schedule.select("direction_id", "stop_id", "stop_name", "stop_lat", "stop_lon",
+    """Distinct stops with their sequence, per way."""
+    return schedule.select(*ways(schedule), "stop_id", "stop_name", "stop_lat", "stop_lon",
                            "stop_sequence").distinct()
 
 
 def with_direction_fallback(stops: DataFrame) -> DataFrame:
-    """Give a direction that has no stops the stops of the other one."""
+    """Give a direction that has no stops the stops of its route's other one."""
     stops = hold(stops)
-    have = stops.select("direction_id").distinct()
+    have = stops.select(*ways(stops)).distinct()
     flipped = (stops.withColumn("direction_id", 1 - F.col("direction_id"))
-               .join(have, "direction_id", "left_anti"))
+               .join(have, ways(stops), "left_anti"))
     return stops.unionByName(flipped)
 
 
-def headsigns(trips: DataFrame) -> DataFrame:
-    """Destination per direction: at most one row per direction."""
-    return trips.groupBy("direction_id").agg(F.min("trip_headsign").alias("trip_headsign"))
+def headsigns(trips: DataFrame, by: tuple[str, ...] = ("direction_id",)) -> DataFrame:
+    """Destination per direction, or per whatever ``by`` names: at most one row each."""
+    return trips.groupBy(*by).agg(F.min("trip_headsign").alias("trip_headsign"))
+
+
+def trip_patterns(schedule: DataFrame) -> DataFrame:
+    """The different runs of stops that the trips of a way make, with how many trips make each.
+
+    A pattern is known by a digest of its ordered stops. ``canonical`` marks the way's most
+    used one; of equally used ones that of the lowest digest.
+    """
+    by = ways(schedule)
+    stops = F.array_sort(F.collect_list(F.struct("stop_sequence", "stop_id")))
+    runs = schedule.groupBy(*by, "trip_id").agg(stops.alias("stops")).select(
+        *by, "trip_id", F.size("stops").alias("n_stops"),
+        F.md5(F.array_join(F.transform("stops", lambda s: F.concat(
+            s["stop_sequence"].cast("string"), F.lit(":"), s["stop_id"])), ",")).alias("pattern"))
+    used = runs.groupBy(*by, "pattern").agg(
+        F.count("*").alias("n_trips"), F.min("n_stops").alias("n_stops"),
+        F.min("trip_id").alias("first_trip"))
+    w = Window.partitionBy(*by).orderBy(F.desc("n_trips"), "pattern")
+    return used.withColumn("canonical", F.row_number().over(w) == 1)
 
 
 def line_stop_names(schedule: DataFrame) -> DataFrame:
-    return (schedule.select("direction_id", "stop_name").distinct()
-            .orderBy("direction_id", "stop_name"))
+    by = ways(schedule)
+    return schedule.select(*by, "stop_name").distinct().orderBy(*by, "stop_name")
 
 
 def stop_timetable(schedule: DataFrame, name_part: str) -> DataFrame:
-    """Per direction: destination, number of departures and distinct times of the stops
+    """Per way: destination, number of departures and distinct times of the stops
     whose name contains a text, in any case."""
     hits = schedule.filter(F.contains(F.lower("stop_name"), F.lit(name_part.lower())))
-    per_time = (hits.groupBy("direction_id", "arrival_time", "trip_headsign")
+    by = ways(schedule)
+    per_time = (hits.groupBy(*by, "arrival_time", "trip_headsign")
                 .agg(F.count("*").alias("n")))
     first = F.min(F.struct("arrival_time", "trip_headsign"))
-    return per_time.groupBy("direction_id").agg(
+    return per_time.groupBy(*by).agg(
         first["trip_headsign"].alias("trip_headsign"),
         F.sum("n").alias("n_trips"),
         F.array_sort(F.collect_set("arrival_time")).alias("times"),
@@ -130,31 +179,32 @@ def stop_timetable(schedule: DataFrame, name_part: str) -> DataFrame:
 
 
 def stop_neighbours(stops: DataFrame) -> DataFrame:
-    """Neighbours of each sequence on the route, per direction.
+    """Neighbours of each sequence on the route, per way.
 
     ``after_*`` is the first stop with a larger sequence. ``before_*``/``toward_*`` is
     the first consecutive pair of the route that encloses the sequence. Stops that
     share a sequence are ordered by stop_id.
     """
     stop = F.struct("stop_sequence", "stop_id", "stop_name", "stop_lat", "stop_lon")
-    groups = (stops.groupBy("direction_id", "stop_sequence")
+    by = ways(stops)
+    groups = (stops.groupBy(*by, "stop_sequence")
               .agg(F.array_sort(F.collect_set(stop)).alias("here")))
-    w = Window.partitionBy("direction_id").orderBy("stop_sequence")
+    w = Window.partitionBy(*by).orderBy("stop_sequence")
     first, second = F.col("here")[0], F.get("here", F.lit(1))
     placed = groups.select(
-        "direction_id", "stop_sequence", first.alias("first"), second.alias("second"),
+        *by, "stop_sequence", first.alias("first"), second.alias("second"),
         F.lag(F.element_at("here", -1)).over(w).alias("previous"),
         F.lead(first).over(w).alias("after"),
     )
     is_start = F.col("previous").isNull()
     pair = placed.select(
-        "direction_id", "stop_sequence", "previous", "after",
+        *by, "stop_sequence", "previous", "after",
         F.when(is_start, F.col("first")).otherwise(F.col("previous")).alias("before"),
         F.when(is_start, F.coalesce("second", "after")).otherwise(F.col("first"))
          .alias("toward"),
     )
     return pair.select(
-        "direction_id", "stop_sequence",
+        *by, "stop_sequence",
         F.col("previous.stop_id").alias("previous_stop_id"),
         F.col("after.stop_id").alias("after_stop_id"),
         F.col("after.stop_name").alias("after_stop_name"),

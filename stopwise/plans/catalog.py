@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -60,8 +61,8 @@ _DEGREES = {c: 6 for c in ("stop_lat", "stop_lon", "next_stop_lat", "next_stop_l
                            "next_lat", "next_lon")}
 
 
-def _schedule(spark: SparkSession, sf: str, line: str | None = LINE) -> DataFrame:
-    return tt.schedule_master(fixtures.timetable(spark, sf), line)
+def _schedule(spark: SparkSession, sf: str) -> DataFrame:
+    return tt.schedule_master(fixtures.timetable(spark, sf), LINE)
 
 
 def _line(spark: SparkSession, sf: str) -> DataFrame:
@@ -458,6 +459,66 @@ def board(spark, sf):
     return shown(_board(chains.vehicle_replay(*_enriched(spark, sf)), spark, sf), **_DEGREES)
 
 
+# --- the network ------------------------------------------------------------------------
+
+def _network(spark: SparkSession, sf: str) -> DataFrame:
+    """The schedule of all lines at once, written once."""
+    return stage(tt.network_schedule(fixtures.timetable(spark, sf)), "network")
+
+
+def _network_pings(spark: SparkSession, sf: str) -> DataFrame:
+    return tt.with_route(fixtures.pings(spark, sf, None))
+
+
+@query
+def schedule_stopless(spark, sf):
+    """Stop times of all lines where the timetable describes every second stop only."""
+    known = fixtures.timetable(spark, sf)
+    known = replace(known, stops=known.stops.filter("CAST(stop_id AS int) % 2 = 0"))
+    return tt.network_schedule(known, keep_stopless=True).select(
+        "trip_id", "route_id", "direction_id", "stop_id", "stop_sequence", "stop_name")
+
+
+@query
+def trip_patterns(spark, sf):
+    return tt.trip_patterns(tt.network_schedule(fixtures.timetable(spark, sf)))
+
+
+@query
+def route_geometry_all(spark, sf):
+    return shown(tt.route_geometry(tt.network_schedule(fixtures.timetable(spark, sf))), **_DEGREES)
+
+
+@query
+def live_status_all(spark, sf):
+    schedule = _network(spark, sf)
+    return shown(live.live_status(live.latest_ping(_network_pings(spark, sf)),
+                                  tt.route_stops(schedule), schedule))
+
+
+@query
+def vehicle_replay_all(spark, sf):
+    schedule = _network(spark, sf)
+    stops = tt.route_geometry(schedule)
+    pings = clean.dedup_pings(_network_pings(spark, sf))
+    return shown(chains.vehicle_replay(chains.enrich(pings, stops, schedule), stops, schedule),
+                 **_DEGREES)
+
+
+@query
+def stream_vehicles_all(spark, sf):
+    """The vehicle stream over every line; a bus keeps to the stops of its route."""
+    schedule = _network(spark, sf)
+    stops = tt.route_geometry(schedule)
+
+    def build(raw):
+        known = tt.with_route(clean_stream(raw))
+        return finish_vehicles(follow_vehicles(chains.enrich(known, stops, schedule)), stops, schedule)
+
+    return shown(_run_feed(spark, sf, build, output_mode="update").drop(
+        "predicted_delay_ml", "final_ml_error"), **_DEGREES)
+
+
 # --- training and model -----------------------------------------------------------------
 
 @query

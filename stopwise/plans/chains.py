@@ -14,7 +14,7 @@ from ..operators.asof import match_schedule, nearest_intervals, next_intervals
 from ..operators.model import score
 from ..operators.motion import advance, ewma_speed, heuristic_delay, link_pings
 from ..operators.nearest import nearest_stop
-from ..operators.timetable import with_direction_fallback
+from ..operators.timetable import ways, with_direction_fallback
 from ..operators.training import label_window, training_rows, true_delay
 from ..schemas import VEHICLE_OUTPUT
 from ..session import stage
@@ -38,12 +38,13 @@ def enrich(pings: DataFrame, stops: DataFrame, schedule: DataFrame, *,
            service_day: str = "reference", upcoming: bool = False) -> DataFrame:
     """Add the nearest stop in the ping's direction, its schedule and calendar features.
 
+    With the stops and schedule of a network, pings need ``route_id`` and keep to their route.
     The schedule is the nearest time, or the next one when ``upcoming``. Runs on batch
     and stream alike: the lookups are joins with measured dimensions.
     """
     near = nearest_stop(pings, with_direction_fallback(stops), metric=GEODISTANCE,
-                        by=["direction_id"])
-    by = ["stop_id", "direction_id"]
+                        by=ways(stops))
+    by = ["stop_id", *ways(schedule)]
     intervals = next_intervals if upcoming else nearest_intervals
     timed = match_schedule(near, intervals(schedule, by, service_day=service_day), by,
                            second_of_day_sql("event_s"))
@@ -86,7 +87,7 @@ def evaluate_arrivals(tracked: DataFrame, stops: DataFrame, schedule: DataFrame,
 
 
 def vehicle_output(df: DataFrame) -> DataFrame:
-    """The 20 output fields; ``df`` needs ``final_math_error``, null for none."""
+    """The 20 output fields, and the route if known; ``df`` needs ``final_math_error``, null for none."""
     renamed = df.withColumns({
         "bus_id": F.col("codBus"),
         "next_stop_name": F.col("stop_name"),
@@ -97,7 +98,7 @@ def vehicle_output(df: DataFrame) -> DataFrame:
                          .otherwise(0.0),
         "final_math_error": F.coalesce("final_math_error", F.lit(-1.0)),
     })
-    more = [c for c in ("predicted_delay_ml", "final_ml_error") if c in df.columns]
+    more = [c for c in ("route_id", "predicted_delay_ml", "final_ml_error") if c in df.columns]
     return renamed.select(*VEHICLE_OUTPUT, *more)
 
 

@@ -303,6 +303,22 @@ _VIEWS += [
 
 _NEEDS = {name: needs for name, needs, _ in _VIEWS}
 
+# Over all lines the views are the same, with route and direction as one number.
+_WAY = "CAST({} AS INTEGER) * 10 + direction_id"
+_ALL_LINES = {
+    "pings": f"SELECT * REPLACE ({_WAY.format('codLinea')} AS direction_id) FROM all_pings",
+    "schedule": f"SELECT * REPLACE ({_WAY.format('route_id')} AS direction_id) FROM full_schedule",
+}
+
+
+def _all_lines(sql: str) -> str:
+    """A query of one line, over all lines; its direction_id is split again in the result."""
+    for name, view in _ALL_LINES.items():
+        own = next(text for n, _, text in _VIEWS if n == name)
+        sql = sql.replace(f"{name} AS MATERIALIZED ({own})", f"{name} AS MATERIALIZED ({view})")
+    return (f"SELECT * REPLACE (CAST(direction_id % 10 AS INTEGER) AS direction_id), "
+            f"CAST(direction_id // 10 AS VARCHAR) AS route_id FROM ({sql})")
+
 
 def _with(final: str, *needs: str) -> str:
     """Prefix a query with the views it needs, in order."""
@@ -357,7 +373,27 @@ def oracle_sql() -> dict[str, str]:
     replay = _with(_OUTPUT, "scored")
     board = _with(_BOARD, "final_state")
     mae = _with(_MAE, "scored")
+    geometry = f"""SELECT direction_id, stop_sequence, stop_id, stop_code,
+            stop_name, {r('stop_lat', 6)} AS stop_lat, {r('stop_lon', 6)} AS stop_lon
+            FROM geometry"""
     return {
+        "schedule_stopless": _with("""SELECT trip_id, route_id, direction_id, stop_id, stop_sequence,
+            CASE WHEN CAST(stop_id AS INTEGER) % 2 = 0 THEN stop_name END AS stop_name
+            FROM full_schedule""", "full_schedule"),
+        "trip_patterns": _with("""SELECT *, row_number() OVER (
+              PARTITION BY route_id, direction_id ORDER BY n_trips DESC, pattern) = 1 AS canonical
+            FROM (
+              SELECT route_id, direction_id, pattern, count(*) AS n_trips,
+                     min(n_stops) AS n_stops, min(trip_id) AS first_trip
+              FROM (SELECT route_id, direction_id, trip_id, CAST(count(*) AS INTEGER) AS n_stops,
+                           md5(string_agg(CAST(stop_sequence AS VARCHAR) || ':' || stop_id, ','
+                               ORDER BY stop_sequence, stop_id)) AS pattern
+                    FROM full_schedule GROUP BY ALL)
+              GROUP BY ALL)""", "full_schedule"),
+        "route_geometry_all": _all_lines(_with(geometry, "geometry")),
+        "live_status_all": _all_lines(_with(_LIVE, "status")),
+        "vehicle_replay_all": _all_lines(replay),
+        "stream_vehicles_all": _all_lines(replay),
         "clean_pings": clean,
         "dedup_pings": _with("SELECT codBus, event_s, lat, lon, direction_id FROM single",
                              "single"),

@@ -30,7 +30,7 @@ from ..settings import DEFAULT_SPEED_MPS, MIN_MOVE_M, MIN_SPEED_MPS, PREDICTION_
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_LAST = "lat double, lon double, ts bigint, speed double, seq int, timer bigint"
+_LAST = "lat double, lon double, ts bigint, speed double, seq int, route string, timer bigint"
 _RECENT = "ts bigint, math double, ml double"
 
 _ADDED = [
@@ -67,6 +67,8 @@ def _follower(columns: list[str], default_speed: float, min_move_m: float, min_s
             return 0.2 * step + 0.8 * speed if 0.1 < step < 25.0 else speed
         return distance / seconds if distance > min_move_m else speed
 
+    line = ["route_id"] if "route_id" in columns else []
+
     class Follower(StatefulProcessor):
         def init(self, handle):
             life = 1000 * idle_s if idle_s and clock == "processing" else None
@@ -77,10 +79,10 @@ def _follower(columns: list[str], default_speed: float, min_move_m: float, min_s
         def handleInputRows(self, key, rows, timerValues):
             import pandas as pd
             if self.last.exists():
-                lat, lon, ts, speed, seq, timer = self.last.get()
+                lat, lon, ts, speed, seq, route, timer = self.last.get()
                 recent = deque(self.recent.get())
             else:
-                lat = lon = ts = timer = None
+                lat = lon = ts = route = timer = None
                 speed, seq, recent = default_speed, -1, deque()
             known, runs = ts, []
             for chunk in rows:      # each chunk is sorted once, the sorted runs are merged
@@ -91,7 +93,7 @@ def _follower(columns: list[str], default_speed: float, min_move_m: float, min_s
                 zip(*(run[c].tolist() for c in _ORDER), repeat(k), range(len(run)))
                 for k, run in enumerate(runs)))
             facts = [tuple(run[c].tolist() for c in (
-                "distance_m", "scheduled_epoch_s", "stop_sequence", "predicted_delay_ml"))
+                "distance_m", "scheduled_epoch_s", "stop_sequence", "predicted_delay_ml", *line))
                 for run in runs]
             out = [{"at": [], "speed_mps": [], "seconds_to_scheduled": [], "predicted_delay_math": [],
                     "passed_sequence": [], "recent_math": [], "recent_ml": []} for _ in runs]
@@ -99,7 +101,10 @@ def _follower(columns: list[str], default_speed: float, min_move_m: float, min_s
                 now = int(now)
                 if ts is not None and now <= ts:
                     continue
-                distance, due, stop, ml = (values[i] for values in facts[k])
+                distance, due, stop, ml, *on = (values[i] for values in facts[k])
+                on = on[0] if on else None
+                if on != route:         # sequences of two routes do not compare
+                    seq, route = -1, on
                 if idle_s and ts is not None and now - ts >= idle_s and clock == "event":
                     lat = lon = ts = None
                     speed, seq = default_speed, -1
@@ -125,20 +130,21 @@ def _follower(columns: list[str], default_speed: float, min_move_m: float, min_s
                 recent.append((now, float(eta - wait), float("nan") if pd.isna(ml) else float(ml)))
                 lat, lon, ts, seq = float(here_lat), float(here_lon), now, stop
             if ts is not None and (ts != known or clock == "processing"):
-                self._keep(lat, lon, ts, speed, seq, timer, recent)
+                self._keep((lat, lon, ts, float(speed), seq, route), timer, recent)
             for run, mine in zip(runs, out):
                 if mine["at"]:
                     kept = run[columns].iloc[mine.pop("at")].reset_index(drop=True)
                     passed = pd.Series(mine.pop("passed_sequence"), dtype="Int32")
                     yield kept.assign(passed_sequence=passed, **mine)
 
-        def _keep(self, lat, lon, ts, speed, seq, timer, recent):
+        def _keep(self, last, timer, recent):
+            ts = last[2]
             if idle_s and clock == "event" and timer != 1000 * (ts + idle_s):
                 if timer is not None:
                     self.handle.deleteTimer(timer)
                 timer = 1000 * (ts + idle_s)
                 self.handle.registerTimer(timer)
-            self.last.update((lat, lon, ts, float(speed), seq, timer))
+            self.last.update((*last, timer))
             self.recent.put(list(recent))
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
