@@ -1,6 +1,7 @@
 """Page text, language, toxicity and tokenizer: edge rows, round trips, held-out accuracy."""
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -154,6 +155,47 @@ def test_odd_pages(html, text):
     assert html_density.main_text(html) == text
 
 
+def _unmarked(rng):
+    """A page without any telling tag, role or class, and the article's text in it."""
+    paragraphs = [" ".join(f"w{rng.randrange(999)}" for _ in range(rng.randrange(15, 60)))
+                  for _ in range(rng.randrange(6, 14))]
+    links = "".join(f"<span><a href=x>go{k}</a></span>" for k in range(rng.randrange(5, 20)))
+    page = (f"<body><div>{links}</div><div>Buy one, get one</div><section><div>{_html(paragraphs)}</div>"
+            f"</section><div>Some rights reserved</div><div><p><a href=y>{'more ' * 9}</a></div></body>")
+    return page, "\n".join(paragraphs)
+
+
+def test_density_alone_finds_the_article(monkeypatch):
+    pages = [_unmarked(random.Random(k)) for k in range(60)]
+    assert all(html_density.main_text(page) == text for page, text in pages)
+    for constant in (0.0, 1.0):
+        monkeypatch.setattr(html_density, "composite_density", lambda *a: constant)
+        assert sum(html_density.main_text(page) != text for page, text in pages) > 50
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<![foo[x]]>", ""), ("a<![if IE]>b<![endif]>c", "abc"), ("<p>x<![", "x<!["),
+    ("<!DOCTYPE html [<!ENTITY a 'b'>]><p>y</p>", "]>\ny"), ("<!--<p>no--><p>z", "z")])
+def test_marked_sections_and_declarations(html, text):
+    assert html_density.main_text(html) == text
+
+
+def test_random_markup_never_fails():
+    rng = random.Random(12)
+    parts = ["<![", "[", "]]>", "<!", "--", ">", "<", "</", "<p", "<div>", "</div>", "<table>", "<li>", "<a href='", "'",
+             '"', "&amp", "&#x;", "&#99999999;", "text ", "<script>", "</script>", "<br/>", "<?x", "<![CDATA[", "\0", "é"]
+    for _ in range(4000):
+        html_density.main_text("".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))))
+
+
+@pytest.mark.parametrize("html", ["<div>" * 60_000, "<p><table>" + "<span><div>" * 20_000, "<p>" * 30_000,
+                                  "<ul>" + "<li><b>" * 30_000, "<div><p>" * 20_000 + "x"])
+def test_cost_is_linear_in_nesting(html):
+    start = time.process_time()
+    html_density.main_text(html)
+    assert time.process_time() - start < 5
+
+
 def test_extract_keeps_columns(spark):
     pages = spark.createDataFrame(
         [(1, PAGE, "mine"), (2, None, None), (2, None, None)], "page_id long, html string, text string")
