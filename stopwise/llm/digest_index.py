@@ -9,6 +9,10 @@ Null text counts as empty, and empty texts are equal to each other. Of equal tex
 batch the row with the largest doc_id stays; a null doc_id is smaller than any other. Of rows that
 repeat a doc_id and text exactly one stays. A text that an earlier batch has added is
 dropped, whatever its doc_id. An empty batch leaves the index as it is.
+
+A batch has a name. What an earlier attempt at the same batch has added counts as the batch's own, so
+a job that died after it had added its texts is run again under the same name and keeps the same
+rows. Without a name each call is a batch of its own.
 """
 
 from __future__ import annotations
@@ -71,13 +75,13 @@ def digest(text: str) -> F.Column:
     return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
 
 
-def deduplicate(digests: DataFrame, index: DigestIndex) -> DataFrame:
+def deduplicate(digests: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """Verdicts on a batch of ``(row_tag, doc_id, digest)``, which it adds to the index.
 
     Returns these columns with ``keep_id``, ``group_size`` (rows of the batch with this
     text) and ``kept``. ``digests`` must be a written table, as it is read twice.
     """
-    batch = uuid.uuid4().hex
+    batch = batch or uuid.uuid4().hex
     groups = (digests.groupBy("digest")
               .agg(F.max(F.struct("doc_id", "row_tag")).alias("keep"),
                    F.count("*").alias("group_size"))
@@ -87,33 +91,40 @@ def deduplicate(digests: DataFrame, index: DigestIndex) -> DataFrame:
     known = index.table().hint("merge")
     fresh = stage(groups.join(known.select("digest"), "digest", "left_anti"), "fresh-digests")
     index.append(fresh)
-    sizes = groups.select("digest", "group_size")
-    texts = stage(sizes.join(index.table().hint("merge"), "digest"), "batch-digests")
+    sizes = groups.select("digest", "group_size", F.col("keep_id").alias("own_id"), "keep_tag")
+    added = index.table().select("digest", "keep_id", "batch").hint("merge")
+    texts = stage(sizes.join(added, "digest").withColumn(
+        "own", F.col("batch") == batch), "batch-digests")
     # one row per text against all rows: a hot text is on the side that Spark can split
     return digests.join(texts.hint("merge"), "digest").select(
-        "row_tag", "doc_id", "digest", "keep_id", "group_size",
-        ((F.col("batch") == batch) & (F.col("row_tag") == F.col("keep_tag"))).alias("kept"))
+        "row_tag", "doc_id", "digest",
+        F.when(F.col("own"), F.col("own_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        "group_size", (F.col("own") & (F.col("row_tag") == F.col("keep_tag"))).alias("kept"))
 
 
 def find_duplicates(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
+                    text: str = "text", batch: str | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows, _ = tagged(docs.select(F.col(doc_id).alias("doc_id"), digest(text).alias("digest")),
                      "digests")
-    return deduplicate(rows, index).select(
+    return deduplicate(rows, index, batch).select(
         "doc_id", "keep_id", "group_size", "kept",
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None, doc_id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
+                    text: str = "text", batch: str | None = None) -> DataFrame:
     """The rows that stay, with the columns of ``docs``.
 
     Without an index the batch is compared with itself only, by an index of its own.
     """
-    index = index or DigestIndex.create(docs.sparkSession, new_folder(docs.sparkSession, "index"))
+    own = None
+    if index is None:
+        index = own = DigestIndex.create(docs.sparkSession, new_folder(docs.sparkSession, "index"))
     rows, tag = keyed(docs, doc_id, text, "batch-rows")
     digests = stage(rows.select(F.col(tag).alias("row_tag"), F.col(doc_id).alias("doc_id"),
                                 digest(text).alias("digest")), "digests")
-    gone = deduplicate(digests, index).filter("NOT kept").select("row_tag")
-    return without(rows, tag, stage(gone, "duplicate-rows"))
+    gone = stage(deduplicate(digests, index, batch).filter("NOT kept").select("row_tag"), "duplicate-rows")
+    if own:
+        own.close()
+    return without(rows, tag, gone)

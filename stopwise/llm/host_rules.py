@@ -89,9 +89,10 @@ def host_verdicts(scored: DataFrame, host: str = "source",
                   max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """One row per host: documents, failures, shrunken failure rate, verdict.
 
-    The beta prior is fitted by moments: its mean is the pooled rate, its strength
-    follows from the spread of the hosts' rates about it. With no spread at all every
-    host gets the pooled rate.
+    The beta prior is fitted by the moments of beta-binomial counts: its mean is the pooled
+    rate m, and of the spread v of K hosts' rates over N documents the part that chance alone
+    makes is taken off, rho = (v N / (m (1 - m)) - K) / (N - K) within 0 and 1, strength = 1 / rho - 1.
+    Where rho is 0 or unknown, as with one document a host, every host gets the pooled rate.
     """
     hosts = (scored.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("host"))
              .agg(F.count("*").alias("n_docs"),
@@ -100,14 +101,17 @@ def host_verdicts(scored: DataFrame, host: str = "source",
     # sum of n (r - m)^2 over sum of n, from sums over hosts
     spread = F.sum(F.col("n_failed") * F.col("n_failed") / F.col("n_docs")) / F.sum("n_docs") \
         - mean * mean
-    prior = hosts.agg(mean.alias("m"), spread.alias("v"))
-    m = prior.select("m").scalar()
-    v = prior.select("v").scalar()
-    out = hosts.withColumn("m", m).withColumn("v", v)
-    strength = F.greatest(F.lit(0.0), F.col("m") * (1 - F.col("m")) / F.col("v") - 1)
-    rate = F.when(F.col("v") <= 1e-12, F.col("m")).otherwise(
+    prior = hosts.agg(mean.alias("m"), spread.alias("v"), F.sum("n_docs").alias("all_docs"),
+                      F.count("*").alias("hosts")).select("m", F.when(
+        (F.col("m") * (1 - F.col("m")) > 0) & (F.col("all_docs") > F.col("hosts")),
+        (F.col("v") * F.col("all_docs") / (F.col("m") * (1 - F.col("m"))) - F.col("hosts"))
+        / (F.col("all_docs") - F.col("hosts"))).otherwise(0.0).alias("rho"))
+    out = hosts.withColumn("m", prior.select("m").scalar()).withColumn(
+        "rho", prior.select("rho").scalar())
+    strength = F.greatest(F.lit(0.0), 1 / F.col("rho") - 1)
+    rate = F.when(F.col("rho") <= 1e-12, F.col("m")).otherwise(
         (F.col("n_failed") + F.col("m") * strength) / (F.col("n_docs") + strength))
-    return (out.withColumn("host_rate", F.round(rate, 9)).drop("m", "v")
+    return (out.withColumn("host_rate", F.round(rate, 9)).drop("m", "rho")
             .withColumn("host_failed", F.col("host_rate") > max_rate))
 
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .pretoken import LETTER, classes, code_points, portions
+from .tables import free_name
 
 ORDER = 4
 TRAIN_ROWS = 3000            # labelled rows of each language to fit on, at most about
@@ -329,5 +330,6 @@ def identify(docs: DataFrame, models: LanguageModels, text: str = "text") -> Dat
 
     added = ("lang_pred", "score", "cross_entropy", "rejected")
     kept = [c for c in docs.columns if c not in added]
-    return docs.select(*kept, run(F.col(text)).alias("language_")).select(
-        *kept, *(F.col(f"language_.{c}").alias(c) for c in added))
+    name = free_name(docs, "language_")
+    return docs.select(*kept, run(F.col(text)).alias(name)).select(
+        *kept, *(F.col(f"{name}.{c}").alias(c) for c in added))

@@ -49,6 +49,8 @@ def whole_quanta(shares: dict[str, float], quanta: int = QUANTA) -> dict[str, in
     if len(shares) > quanta:
         raise ValueError(f"{len(shares)} sources need more than {quanta} quanta")
     total = sum(shares.values())
+    if shares and total <= 0:       # no source is wanted more than another
+        shares, total = dict.fromkeys(shares, 1.0), float(len(shares))
     exact = {s: (quanta - len(shares)) * x / total for s, x in shares.items()}
     out = {s: 1 + int(x) for s, x in exact.items()}
     by_rest = sorted(exact, key=lambda s: (-round(exact[s] - int(exact[s]), 9), s))
@@ -82,6 +84,13 @@ def _turns(weights: dict[str, int]) -> Iterator[tuple[str, int, int]]:
             heapq.heappush(waiting, ((j + 1) * quanta // weights[s], s, j + 1))
 
 
+def _share(found, targets: dict[str | None, float] | None) -> float:
+    """A source's weight; one that the targets lack, or put below 0, has 0."""
+    if targets is None:
+        return found["size"] ** EXPONENT
+    return max(0.0, float(targets.get(found["source"]) or 0.0))
+
+
 _TURNS = "group long, share double, name string, quanta long, cycle long, turn long, at long"
 
 
@@ -89,11 +98,10 @@ def _group_turns(targets: dict[str | None, float] | None, quanta: int, block_cha
     """The turns that the sources of one group have blocks for, in a period of the group."""
     def run(table: pa.Table) -> pa.Table:
         found = sorted(table.to_pylist(), key=lambda r: r["name"])
-        shares = {r["name"]: r["size"] ** EXPONENT if targets is None else targets[r["source"]]
-                  for r in found}
+        shares = {r["name"]: _share(r, targets) for r in found}
         total = sum(shares.values())
         slots = period_slots(len(found), quanta)
-        weights = whole_quanta(shares if total else dict.fromkeys(shares, 1.0), slots)
+        weights = whole_quanta(shares, slots)
         blocks = {r["name"]: min(weights[r["name"]], -(-r["size"] // block_chars)) for r in found}
         left, names, turns, at = sum(blocks.values()), [], [], []
         for name, turn, slot in _turns(weights):
@@ -122,30 +130,28 @@ def _small(df: DataFrame, rows: int, bound: int = PLAN_ROWS) -> DataFrame:
 def mix(docs: DataFrame, targets: dict[str | None, float] | None = None, doc_id: str = "doc_id",
         text: str = "text", source: str = "source", quanta: int = QUANTA,
         block_chars: int = BLOCK_CHARS, chunk_rows: int = CHUNK_ROWS,
-        direct_sources: int = DIRECT_SOURCES) -> DataFrame:
+        direct_sources: int = DIRECT_SOURCES, tag: str | None = None) -> DataFrame:
     """Places of all rows: row_tag, doc_id, source, block, slot and place in the block.
 
     ``(slot, place)`` is the order of the mix. ``row_tag`` numbers the rows as they are
-    read; pass a frame that has it to get your own back.
+    read, or is the column that ``tag`` names, which must differ from row to row. A source
+    without a target has the least weight there is, so its rows come out too.
     """
     spark = docs.sparkSession
     name = F.coalesce(F.concat(F.lit("s:"), F.col(source)), F.lit("null"))
     rows = docs.select(
-        *(["row_tag"] if "row_tag" in docs.columns else []),
+        *([F.col(tag).alias("row_tag")] if tag else []),
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), name.alias("name"),
         hash_bits(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).alias("key"),
         F.greatest(F.coalesce(F.length(text), F.lit(1)), F.lit(1)).cast("long").alias("size"))
-    rows = stage(rows, "sizes") if "row_tag" in docs.columns else tagged(rows, "sizes")[0]
+    rows = stage(rows, "sizes") if tag else tagged(rows, "sizes")[0]
 
     sizes = rows.groupBy("name").agg(F.sum("size").alias("size"), F.count("*").alias("n"),
                                      F.first("source").alias("source"))
     found = sizes.limit(direct_sources + 1).collect()
     outer = None
     if len(found) <= direct_sources:
-        if targets is None:
-            shares = {r["name"]: r["size"] ** EXPONENT for r in found}
-        else:
-            shares = {r["name"]: targets[r["source"]] for r in found}
+        shares = {r["name"]: _share(r, targets) for r in found}
         slots = period_slots(len(found), quanta)
         weights = whole_quanta(shares, slots) if found else {}
         most = max((r["n"] for r in found), default=1)
@@ -206,7 +212,7 @@ def places_of(rows: DataFrame, tag: str, doc_id: str = "doc_id", text: str = "te
     """Written places of rows that ``tag`` tells apart: row_tag, slot and place."""
     given = rows.select(F.col(tag).alias("row_tag"), F.col(doc_id).alias("doc_id"),
                         F.col(text).alias("text"), F.col(source).alias("source"))
-    places = stage(mix(given, **options).select("row_tag", "slot", "place"), "places")
+    places = stage(mix(given, tag="row_tag", **options).select("row_tag", "slot", "place"), "places")
     return _small(places, places.count(), BROADCAST_ROWS)
 
 

@@ -219,14 +219,14 @@ def _links(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, threshold:
 
 def join_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  threshold: float = THRESHOLD, recall: float = RECALL, words: int = WORDS,
-                 block: int = BLOCK) -> DataFrame:
+                 block: int = BLOCK, tag: str | None = None) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of its connected class),
     class_size, n_links (other documents at or above the threshold) and ``stays`` for the
-    one row of the class that stands for it. A ``row_tag`` of ``docs`` is kept."""
+    one row of the class that stands for it; and ``row_tag``, the column that ``tag`` names, if
+    given, which must be binary and differ from row to row."""
     bands, rows = choose_bands(threshold, recall)
-    tagged_in = "row_tag" in docs.columns
-    name = "row_tag" if tagged_in else free_name(docs, "row_tag")
-    given = docs if tagged_in else docs.withColumn(name, numbered())
+    name = tag or free_name(docs, "row_tag")
+    given = docs if tag else docs.withColumn(name, numbered())
     signed = stage(given.select(F.struct(F.col(name).alias("tag"), F.col(doc_id).cast("long")
                                          .alias("doc_id")).alias("doc_id"), text)
                    .mapInArrow(_sign(bands, rows, words),
@@ -260,7 +260,7 @@ def join_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "tag", "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"),
         F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("stays"))
     out = with_words.unionByName(empty)
-    return out.withColumnRenamed("tag", "row_tag") if tagged_in else out.drop("tag")
+    return out.withColumnRenamed("tag", "row_tag") if tag else out.drop("tag")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -268,5 +268,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     rows, tag = keyed(docs, doc_id, text, "batch-rows")
     given = rows.select(F.col(tag).alias("row_tag"), F.col(doc_id).alias("doc_id"),
                         F.col(text).alias("text"))
-    gone = join_classes(given, **options).filter("NOT stays").select("row_tag")
+    gone = join_classes(given, tag="row_tag", **options).filter("NOT stays").select("row_tag")
     return without(rows, tag, stage(gone, "near-copies"))

@@ -30,12 +30,14 @@ hosts AS (
   SELECT source, count(*) AS n, sum(base_failed::INT) AS f FROM b WHERE source IS NOT NULL
   GROUP BY source),
 prior AS (
-  SELECT m, v, greatest(0.0, m * (1 - m) / v - 1) AS k
-  FROM (SELECT sum(f) / sum(n) AS m,
-               sum(f * f / n) / sum(n) - (sum(f) / sum(n)) * (sum(f) / sum(n)) AS v
-        FROM hosts)),
+  SELECT m, rho, greatest(0.0, 1 / rho - 1) AS k FROM (
+    SELECT m, CASE WHEN m * (1 - m) > 0 AND docs > hosts
+                   THEN (v * docs / (m * (1 - m)) - hosts) / (docs - hosts) ELSE 0 END AS rho
+    FROM (SELECT sum(f) / sum(n) AS m, sum(n) AS docs, count(*) AS hosts,
+                 sum(f * f / n) / sum(n) - (sum(f) / sum(n)) * (sum(f) / sum(n)) AS v
+          FROM hosts))),
 verdict AS (
-  SELECT source, round(CASE WHEN v <= 1e-12 THEN m ELSE (f + m * k) / (n + k) END, 9) > 0.75
+  SELECT source, round(CASE WHEN rho <= 1e-12 THEN m ELSE (f + m * k) / (n + k) END, 9) > 0.75
          AS host_failed
   FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .tables import free_name, tagged
+from .tables import free_name, keyed, tagged
 
 LIMIT_BYTES = 1 << 20
 BITS = 60            # of one hash; further hashes follow when they are used up
@@ -60,11 +60,20 @@ def _bits(prefix: F.Column, depth: F.Column) -> F.Column:
 def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, doc_id: str = "doc_id",
                   text: str = "text", spare_bits: int = SPARE_BITS) -> DataFrame:
     """One row per document: doc_id, shard (its hash bits), depth, shard_docs, shard_bytes."""
+    rows, _ = tagged(_sized(docs, doc_id, text), "sizes")
+    return _assign(rows, limit, spare_bits).drop("row_tag")
+
+
+def _sized(docs: DataFrame, doc_id: str, text: str, *more: F.Column) -> DataFrame:
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
     name = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), F.md5(text)),
                       F.lit(""))
-    rows, _ = tagged(docs.select(F.col(doc_id).alias("doc_id"), size.alias("bytes"),
-                                 hash_bits(name).alias("key")), "sizes")
+    return docs.select(F.col(doc_id).alias("doc_id"), size.alias("bytes"),
+                       hash_bits(name).alias("key"), *more)
+
+
+def _assign(rows: DataFrame, limit: int, spare_bits: int) -> DataFrame:
+    """The shards of a written table of sized rows with ``row_tag``."""
     parts, left, offset, round_ = [], rows.withColumn("path", F.lit("")), 0, 0
     while True:
         total = left.agg(F.sum("bytes").alias("b"), F.count("*").alias("n"),
@@ -88,7 +97,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, doc_id: str = "doc_
         placed = left.withColumn("cell", _prefix("key", depth)).join(own, ["path", "cell"])
         path = F.concat("path", _bits(F.col("prefix"), F.col("depth")))
         parts.append(placed.filter("fits").select(
-            "doc_id", path.alias("shard"), (F.lit(offset) + F.col("depth")).cast("int").alias("depth"),
+            "row_tag", "doc_id", path.alias("shard"), (F.lit(offset) + F.col("depth")).cast("int").alias("depth"),
             "shard_docs", "shard_bytes"))
         if not shards.filter("NOT fits").limit(1).count():
             break
@@ -102,7 +111,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, doc_id: str = "doc_
             "row_tag", "doc_id", "bytes", F.coalesce(fresh, used).alias("key"),
             path.alias("path")), "oversized")
     out = parts[0] if parts else rows.select(
-        "doc_id", F.lit("").alias("shard"), F.lit(0).alias("depth"),
+        "row_tag", "doc_id", F.lit("").alias("shard"), F.lit(0).alias("depth"),
         F.lit(0).cast("long").alias("shard_docs"), F.col("bytes").alias("shard_bytes"))
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -113,13 +122,15 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES, doc_id: s
                  text: str = "text") -> DataFrame:
     """Write ``docs`` with one folder per shard, ``path/shard=<bits>``; returns the directory.
 
-    Every row goes to the task of its shard, whose size the limit bounds. doc_id must not
-    be repeated here, as rows find their shard by it.
+    Every row goes to the task of its shard, whose size the limit bounds. Rows find their shard
+    by a key of their own, so repeated ids and repeated rows are written as often as they are given.
     """
-    shards = stage(assign_shards(docs, limit, doc_id, text), "assignment")
-    key, name = free_name(docs, "shard_of"), free_name(docs, "shard")
-    placed = docs.join(shards.select(F.col("doc_id").alias(key),
+    rows, tag = keyed(docs, doc_id, text, "sharded-rows")
+    sizes = stage(_sized(rows, doc_id, text, F.col(tag).alias("row_tag")), "sizes")
+    shards = stage(_assign(sizes, limit, SPARE_BITS), "assignment")
+    key, name = free_name(rows, "shard_of"), free_name(docs, "shard")
+    placed = rows.join(shards.select(F.col("row_tag").alias(key),
                                      F.concat(F.lit("b"), "shard").alias(name)),
-                       docs[doc_id].eqNullSafe(F.col(key))).drop(key)
+                       F.col(tag) == F.col(key)).drop(key, tag)
     placed.repartition(name).write.partitionBy(name).parquet(path)
     return shards.select("shard", "depth", "shard_docs", "shard_bytes").distinct()
