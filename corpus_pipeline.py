@@ -51,11 +51,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     places = mixing.places_of(rows, tag).withColumnRenamed("row_tag", "row_tag_of")
     tokenizer = bpe_lexicon.BpeTokenizer(spark, VOCABULARY or tokenizer_path())
     tokenizer.fit_lexicon(docs.select("doc_id", "text"))
-    coded = tokenizer.encode(rows.select("doc_id", "text", F.col(tag).alias("row_tag")))
-    coded = coded.withColumn("decoded", tokenizer.decode()).select(
-        "row_tag", "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = tokenizer.round_trip(rows.select("doc_id", "text", F.col(tag).alias("row_tag")),
+                                 bpe_lexicon.DIGESTS, bpe_lexicon.digests)
     return coded.join(places, F.col("row_tag") == F.col("row_tag_of")).drop(
         "row_tag", "row_tag_of")
 
