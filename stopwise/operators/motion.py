@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import GEODISTANCE
 from ..functions.labels import eta_seconds
@@ -70,6 +70,37 @@ def link_pings(
             .drop("_before", "_entry", "_entry_speed", "_step", "segment"))
 
 
+def _compose(maps) -> Column:
+    """One affine map ``speed * keep + gain`` from an array of them, the first one first."""
+    return F.aggregate(
+        maps, F.struct(F.lit(1.0).alias("keep"), F.lit(0.0).alias("gain")),
+        lambda a, m: F.struct((a["keep"] * m["keep"]).alias("keep"),
+                              (a["gain"] * m["keep"] + m["gain"]).alias("gain")))
+
+
+def _entry_speeds(maps: DataFrame, default_speed: float, block: int) -> DataFrame:
+    """The speed at which each segment is entered, after the maps of all segments before it.
+
+    Maps are composed in blocks of ``block`` segments that have one, then over the blocks; a
+    window holds a block's maps or a bus's blocks, however small the weight of a step.
+    """
+    along = Window.partitionBy("codBus").orderBy("segment")
+    placed = maps.withColumn("_block", F.floor((F.row_number().over(along) - 1) / block))
+    inside = Window.partitionBy("codBus", "_block").orderBy("segment").rowsBetween(
+        Window.unboundedPreceding, -1)
+    within = placed.withColumn("_before", _compose(F.collect_list("_map").over(inside)))
+    whole = placed.groupBy("codBus", "_block").agg(_compose(F.transform(
+        F.array_sort(F.collect_list(F.struct("segment", "_map"))), lambda m: m["_map"])).alias("_map"))
+    over = Window.partitionBy("codBus").orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    opened = whole.select("codBus", "_block", F.aggregate(
+        F.collect_list("_map").over(over), F.lit(float(default_speed)),
+        lambda speed, m: speed * m["keep"] + m["gain"]).alias("_opened"))
+    return within.join(opened, ["codBus", "_block"]).select(
+        "codBus", "segment",
+        (F.col("_opened") * F.col("_before.keep") + F.col("_before.gain")).alias("_entry"))
+
+
 def ewma_speed(
     linked: DataFrame,
     *,
@@ -78,16 +109,15 @@ def ewma_speed(
     high: float = 25.0,
     default_speed: float = DEFAULT_SPEED_MPS,
     segment_s: int = 900,
+    block: int = 256,
 ) -> DataFrame:
     """Replace ``speed_mps`` by ``alpha * step + (1 - alpha) * previous`` over plausible steps.
 
     Inside a segment the recurrence is a running sum of steps scaled by growing powers.
-    Each segment is one affine map, and the maps chain over one row per segment. Only
-    as many maps are chained as can still move a double.
+    Each segment is one affine map, and the maps are chained over one row per segment.
     """
     rest = 1.0 - alpha
     segment_s = min(segment_s, int(250 / -math.log10(rest)))
-    chain = math.ceil(-20 / math.log10(rest))
     inside = Window.partitionBy("codBus", "segment").orderBy("event_s")
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (_with_step(linked, "_step", "", "before", 0.0)
@@ -98,17 +128,11 @@ def ewma_speed(
                  F.col("_step") * alpha * F.pow(F.lit(rest), -F.col("_uses"))).over(running),
                  F.lit(0.0))))
     keep = F.pow(F.lit(rest), F.col("_uses"))
-    along = Window.partitionBy("codBus").orderBy("segment").rowsBetween(
-        Window.unboundedPreceding, -1)
     maps = (local.groupBy("codBus", "segment")
             .agg(F.max("_uses").alias("_uses"), F.max_by("_sum", "event_s").alias("_sum"))
-            .withColumn("_map", F.when(F.col("_uses") > 0, F.struct(
-                keep.alias("keep"), (keep * F.col("_sum")).alias("gain"))))
-            .withColumn("_place", F.count("_map").over(along)))
-    chained = Window.partitionBy("codBus").orderBy("_place").rangeBetween(-chain, -1)
-    entry = maps.select("codBus", "segment", F.aggregate(
-        F.collect_list("_map").over(chained), F.lit(float(default_speed)),
-        lambda speed, m: speed * m["keep"] + m["gain"]).alias("_entry"))
+            .select("codBus", "segment", F.struct(
+                keep.alias("keep"), (keep * F.col("_sum")).alias("gain")).alias("_map")))
+    entry = _entry_speeds(maps, default_speed, block)
     return (local.join(entry, ["codBus", "segment"])
             .withColumn("speed_mps", keep * (F.col("_entry") + F.col("_sum")))
             .drop("segment", "_step", "_uses", "_sum", "_entry"))

@@ -181,3 +181,24 @@ def test_numbering_segments(spark):
     w = Window.partitionBy("k").orderBy("id")
     assert rows(got, "k", "id", "n") == rows(
         df.withColumn("n", F.row_number().over(w) - 1), "k", "id", "n")
+
+
+@pytest.mark.parametrize("alpha", [0.001, 0.2, 0.9])
+def test_smoothing_equals_a_plain_loop(spark, alpha):
+    """Small weights need the whole history: many segments in several blocks."""
+    rnd = random.Random(17)
+    given, now, here = [], 0, 36.0
+    for _ in range(500):
+        now += rnd.choice([20, 30, 400])
+        here += rnd.choice([0.0, 0.0005, 0.002, 0.2])
+        given.append(("1", now, round(here, 6), -4.4))
+    pings = spark.createDataFrame(given, "codBus string, event_s long, lat double, lon double")
+    linked = link_pings(pings).withColumn("step_m", F.expr(GEODISTANCE.distance(
+        "before.lat", "before.lon", "lat", "lon")))
+    got = ewma_speed(linked, alpha=alpha, segment_s=60, block=7).orderBy("event_s").select(
+        "event_s", "speed_mps", "step_m", "before.event_s").collect()
+    speed = 5.5
+    for now, found, metres, before in got:
+        if before is not None and 0.1 < metres / (now - before) < 25.0:
+            speed = alpha * metres / (now - before) + (1 - alpha) * speed
+        assert found == pytest.approx(speed, rel=1e-9)
