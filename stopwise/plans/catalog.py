@@ -18,7 +18,7 @@ from ..settings import LINE
 from ..sources import (load_model, read_live_status, read_ping_history, read_ping_stream,
                        read_timetable, save_model, write_table)
 from ..sources.pings import FEED_HEADER
-from ..streaming import (KeptTable, finish_vehicles, follow_vehicles, newest, read_sink,
+from ..streaming import (KeptTable, LateRows, finish_vehicles, follow_vehicles, newest, read_sink,
                          run_available, totals)
 from ..streaming.ingest import clean_stream, dedup_stream
 from . import chains, fixtures
@@ -680,6 +680,21 @@ def stream_dedup(spark, sf):
     return shown(once.select("codBus", "timestamp"))
 
 
+@query
+def stream_late(spark, sf):
+    """What becomes of the rows when the later part of the feed lands first."""
+    feed, out = new_folder(spark, "feed"), new_folder(spark, "sink")
+    raw = fixtures.gps_raw(spark, sf).select(*FEED_HEADER)
+    split = LateRows(spark, new_folder(spark, "late"), 600)
+    early = F.col("last_update") < EARLY
+    for part in (~early, early):
+        raw.filter(part).write.mode("append").option("header", True).csv(feed)
+        run_available(clean_stream(read_ping_stream(spark, feed), LINE), out, f"{out}-checkpoint",
+                      late=split)
+    late = read_sink(spark, split.late_path).select("codBus", "event_s", F.lit("late").alias("state"))
+    return read_sink(spark, out).select("codBus", "event_s", F.lit("accepted").alias("state")).unionByName(late)
+
+
 @query
 def stream_enrich(spark, sf):
     schedule = _line(spark, sf)

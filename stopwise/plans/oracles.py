@@ -572,6 +572,10 @@ def oracle_sql() -> dict[str, str]:
                              "newest"),
         "vehicle_replay": replay,
         "stream_vehicle_state": replay,
+        "stream_late": _with("""SELECT codBus, event_s, 'accepted' AS state FROM pings
+            WHERE last_update >= '2024-01-01 06:20:00' GROUP BY codBus, event_s
+            UNION ALL SELECT codBus, event_s, 'late' FROM pings
+            WHERE last_update < '2024-01-01 06:20:00'""", "pings"),
         "stream_timeout": _with(f"""SELECT codBus, event_s, {r('speed')} AS speed_mps,
             {r('delay')} AS predicted_delay_math, passed AS passed_sequence FROM expired""",
                                 "expired"),

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.joins import released_after
 from .kept import KeptTable
+from .late import LateRows
 
 #: A kept table, and what of a batch is folded into it.
 Kept = tuple[KeptTable, Callable[[DataFrame], DataFrame]]
@@ -27,6 +28,7 @@ def start_query(
     *,
     step: Callable[[DataFrame], DataFrame] | None = None,
     keep: list[Kept] | None = None,
+    late: LateRows | None = None,
     output_mode: str = "append",
     every: str | None = None,
 ) -> StreamingQuery:
@@ -34,24 +36,40 @@ def start_query(
 
     A batch that runs again after a failure overwrites its folder. ``step`` is a batch
     transformation applied first. ``keep`` lists tables that each batch is folded into; with
-    ``path`` None there is no history beside them. Without ``every`` the query stops after
-    the files that are there.
+    ``path`` None there is no history beside them. ``late`` takes late and repeated rows out
+    before all that and writes the late ones to a folder of its own. Without ``every`` the query
+    stops after the files that are there.
     """
     keep = keep or []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with released_after():
-            out = step(batch) if step else batch
-            if keep:         # folding reads the batch more than once
-                out = out.persist()
+            if late is None:
+                put(batch, batch_id)
+                return
+            marked, told = late.split(batch, batch_id)
+            marked = marked.persist()
             try:
-                if path is not None:
-                    out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-                for table, part in keep:
-                    table.fold(part(out), batch_id)
+                marked.filter("state = 'late'").drop("state").write.mode("overwrite").parquet(
+                    f"{late.late_path}/batch_id={batch_id}")
+                accepted = marked.filter("state = 'accepted'").drop("state")
+                put(accepted, batch_id)
+                late.remember(accepted, told.get, batch_id)
             finally:
-                if keep:
-                    out.unpersist()
+                marked.unpersist()
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        out = step(batch) if step else batch
+        if keep:             # folding reads the batch more than once
+            out = out.persist()
+        try:
+            if path is not None:
+                out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            for table, part in keep:
+                table.fold(part(out), batch_id)
+        finally:
+            if keep:
+                out.unpersist()
 
     writer = (df.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint).foreachBatch(write))
