@@ -42,9 +42,9 @@ OFFSET_ROWS = 200_000        # counts of parts and lengths that are broadcast
 WORD_END = "</w>"            # ends the last token of a word in the vocabulary
 BREAK = "<|endoftext|>"      # parts words in one call; its id cannot come from a word
 
-_WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
+_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _NOT_WHITE = re.compile("[\x1c-\x1f]")           # str.split() takes these for white space too
-_LOWER_LATER = re.compile("[^\x00-įı-ſ]")   # lower case may depend on neighbours
+_LOWER_LATER = re.compile("[^\x00-\u012f\u0131-\u017f]")   # lower case may depend on neighbours
 _MARKS = ".,;:!?"
 
 
