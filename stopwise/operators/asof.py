@@ -1,20 +1,25 @@
 """As-of matching of instants against the timetable.
 
 Each distinct scheduled time of a stop owns the interval of seconds it answers for.
-Intervals of one key do not overlap, so a join on (key, time bucket) with the interval
-as residual gives at most one match per row and no ranking is needed.
+Intervals of one key do not overlap. While they are few enough to broadcast, a join on (key,
+time bucket) with the interval as residual gives at most one match per row. Beyond that rows
+and intervals are merged: both are sorted by time within their key and stretch of the day, and a
+row takes the last interval that began before it, with one row for each interval, and one more
+for each stretch that it reaches into.
 
 Result column: ``scheduled_s``, seconds after the midnight of the row's own day.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.times import same_day_seconds
 from ..settings import ASOF_BUCKET_S, BROADCAST_ROWS, DAY_S, SALTS, SCHEDULE_HORIZON_S
 from .joins import Dimension, join_dimension
 
+STRETCH_S = 3600        # of the day, in which the rows of a key are merged together
+
 
 def _candidates(schedule: DataFrame, by: list[str], service_day: str) -> DataFrame:
     """Distinct scheduled moments per key, relative to the midnight of the probed day."""
@@ -30,18 +35,23 @@ def _candidates(schedule: DataFrame, by: list[str], service_day: str) -> DataFra
     return moments.distinct()
 
 
+_LOW = "greatest(own_from, 0D)"
+_HIGH = f"least(own_to, own_before, {DAY_S - 0.000001}D)"
+
+
+def _within_day(intervals: DataFrame) -> DataFrame:
+    return intervals.filter(f"{_LOW} <= {_HIGH}")
+
+
 def _bucketed(intervals: DataFrame, bucket_s: int) -> DataFrame:
-    """Clip to one day and repeat each interval once per bucket it touches."""
-    low = "greatest(own_from, 0D)"
-    high = f"least(own_to, own_before, {DAY_S - 0.000001}D)"
-    return intervals.filter(f"{low} <= {high}").selectExpr(
-        "*", f"explode(sequence(floor({low} / {bucket_s}), floor({high} / {bucket_s}))) AS bucket")
+    """Repeat each interval once per bucket it touches."""
+    return intervals.selectExpr(
+        "*", f"explode(sequence(floor({_LOW} / {bucket_s}), floor({_HIGH} / {bucket_s}))) AS bucket")
 
 
 def nearest_intervals(schedule: DataFrame, by: list[str], *,
                       horizon_s: int | None = SCHEDULE_HORIZON_S,
-                      service_day: str = "reference",
-                      bucket_s: int = ASOF_BUCKET_S) -> DataFrame:
+                      service_day: str = "reference") -> DataFrame:
     """Seconds for which each time is the nearest, strictly within the horizon. A tie
     belongs to the earlier time."""
     over = f"OVER (PARTITION BY {', '.join(by)} ORDER BY scheduled_s)"
@@ -54,12 +64,11 @@ def nearest_intervals(schedule: DataFrame, by: list[str], *,
         f"scheduled_s + {reach}) AS double) AS own_to",
         f"CAST(scheduled_s + {reach} AS double) AS own_before",
     )
-    return _bucketed(owned, bucket_s)
+    return _within_day(owned)
 
 
 def next_intervals(schedule: DataFrame, by: list[str], *, wrap: bool = False,
-                   service_day: str = "reference",
-                   bucket_s: int = ASOF_BUCKET_S) -> DataFrame:
+                   service_day: str = "reference") -> DataFrame:
     """Seconds for which each time is the next one at or after. With ``wrap`` the first
     time of the day, one day later, serves the seconds after the last."""
     times = _candidates(schedule, by, service_day)
@@ -74,12 +83,12 @@ def next_intervals(schedule: DataFrame, by: list[str], *, wrap: bool = False,
         "CAST(scheduled_s AS double) AS own_to",
         f"{2.0 * DAY_S + 1}D AS own_before",
     )
-    return _bucketed(owned, bucket_s)
+    return _within_day(owned)
 
 
 def match_schedule(
     facts: DataFrame,
-    intervals: DataFrame | Dimension,
+    intervals: DataFrame,
     keys: dict[str, str] | list[str],
     second_of_day: str,
     *,
@@ -88,14 +97,55 @@ def match_schedule(
     bucket_s: int = ASOF_BUCKET_S,
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    stretch_s: int = STRETCH_S,
 ) -> DataFrame:
-    """Add ``scheduled_s`` of the owning interval, null when no time answers."""
+    """Add ``scheduled_s`` of the owning interval, null when no time answers.
+
+    Beyond ``max_rows`` bucketed intervals the rows are merged with them, or, on a stream, which
+    cannot be sorted, joined by a salted shuffle.
+    """
     if not isinstance(keys, dict):
         keys = {k: k for k in keys}
+    salt_on = salt_on or ["codBus", "event_s"]
     facts = facts.selectExpr("*", f"CAST({second_of_day} AS double) AS _second")
-    matched = join_dimension(
-        facts, intervals, {**keys, "bucket": f"floor(_second / {bucket_s})"}, how,
-        salt_on=salt_on or ["codBus", "event_s"],
-        condition="_second > own_from AND _second <= own_to AND _second < own_before",
-        max_rows=max_rows, salts=salts)
+    owns = "_second > own_from AND _second <= own_to AND _second < own_before"
+    bucketed = Dimension(_bucketed(intervals, bucket_s))
+    if bucketed.rows > max_rows and not facts.isStreaming:
+        matched = _merge(facts, intervals, keys, how, salt_on, owns, stretch_s, salts)
+    else:
+        matched = join_dimension(
+            facts, bucketed, {**keys, "bucket": f"floor(_second / {bucket_s})"}, how,
+            salt_on=salt_on, condition=owns, max_rows=max_rows, salts=salts)
     return matched.drop("_second", "own_from", "own_to", "own_before")
+
+
+def _merge(facts: DataFrame, intervals: DataFrame, keys: dict[str, str], how: str,
+           salt_on: list[str], owns: str, stretch_s: int, salts: int) -> DataFrame:
+    """The last interval that began before each row, by sorting both within key and stretch.
+
+    An interval stands in its own stretch, and in those after it up to the next interval's as
+    far as it reaches. Rows of one key and stretch are dealt out over ``salts`` tasks.
+    """
+    own = [c for c in intervals.columns if c not in keys]
+    names = [f"_key_{k}" for k in keys]
+    along = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY own_from)"
+    reach = f"least({_HIGH}, coalesce(lead(own_from) {along}, {_HIGH}))"
+    placed = intervals.selectExpr("*", f"floor({reach} / {stretch_s}) AS _last").selectExpr(
+        *[f"{k} AS _key_{k}" for k in keys], f"struct({', '.join(own)}) AS _own",
+        "own_from AS _at", "1 AS _kind",
+        f"explode(sequence(floor({_LOW} / {stretch_s}), greatest(_last, floor({_LOW} / {stretch_s})))) "
+        "AS _stretch").selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) AS _salt")
+    rows = facts.selectExpr(
+        *[f"{sql} AS _key_{k}" for k, sql in keys.items()],
+        f"struct({', '.join(f'`{c}`' for c in facts.columns)}) AS _row", "_second AS _at", "0 AS _kind",
+        f"floor(_second / {stretch_s}) AS _stretch",
+        f"pmod(xxhash64({', '.join(salt_on)}), {salts}) AS _salt")
+    # a time owns what is strictly after its interval's begin, so rows come before equal begins
+    before = Window.partitionBy(*names, "_salt", "_stretch").orderBy("_at", "_kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    found = rows.unionByName(placed, allowMissingColumns=True).withColumn(
+        "_found", F.last("_own", ignorenulls=True).over(before)).filter("_kind = 0")
+    flat = found.selectExpr("_row.*", *(f"_found.{c} AS {c}" for c in own))
+    kept = flat.selectExpr(*facts.columns, *(
+        f"CASE WHEN {owns} THEN {c} END AS {c}" for c in own))
+    return kept.filter("own_from IS NOT NULL") if how == "inner" else kept

@@ -99,7 +99,8 @@ def test_geodistance_against_geodesic(spark):
 
 
 @pytest.mark.parametrize("service_day", ["reference", "adjacent"])
-@pytest.mark.parametrize("options", [{}, {"max_rows": 0, "salts": 4}])
+@pytest.mark.parametrize("options", [{}, {"max_rows": 0, "salts": 4},
+                                     {"max_rows": 0, "salts": 1, "stretch_s": 700}])
 def test_asof_equals_brute_force(spark, service_day, options):
     rnd = random.Random(11)
     times = {(f"A{rnd.randint(1, 3)}", rnd.randint(0, 100_000)) for _ in range(150)}
@@ -202,3 +203,36 @@ def test_smoothing_equals_a_plain_loop(spark, alpha):
         if before is not None and 0.1 < metres / (now - before) < 25.0:
             speed = alpha * metres / (now - before) + (1 - alpha) * speed
         assert found == pytest.approx(speed, rel=1e-9)
+
+
+@pytest.mark.parametrize("build", [asof.nearest_intervals, asof.next_intervals])
+def test_merged_schedule_equals_joined(spark, build):
+    """At whole seconds, where rows and begins of intervals fall together."""
+    rnd = random.Random(23)
+    text = [(f"A{rnd.randint(1, 3)}", d, f"{rnd.randint(0, 25)}:{rnd.choice([0, 30]):02d}:00")
+            for d in (0, 1) for _ in range(60)]
+    probes = [(str(i), rnd.choice(["A1", "A2", "A9", None]), rnd.choice([0, 1]), 900 * rnd.randint(0, 200))
+              for i in range(800)] + [("n", "A1", 0, None)]
+    facts = spark.createDataFrame(probes, "codBus string, stop_id string, direction_id int, event_s long")
+    by = ["stop_id", "direction_id"]
+    for how in ("left", "inner"):
+        joined, merged = (asof.match_schedule(
+            facts, build(schedule(spark, text), by), by, second_of_day_sql("event_s"), how=how, **options)
+            for options in ({}, {"max_rows": 0, "salts": 3, "stretch_s": 1800}))
+        assert joined.columns == merged.columns
+        assert rows(joined) == rows(merged)
+
+
+def test_a_large_timetable_is_merged_in_rows_of_its_times(spark):
+    """5,000 stops, two directions: no interval is repeated for the buckets it touches."""
+    times = spark.range(5000).selectExpr("CAST(id AS string) AS stop_id").crossJoin(
+        spark.range(2).selectExpr("CAST(id AS int) AS direction_id")).selectExpr(
+        "*", "explode(sequence(18000, 79200, 1800)) AS service_s")
+    by = ["stop_id", "direction_id"]
+    facts = spark.createDataFrame([("1", "7", 0, 20_000), ("2", "4999", 1, 79_300), ("3", "5000", 1, 30_000)],
+                                  "codBus string, stop_id string, direction_id int, event_s long")
+    found = asof.match_schedule(facts, asof.nearest_intervals(times, by), by, "event_s", max_rows=1000, salts=1,
+                                stretch_s=86_400)
+    assert rows(found, "codBus", "scheduled_s") == [("1", 19800), ("2", 79200), ("3", None)]
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "bucket" not in text
