@@ -63,9 +63,11 @@ def score_enriched(enriched: DataFrame, model: PipelineModel | None) -> DataFram
 
 
 def track(enriched: DataFrame, *, speed: str = "instant", staged: bool = True,
-          **motion) -> DataFrame:
+          reset_on_direction: bool = False, **motion) -> DataFrame:
     """Speed, heuristic delay and stop advance of enriched pings, one per bus and second.
 
+    With ``reset_on_direction`` a bus that turns round does not arrive by it.
+
     The pings are read twice, for the segments and for their summaries. When ``staged``
     they are written once to the shared folder first.
     """
@@ -76,7 +78,7 @@ def track(enriched: DataFrame, *, speed: str = "instant", staged: bool = True,
         linked = ewma_speed(linked)
     elif speed != "instant":
         raise ValueError(f"unknown speed mode {speed!r}")
-    return advance(heuristic_delay(linked))
+    return advance(heuristic_delay(linked), reset_on_direction=reset_on_direction)
 
 
 def evaluate_arrivals(tracked: DataFrame, stops: DataFrame, schedule: DataFrame, *,
@@ -104,11 +106,14 @@ def vehicle_output(df: DataFrame) -> DataFrame:
 
 def vehicle_replay(enriched: DataFrame, stops: DataFrame, schedule: DataFrame, *,
                    segment_s: int | None = None, service_day: str = "reference",
-                   **motion) -> DataFrame:
-    """Output of the vehicle stream, computed from history with windows only."""
+                   strict: bool = False, **motion) -> DataFrame:
+    """Output of the vehicle stream, computed from history with windows only.
+
+    ``strict`` leaves the delay of an arrival without a scheduled time null.
+    """
     cut = {"segment_s": segment_s} if segment_s else {}
     tracked = track(enriched, **motion, **cut)
-    arrived = evaluate_arrivals(tracked, stops, schedule, service_day=service_day)
+    arrived = evaluate_arrivals(tracked, stops, schedule, strict=strict, service_day=service_day)
     predictions = {"predicted_delay_math": "final_math_error"}
     if "predicted_delay_ml" in enriched.columns:
         predictions["predicted_delay_ml"] = "final_ml_error"

@@ -185,3 +185,18 @@ def test_default_metric_is_haversine(spark):
     found = one(nearest_stop(ping, line(spark)), "distance_m")
     want = spark.sql(f"SELECT {HAVERSINE.distance('36.701D', '-4.45D', '36.7D', '-4.45D')}")
     assert found == pytest.approx(want.first()[0])
+
+
+def test_replay_options_reach_the_operators(spark):
+    """A bus that turns round, and an arrival at a stop without times."""
+    stops = line(spark).unionByName(line(spark, direction=1))
+    given = pings(spark, [("1", at("07:00:00"), lat(1), -4.45), ("1", at("07:01:00"), lat(3), -4.45),
+                          ("1", at("07:02:00"), lat(4), -4.45, "2")])
+    times = schedule(spark, [("A6", 0, "07:00:00")])
+    made = chains.enrich(given, stops, times)
+    for reset, passed in ((False, [None, 1, 3]), (True, [None, 1, None])):
+        tracked = chains.track(made, reset_on_direction=reset).orderBy("event_s")
+        assert [r["passed_sequence"] for r in tracked.collect()] == passed
+    for strict, delay in ((False, [0.0, 0.0, 0.0]), (True, [0.0, None, None])):
+        out = chains.vehicle_replay(made, stops, times, strict=strict).orderBy("last_update")
+        assert [r["actual_delay"] for r in out.collect()] == delay
