@@ -7,6 +7,10 @@ and intervals are merged: both are sorted by time within their key and stretch o
 row takes the last interval that began before it, with one row for each interval, and one more
 for each stretch that it reaches into.
 
+Buckets and stretches follow the mean length of the intervals, so that a row is compared with a
+few of them however dense the timetable is. The denser it is, the more groups there are and the
+less they need salt: the salted intervals stay near ``SALTED_ROWS``.
+
 Result column: ``scheduled_s``, seconds after the midnight of the row's own day.
 """
 
@@ -16,9 +20,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.times import same_day_seconds
 from ..settings import ASOF_BUCKET_S, BROADCAST_ROWS, DAY_S, SALTS, SCHEDULE_HORIZON_S
-from .joins import Dimension, join_dimension
+from .joins import Dimension, hold, join_dimension
 
-STRETCH_S = 3600        # of the day, in which the rows of a key are merged together
+STRETCH_S = 3600        # of the day at most, in which the rows of a key are merged together
+BUCKET_INTERVALS = 8    # mean number of a key's intervals in a bucket, where they are short
+STRETCH_INTERVALS = 256     # the same in a stretch
+SALTED_ROWS = 4_000_000     # salted copies of all intervals, unless one copy is more
 
 
 def _candidates(schedule: DataFrame, by: list[str], service_day: str) -> DataFrame:
@@ -96,21 +103,30 @@ def match_schedule(
     salt_on: list[str] | None = None,
     bucket_s: int = ASOF_BUCKET_S,
     max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-    stretch_s: int = STRETCH_S,
+    salts: int | None = None,
+    stretch_s: int | None = None,
 ) -> DataFrame:
     """Add ``scheduled_s`` of the owning interval, null when no time answers.
 
     Beyond ``max_rows`` bucketed intervals the rows are merged with them, or, on a stream, which
-    cannot be sorted, joined by a salted shuffle.
+    cannot be sorted, joined by a salted shuffle. Buckets are ``bucket_s`` wide or less.
     """
     if not isinstance(keys, dict):
         keys = {k: k for k in keys}
     salt_on = salt_on or ["codBus", "event_s"]
     facts = facts.selectExpr("*", f"CAST({second_of_day} AS double) AS _second")
     owns = "_second > own_from AND _second <= own_to AND _second < own_before"
-    bucketed = Dimension(_bucketed(intervals, bucket_s))
-    if bucketed.rows > max_rows and not facts.isStreaming:
+    intervals = hold(intervals)
+    count, owned = intervals.selectExpr("count(*)", f"coalesce(sum({_HIGH} - {_LOW}), 0D)").first()
+    mean_s = owned / max(count, 1)
+    bucket_s = _width(mean_s, BUCKET_INTERVALS, 1, bucket_s)
+    salts = salts or max(1, min(SALTS, SALTED_ROWS // max(count, 1)))
+    merged = count > max_rows and not facts.isStreaming
+    if not merged:
+        bucketed = Dimension(_bucketed(intervals, bucket_s))
+        merged = bucketed.rows > max_rows and not facts.isStreaming
+    if merged:
+        stretch_s = stretch_s or _width(mean_s, STRETCH_INTERVALS, 60, STRETCH_S)
         matched = _merge(facts, intervals, keys, how, salt_on, owns, stretch_s, salts)
     else:
         matched = join_dimension(
@@ -119,6 +135,11 @@ def match_schedule(
     return matched.drop("_second", "own_from", "own_to", "own_before")
 
 
+def _width(mean_s: float, intervals: int, least: int, most: int) -> int:
+    """Whole seconds that hold ``intervals`` of the mean length."""
+    return min(most, max(least, int(intervals * mean_s)))
+
+
 def _merge(facts: DataFrame, intervals: DataFrame, keys: dict[str, str], how: str,
            salt_on: list[str], owns: str, stretch_s: int, salts: int) -> DataFrame:
     """The last interval that began before each row, by sorting both within key and stretch.

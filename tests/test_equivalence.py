@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -236,3 +237,23 @@ def test_a_large_timetable_is_merged_in_rows_of_its_times(spark):
     assert rows(found, "codBus", "scheduled_s") == [("1", 19800), ("2", 79200), ("3", None)]
     text = found._jdf.queryExecution().optimizedPlan().toString()
     assert "bucket" not in text
+
+
+@pytest.mark.parametrize("options", [{}, {"max_rows": 1000}])
+def test_a_dense_timetable_is_compared_and_copied_a_few_times(spark, monkeypatch, options):
+    """A time every 2 s: narrow buckets when it is broadcast, few copies when it is merged."""
+    monkeypatch.setattr(asof, "SALTED_ROWS", 20_000, raising=False)
+    by = ["stop_id", "direction_id"]
+    times = spark.range(10_000).selectExpr("if(id % 2 = 0, 'A1', 'A2') AS stop_id", "0 AS direction_id",
+                                           "20000 + id - id % 2 AS service_s")
+    probes = [(str(i), f"A{1 + i % 3}", 0, 19_000 + 37 * i + i % 4 * 0.25) for i in range(320)]
+    facts = spark.createDataFrame(probes, "codBus string, stop_id string, direction_id int, event_s double")
+    found = asof.match_schedule(facts, asof.nearest_intervals(times, by), by, "event_s", **options)
+    want = [(bus, None if stop == "A3" else min(max(20_000, int((x - 1e-9 + 1) // 2 * 2)), 29_998))
+            for bus, stop, _, x in probes]
+    assert rows(found, "codBus", "scheduled_s") == sorted(want, key=repr)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    if options:
+        assert re.search(r"pmod\(xxhash64\([^)]*\), 2\)", text)
+    else:
+        assert "/ 900" not in text
