@@ -17,11 +17,11 @@ input of the bus, repeated pings included.
 
 from __future__ import annotations
 
-import heapq
+import math
 from collections import deque
-from itertools import repeat
+from operator import itemgetter
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.arrivals import mean_absolute_error
@@ -48,18 +48,18 @@ _ORDER = ["event_s", "lat", "lon", "direction_id"]
 def _follower(columns: list[str], default_speed: float, min_move_m: float, min_speed: float,
               age_s: int, idle_s: int | None, clock: str, ewma: bool) -> StatefulProcessor:
     """The processor of one bus. Its class is local, so that workers get it by value and
-    need no imports beyond numpy and pandas."""
+    need no imports of this package. It works on rows: a bus has too few of them in a batch for
+    a table of their own to pay."""
 
     def metres(lat_a, lon_a, lat_b, lon_b):
-        import numpy as np
         flattening = 1 / 298.257223563
         ecc2 = flattening * (2 - flattening)
-        mid = np.radians((lat_a + lat_b) / 2)
-        w = 1 - ecc2 * np.sin(mid) ** 2
-        normal = 6378137.0 / np.sqrt(w)
-        north = normal * (1 - ecc2) / w * np.radians(lat_b - lat_a)
-        east = normal * np.cos(mid) * np.radians((lon_b - lon_a + 180.0) % 360.0 - 180.0)
-        return float(np.sqrt(north * north + east * east))
+        mid = math.radians((lat_a + lat_b) / 2)
+        w = 1 - ecc2 * math.sin(mid) ** 2
+        normal = 6378137.0 / math.sqrt(w)
+        north = normal * (1 - ecc2) / w * math.radians(lat_b - lat_a)
+        east = normal * math.cos(mid) * math.radians((lon_b - lon_a + 180.0) % 360.0 - 180.0)
+        return math.sqrt(north * north + east * east)
 
     def next_speed(distance, seconds, speed):
         if ewma:
@@ -67,7 +67,24 @@ def _follower(columns: list[str], default_speed: float, min_move_m: float, min_s
             return 0.2 * step + 0.8 * speed if 0.1 < step < 25.0 else speed
         return distance / seconds if distance > min_move_m else speed
 
-    line = ["route_id"] if "route_id" in columns else []
+    Followed = Row(*columns, *(f.name for f in _ADDED))
+    has_route = "route_id" in columns
+    used = [*_ORDER, "distance_m", "scheduled_epoch_s", "stop_sequence", "predicted_delay_ml",
+            *(["route_id"] if has_route else [])]
+
+    def rank(found):
+        """Nulls and NaN come after every number."""
+        return [(True, 0) if v is None or v != v else (False, v) for v in found[0][:4]]
+
+    def facts(rows):
+        """What is used of each row, and the row's own columns."""
+        of = whole = None
+        for row in rows:
+            if of is None:
+                names = row.__fields__
+                of = itemgetter(*map(names.index, used))
+                whole = itemgetter(*map(names.index, columns))
+            yield of(row), whole(row)
 
     class Follower(StatefulProcessor):
         def init(self, handle):
@@ -77,31 +94,18 @@ def _follower(columns: list[str], default_speed: float, min_move_m: float, min_s
             self.recent = handle.getListState("recent", _RECENT, life)
 
         def handleInputRows(self, key, rows, timerValues):
-            import pandas as pd
-            if self.last.exists():
-                lat, lon, ts, speed, seq, route, timer = self.last.get()
+            last = self.last.get()
+            if last is not None:
+                lat, lon, ts, speed, seq, route, timer = last
                 recent = deque(self.recent.get())
             else:
                 lat = lon = ts = route = timer = None
                 speed, seq, recent = default_speed, -1, deque()
-            known, runs = ts, []
-            for chunk in rows:      # each chunk is sorted once, the sorted runs are merged
-                fresh = chunk if ts is None else chunk[chunk["event_s"] > ts]
-                if len(fresh):
-                    runs.append(fresh.sort_values(_ORDER).drop_duplicates("event_s"))
-            merged = heapq.merge(*(
-                zip(*(run[c].tolist() for c in _ORDER), repeat(k), range(len(run)))
-                for k, run in enumerate(runs)))
-            facts = [tuple(run[c].tolist() for c in (
-                "distance_m", "scheduled_epoch_s", "stop_sequence", "predicted_delay_ml", *line))
-                for run in runs]
-            out = [{"at": [], "speed_mps": [], "seconds_to_scheduled": [], "predicted_delay_math": [],
-                    "passed_sequence": [], "recent_math": [], "recent_ml": []} for _ in runs]
-            for now, here_lat, here_lon, _, k, i in merged:
-                now = int(now)
+            known = ts
+            fresh = (f for f in facts(rows) if known is None or f[0][0] > known)
+            for (now, here_lat, here_lon, _, distance, due, stop, ml, *on), own in sorted(fresh, key=rank):
                 if ts is not None and now <= ts:
                     continue
-                distance, due, stop, ml, *on = (values[i] for values in facts[k])
                 on = on[0] if on else None
                 if on != route:         # sequences of two routes do not compare
                     seq, route = -1, on
@@ -112,30 +116,20 @@ def _follower(columns: list[str], default_speed: float, min_move_m: float, min_s
                 if ts is not None:
                     speed = next_speed(metres(lat, lon, here_lat, here_lon), now - ts, speed)
                 eta = distance / max(speed, min_speed)
-                wait = eta if pd.isna(due) else due - now
+                wait = eta if due is None else float(due - now)
                 while recent and now - recent[0][0] >= age_s:
                     recent.popleft()
-                stop = int(stop)
                 arrived = stop > seq >= 0
-                mine = out[k]
-                mine["at"].append(i)
-                mine["passed_sequence"].append(seq if arrived else None)
-                mine["recent_math"].append([b[1] for b in recent] if arrived else None)
-                mine["recent_ml"].append([b[2] for b in recent] if arrived else None)
-                mine["speed_mps"].append(float(speed))
-                mine["seconds_to_scheduled"].append(float(wait))
-                mine["predicted_delay_math"].append(float(eta - wait))
+                yield Followed(*own, speed, wait, eta - wait,
+                               seq if arrived else None,
+                               [b[1] for b in recent] if arrived else None,
+                               [b[2] for b in recent] if arrived else None)
                 if arrived:
                     recent.clear()
-                recent.append((now, float(eta - wait), float("nan") if pd.isna(ml) else float(ml)))
-                lat, lon, ts, seq = float(here_lat), float(here_lon), now, stop
+                recent.append((now, eta - wait, float("nan") if ml is None else ml))
+                lat, lon, ts, seq = here_lat, here_lon, now, stop
             if ts is not None and (ts != known or clock == "processing"):
-                self._keep((lat, lon, ts, float(speed), seq, route), timer, recent)
-            for run, mine in zip(runs, out):
-                if mine["at"]:
-                    kept = run[columns].iloc[mine.pop("at")].reset_index(drop=True)
-                    passed = pd.Series(mine.pop("passed_sequence"), dtype="Int32")
-                    yield kept.assign(passed_sequence=passed, **mine)
+                self._keep((lat, lon, ts, speed, seq, route), timer, recent)
 
         def _keep(self, last, timer, recent):
             ts = last[2]
@@ -183,7 +177,7 @@ def follow_vehicles(
     follower = _follower([f.name for f in kept], float(default_speed), float(min_move_m),
                          MIN_SPEED_MPS, PREDICTION_AGE_S, idle_s, clock, speed == "ewma")
     mode = "none" if not idle_s else "eventTime" if clock == "event" else "processingTime"
-    return enriched.groupBy("codBus").transformWithStateInPandas(
+    return enriched.groupBy("codBus").transformWithState(
         follower, T.StructType(kept + _ADDED), "update", mode)
 
 

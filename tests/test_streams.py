@@ -175,3 +175,46 @@ def test_snapshot_stamp(spark, tmp_path):
     path = write_table(made.drop("snapshot_time"), f"{tmp_path}/t")
     read = stamp_snapshot(spark.read.parquet(path), "ingest_time", from_file=True)
     assert read.filter("ingest_time IS NULL").count() == 0
+
+
+def test_the_follower_works_on_plain_rows():
+    """One bus without Spark: no table is made per bus, and rows go in any order."""
+    from pyspark.sql import Row
+    from stopwise.streaming.vehicle import _follower
+
+    class Kept:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self):
+            return self.value
+
+        def exists(self):
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+        put = update
+
+    class Handle:
+        def getValueState(self, *_):
+            return Kept(None)
+
+        def getListState(self, *_):
+            return Kept([])
+
+    columns = ["codBus", "event_s", "lat", "lon", "direction_id", "distance_m", "scheduled_epoch_s",
+               "stop_sequence", "predicted_delay_ml"]
+    row = Row(*columns)
+    bus = _follower(columns, 5.5, 5.0, 1.0, 600, None, "event", False)
+    bus.init(Handle())
+    first = [row("b", 130, 36.703, -4.45, 0, 11.0, 150, 2, 7.0), row("b", 100, 36.7, -4.45, 0, 55.0, None, 1, None),
+             row("b", 100, 36.9, -4.45, 0, 55.0, None, 5, None)]
+    out = list(bus.handleInputRows(("b",), iter(first), None))
+    assert [(r.event_s, r.passed_sequence) for r in out] == [(100, None), (130, 1)]
+    assert (out[0].speed_mps, out[0].seconds_to_scheduled, out[0].predicted_delay_math) == (5.5, 10.0, 0.0)
+    assert out[1].speed_mps == pytest.approx(11.1, abs=0.05) and out[1].seconds_to_scheduled == 20.0
+    assert out[1].recent_math == [0.0]
+    later = list(bus.handleInputRows(("b",), iter([first[0], row("b", 160, 36.706, -4.45, 0, 0.0, 160, 3, 7.0)]), None))
+    assert [(r.event_s, r.passed_sequence, r.recent_ml) for r in later] == [(160, 2, [7.0])]
