@@ -33,6 +33,7 @@ DATE = "20240101"
 FOREST_ROWS = 1000
 
 _MODELS: dict[tuple[str, str], str] = {}      # saved models of this application, by folder
+_SPLITS: dict[tuple[str, str], DataFrame] = {}      # its labelled rows, written once by folder
 
 
 def query(fn: Query) -> Query:
@@ -558,14 +559,19 @@ def split_counts(spark, sf):
 
 
 def _clean_split(spark, sf):
-    return training.hash_split(training.clean_training(_training(spark, sf)), _row_key())
+    """Labelled rows of a data folder with their side of the split, written once."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SPLITS:
+        _SPLITS[key] = stage(training.hash_split(
+            training.clean_training(_training(spark, sf)), _row_key()), "labelled")
+    return _SPLITS[key]
 
 
 def _model(spark, sf):
     """The delay model of a data folder, fitted once, saved and loaded from there on."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        rows = stage(_clean_split(spark, sf).filter("is_train"), "labelled")
+        rows = _clean_split(spark, sf).filter("is_train")
         part = F.pmod(F.xxhash64(_row_key()), F.lit(1 << 20)) / float(1 << 20)
         sample = rows.filter(part < FOREST_ROWS / max(rows.count(), 1)).coalesce(8)
         _MODELS[key] = save_model(model.fit_delay_model(sample), new_folder(spark, "model"))

@@ -74,3 +74,22 @@ def test_a_batch_that_runs_again_is_split_alike(spark):
             marked = marked.persist()
             assert sorted(r["state"] for r in marked.collect()) == want
             split.remember(marked.filter("state = 'accepted'").drop("state"), told.get, batch_id)
+
+
+def test_labelled_rows_are_made_once_for_all_queries_of_the_model(spark, monkeypatch):
+    """Range, mean, hold-out and fit read the same rows."""
+    from stopwise.plans import catalog
+    made = []
+
+    def training(spark, folder):
+        made.append(folder)
+        return spark.sql("""SELECT timestamp '2024-01-01 06:00:00' + make_interval(0,0,0,0,0,0,id) AS timestamp,
+            36.7D AS lat, -4.45D + id / 1000D AS lon, 'A1' AS stop_id, 1 AS stop_sequence, 10D AS distance_m,
+            timestamp '2024-01-01 06:05:00' AS scheduled_time, timestamp '2024-01-01 06:04:00' AS actual_time,
+            300 - id AS seconds_to_scheduled, CAST(id AS bigint) AS true_delay_seconds FROM range(50)""")
+
+    monkeypatch.setattr(catalog, "_training", training)
+    rows = catalog._clean_split(spark, "made-up")
+    assert rows.count() == 50 and 0 < rows.filter("is_train").count() < 50
+    assert catalog._clean_split(spark, "made-up").count() == 50
+    assert made == ["made-up"]
