@@ -2,7 +2,9 @@
 
 Each distinct scheduled time of a stop owns the interval of seconds it answers for.
 Intervals of one key do not overlap. While they are few enough to broadcast, a join on (key,
-time bucket) with the interval as residual gives at most one match per row. Beyond that rows
+time bucket) with the interval as residual gives at most one match per row. Up to
+``PACKED_INTERVALS`` times as many are broadcast packed, a row per key and bucket with its
+intervals as short arrays of integers, in which a row looks its own up. Beyond that rows
 and intervals are merged: both are sorted by time within their key and stretch of the day, and a
 row takes the last interval that began before it, with one row for each interval, and one more
 for each stretch that it reaches into.
@@ -22,6 +24,8 @@ from ..functions.times import same_day_seconds
 from ..settings import ASOF_BUCKET_S, BROADCAST_ROWS, DAY_S, SALTS, SCHEDULE_HORIZON_S
 from .joins import Dimension, hold, join_dimension
 
+PACKED_INTERVALS = 8    # packed intervals that take the room of one broadcast row
+PACKED_BUCKET = 32      # mean number of them in a packed row
 STRETCH_S = 3600        # of the day at most, in which the rows of a key are merged together
 BUCKET_INTERVALS = 8    # mean number of a key's intervals in a bucket, where they are short
 STRETCH_INTERVALS = 256     # the same in a stretch
@@ -56,6 +60,25 @@ def _bucketed(intervals: DataFrame, bucket_s: int) -> DataFrame:
         "*", f"explode(sequence(floor({_LOW} / {bucket_s}), floor({_HIGH} / {bucket_s}))) AS bucket")
 
 
+def _packed(intervals: DataFrame, keys: dict[str, str], value: str, bucket_s: int) -> DataFrame:
+    """One row per key and bucket: its intervals in time order, ends in half seconds."""
+    ends = ", ".join(f"CAST(2 * {c} AS int) AS {c}" for c in ("own_to", "own_from", "own_before"))
+    own = F.array_sort(F.collect_list(F.expr(f"struct({ends}, CAST({value} AS int) AS value)")))
+    return (_bucketed(intervals, bucket_s).groupBy(*keys, "bucket").agg(own.alias("_own"))
+            .selectExpr(*keys, "bucket", "_own.own_to AS _to", "_own.own_from AS _from",
+                        "_own.own_before AS _until", "_own.value AS _value"))
+
+
+def _unpack(found: DataFrame, kept: list[str], value: str, kind: str, how: str) -> DataFrame:
+    """Of the bucket's intervals the first that ends at or after the row, if it owns it."""
+    twice = "2D * _second"
+    placed = found.selectExpr(*kept, "_to", "_from", "_until", "_value",
+                              f"size(filter(_to, t -> t < {twice})) AS _i")
+    owned = f"{twice} > get(_from, _i) AND {twice} <= get(_to, _i) AND {twice} < get(_until, _i)"
+    out = placed.selectExpr(*kept, f"CASE WHEN {owned} THEN CAST(get(_value, _i) AS {kind}) END AS {value}")
+    return out.filter(f"{value} IS NOT NULL") if how == "inner" else out
+
+
 def nearest_intervals(schedule: DataFrame, by: list[str], *,
                       horizon_s: int | None = SCHEDULE_HORIZON_S,
                       service_day: str = "reference") -> DataFrame:
@@ -108,8 +131,9 @@ def match_schedule(
 ) -> DataFrame:
     """Add ``scheduled_s`` of the owning interval, null when no time answers.
 
-    Beyond ``max_rows`` bucketed intervals the rows are merged with them, or, on a stream, which
-    cannot be sorted, joined by a salted shuffle. Buckets are ``bucket_s`` wide or less.
+    Beyond ``max_rows`` bucketed intervals they are packed, and beyond ``PACKED_INTERVALS`` times
+    as many the rows are merged with them, or, on a stream, which cannot be sorted, joined by a
+    salted shuffle. Buckets are ``bucket_s`` wide or less.
     """
     if not isinstance(keys, dict):
         keys = {k: k for k in keys}
@@ -117,14 +141,28 @@ def match_schedule(
     facts = facts.selectExpr("*", f"CAST({second_of_day} AS double) AS _second")
     owns = "_second > own_from AND _second <= own_to AND _second < own_before"
     intervals = hold(intervals)
-    count, owned = intervals.selectExpr("count(*)", f"coalesce(sum({_HIGH} - {_LOW}), 0D)").first()
+    value = next(c for c in intervals.columns if c not in (*keys, "own_from", "own_to", "own_before"))
+    whole = " AND ".join(f"2 * {c} = floor(2 * {c}) AND abs({c}) < 1e9"
+                         for c in ("own_from", "own_to", "own_before", value))
+    count, owned, packs = intervals.selectExpr(
+        "count(*)", f"coalesce(sum({_HIGH} - {_LOW}), 0D)", f"coalesce(every({whole}), true)").first()
     mean_s = owned / max(count, 1)
+    wide_s = _width(mean_s, PACKED_BUCKET, 1, bucket_s)
     bucket_s = _width(mean_s, BUCKET_INTERVALS, 1, bucket_s)
     salts = salts or max(1, min(SALTS, SALTED_ROWS // max(count, 1)))
-    merged = count > max_rows and not facts.isStreaming
-    if not merged:
+    bucketed = None
+    if count <= max_rows or facts.isStreaming and count > PACKED_INTERVALS * max_rows:
+        bucketed = Dimension(_bucketed(intervals, bucket_s))
+    if (bucketed is None or bucketed.rows > max_rows) and packs and count <= PACKED_INTERVALS * max_rows:
+        packed = Dimension(_packed(intervals, keys, value, wide_s))
+        if packed.rows <= max_rows:
+            kind = intervals.schema[value].dataType.simpleString()
+            found = join_dimension(facts, packed, {**keys, "bucket": f"floor(_second / {wide_s})"}, how,
+                                   salt_on=salt_on, max_rows=max_rows)
+            return _unpack(found, facts.columns, value, kind, how).drop("_second")
+    merged = (bucketed is None or bucketed.rows > max_rows) and not facts.isStreaming
+    if bucketed is None and not merged:
         bucketed = Dimension(_bucketed(intervals, bucket_s))
-        merged = bucketed.rows > max_rows and not facts.isStreaming
     if merged:
         stretch_s = stretch_s or _width(mean_s, STRETCH_INTERVALS, 60, STRETCH_S)
         matched = _merge(facts, intervals, keys, how, salt_on, owns, stretch_s, salts)

@@ -257,3 +257,25 @@ def test_a_dense_timetable_is_compared_and_copied_a_few_times(spark, monkeypatch
         assert re.search(r"pmod\(xxhash64\([^)]*\), 2\)", text)
     else:
         assert "/ 900" not in text
+
+
+@pytest.mark.parametrize("build", [asof.nearest_intervals, asof.next_intervals])
+@pytest.mark.parametrize("service_day", ["reference", "adjacent"])
+def test_packed_schedule_equals_merged(spark, build, service_day):
+    """Up to eight times the broadcast bound a timetable is packed, and rows are not sorted for it."""
+    rnd = random.Random(31)
+    text = [(f"A{rnd.randint(1, 3)}", d, f"{rnd.randint(4, 26)}:{rnd.randint(0, 59):02d}:{rnd.randint(0, 59):02d}")
+            for d in (0, 1) for _ in range(600)] + [("A4", 0, "12:00:00")]
+    probes = [(str(i), rnd.choice(["A1", "A2", "A4", "A9", None]), rnd.choice([0, 1]),
+               rnd.randint(0, 3 * 86400) + rnd.choice([0.0, 0.5, 0.26])) for i in range(2000)]
+    probes += [("e", "A4", 0, 43200.0 + d) for d in (-7200, -7199.9, 0, 7199.9, 7200)] + [("n", "A1", 0, None)]
+    facts = spark.createDataFrame(probes, "codBus string, stop_id string, direction_id int, event_s double")
+    by = ["stop_id", "direction_id"]
+    for how in ("left", "inner"):
+        packed, merged = (asof.match_schedule(
+            facts, build(schedule(spark, text), by, service_day=service_day), by, second_of_day_sql("event_s"),
+            how=how, **options) for options in ({"max_rows": 900}, {"max_rows": 0, "salts": 1}))
+        assert packed.schema == merged.schema
+        assert rows(packed) == rows(merged)
+        plan = packed._jdf.queryExecution().optimizedPlan().toString()
+        assert "_value" in plan and "xxhash64" not in plan
