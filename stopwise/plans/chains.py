@@ -109,11 +109,14 @@ def vehicle_replay(enriched: DataFrame, stops: DataFrame, schedule: DataFrame, *
                    strict: bool = False, **motion) -> DataFrame:
     """Output of the vehicle stream, computed from history with windows only.
 
-    ``strict`` leaves the delay of an arrival without a scheduled time null.
+    ``strict`` leaves the delay of an arrival without a scheduled time null. The errors read the
+    arrivals three times, so these are written once too when ``staged``.
     """
     cut = {"segment_s": segment_s} if segment_s else {}
     tracked = track(enriched, **motion, **cut)
     arrived = evaluate_arrivals(tracked, stops, schedule, strict=strict, service_day=service_day)
+    if motion.get("staged", True):
+        arrived = stage(arrived.drop("before"), "arrived")
     predictions = {"predicted_delay_math": "final_math_error"}
     if "predicted_delay_ml" in enriched.columns:
         predictions["predicted_delay_ml"] = "final_ml_error"
