@@ -12,10 +12,18 @@ from ..settings import DAY_S
 
 def service_seconds(text: str) -> Column:
     """``H:M:S`` to seconds since service midnight; the hour may pass 23. Malformed gives null."""
-    return F.expr(f"""get(transform(
-        array(transform(split(trim({text}), ':'), p -> try_cast(p AS int))),
-        t -> CASE WHEN size(t) = 3 AND t[0] >= 0 AND t[1] BETWEEN 0 AND 59
-                  AND t[2] BETWEEN 0 AND 59 THEN t[0] * 3600 + t[1] * 60 + t[2] END), 0)""")
+    t = f"trim({text})"
+    h, m, s = (f"try_cast({part} AS int)" for part in (
+        f"substring_index({t}, ':', 1)", f"substring_index(substring_index({t}, ':', 2), ':', -1)",
+        f"substring_index({t}, ':', -1)"))
+    return F.expr(f"""CASE WHEN length({t}) - length(replace({t}, ':', '')) = 2 AND {h} >= 0
+        AND {m} BETWEEN 0 AND 59 AND {s} BETWEEN 0 AND 59 THEN {h} * 3600 + {m} * 60 + {s} END""")
+
+
+def two_digits(number: str) -> str:
+    """SQL of a whole number as text of two digits or more, as ``%02d`` writes it."""
+    return (f"CASE WHEN {number} BETWEEN 0 AND 9 THEN concat('0', CAST({number} AS string)) "
+            f"ELSE coalesce(CAST({number} AS string), 'null') END")
 
 
 def same_day_seconds(service_s: str) -> Column:
@@ -26,8 +34,9 @@ def same_day_seconds(service_s: str) -> Column:
 def clock_text(seconds: str) -> Column:
     """Seconds since some midnight as ``HH:MM:SS`` on a 24 hour clock."""
     s = f"pmod(CAST({seconds} AS int), {DAY_S})"
-    return F.expr(f"""CASE WHEN {seconds} IS NOT NULL THEN format_string('%02d:%02d:%02d',
-        {s} DIV 3600, {s} DIV 60 % 60, {s} % 60) END""")
+    parts = (f"{s} DIV 3600", f"{s} DIV 60 % 60", f"{s} % 60")
+    return F.expr(f"""CASE WHEN {seconds} IS NOT NULL
+        THEN concat_ws(':', {', '.join(two_digits(p) for p in parts)}) END""")
 
 
 def parse_feed_time(text: str) -> Column:

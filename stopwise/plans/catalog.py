@@ -62,13 +62,16 @@ _DEGREES = {c: 6 for c in ("stop_lat", "stop_lon", "next_stop_lat", "next_stop_l
                            "next_lat", "next_lon")}
 
 
+_TEXTS = ("arrival_time", "trip_headsign")      # of a schedule; no lookup made from it reads them
+
+
 def _schedule(spark: SparkSession, sf: str) -> DataFrame:
     return tt.schedule_master(fixtures.timetable(spark, sf), LINE)
 
 
 def _line(spark: SparkSession, sf: str) -> DataFrame:
     """The line's schedule, written once for the queries that take several tables from it."""
-    return stage(_schedule(spark, sf), "schedule")
+    return stage(_schedule(spark, sf).drop(*_TEXTS), "schedule")
 
 
 def _single(spark: SparkSession, sf: str) -> DataFrame:
@@ -464,7 +467,7 @@ def board(spark, sf):
 
 def _network(spark: SparkSession, sf: str) -> DataFrame:
     """The schedule of all lines at once, written once."""
-    return stage(tt.network_schedule(fixtures.timetable(spark, sf)), "network")
+    return stage(tt.network_schedule(fixtures.timetable(spark, sf)).drop(*_TEXTS), "network")
 
 
 def _network_pings(spark: SparkSession, sf: str) -> DataFrame:

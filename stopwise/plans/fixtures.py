@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.times import two_digits
 from ..operators.clean import clean_pings
 from ..operators.sequences import number_within_key
 from ..session import pin_time_zone
@@ -80,18 +81,20 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stop_times(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per trip and stop. Aggregated before the join so that no trip is hot."""
-    visits = (table(spark, folder, "lineitem")
-              .selectExpr("l_orderkey AS key", "l_partkey % 25 AS stop",
+    """One row per trip and stop. Visits are dealt out by trip once: they are grouped, get their
+    start and meet their trip in a schedule as they lie."""
+    visits = (table(spark, folder, "lineitem").filter("l_orderkey IS NOT NULL")
+              .selectExpr("CAST(l_orderkey AS string) AS trip_id", "l_partkey % 25 AS stop",
                           "l_suppkey % 10 AS wait_s")
-              .groupBy("key", "stop").agg(F.min("wait_s").alias("wait_s")))
-    s = "(start_s + stop * 45 + wait_s)"
-    timed = visits.join(_order_trips(spark, folder).select("key", "start_s"), "key")
+              .repartition("trip_id")
+              .groupBy("trip_id", "stop").agg(F.min("wait_s").alias("wait_s")))
+    starts = _order_trips(spark, folder).selectExpr("CAST(key AS string) AS trip_id", "start_s")
+    timed = visits.join(starts, "trip_id").selectExpr(
+        "trip_id", "stop", "start_s + stop * 45 + wait_s AS s")
+    clock = ", ".join(two_digits(p) for p in ("s DIV 3600", "s DIV 60 % 60", "s % 60"))
     return timed.selectExpr(
-        "CAST(key AS string) AS trip_id", "CAST(stop AS string) AS stop_id",
-        "CAST(stop + 1 AS int) AS stop_sequence",
-        f"format_string('%02d:%02d:%02d', {s} DIV 3600, {s} DIV 60 % 60, {s} % 60) "
-        "AS arrival_time")
+        "trip_id", "CAST(stop AS string) AS stop_id", "CAST(stop + 1 AS int) AS stop_sequence",
+        f"concat_ws(':', {clock}) AS arrival_time")
 
 
 def calendar_dates(spark: SparkSession, folder: str) -> DataFrame:

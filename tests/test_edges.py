@@ -200,3 +200,18 @@ def test_replay_options_reach_the_operators(spark):
     for strict, delay in ((False, [0.0, 0.0, 0.0]), (True, [0.0, None, None])):
         out = chains.vehicle_replay(made, stops, times, strict=strict).orderBy("last_update")
         assert [r["actual_delay"] for r in out.collect()] == delay
+
+
+def test_two_digits_as_printf(spark):
+    from stopwise.functions.times import two_digits
+    df = spark.sql("SELECT explode(array(0L, 7, 10, 99, 100, -3, -12, NULL)) AS n")
+    got = df.select(F.expr(two_digits("n")), F.expr("format_string('%02d', n)")).collect()
+    assert [a for a, _ in got] == [b for _, b in got]
+
+
+def test_service_seconds_of_odd_texts(spark):
+    from stopwise.functions.times import service_seconds
+    known = {" 6:05:00 ": 21900, "+6:05:00": 21900, "6: 5:00": 21900, "6:05": None, "6:05:00:": None, "::": None,
+             "": None, "6:05:": None, "6:60:00": None, "-1:00:00": None, "25:00:01": 90001, None: None}
+    df = spark.createDataFrame([(k,) for k in known], "t string").select("t", service_seconds("t").alias("s"))
+    assert {r.t: r.s for r in df.collect()} == known

@@ -85,3 +85,14 @@ def test_replay_stages_once_and_reads_narrow(spark):
     made, stops, schedule = catalog._enriched(spark, SF)
     text = plan(chains.track(made).select("codBus", "event_s", "speed_mps"))
     assert "enriched-" in text and "stop_name" not in text.split("ReadSchema")[1]
+
+
+def test_replay_reads_its_arrivals_from_one_written_table(spark):
+    text = plan(chains.vehicle_replay(*catalog._enriched(spark, SF)))
+    assert "arrived-" in text and "enriched-" not in text
+
+
+def test_stop_times_are_dealt_out_by_trip_once(spark):
+    text = plan(fixtures.stop_times(spark, SF))
+    keys = [line for line in text.splitlines() if "hashpartitioning(" in line]
+    assert keys and all("hashpartitioning(trip_id" in k for k in keys)
