@@ -71,11 +71,12 @@ def network_schedule(timetable: Timetable, date: str | None = None, *,
 def _schedule(timetable: Timetable, trips: DataFrame, route: list[str], date: str | None,
               keep_stopless: bool) -> DataFrame:
     """Trips and stop times both grow with the timetable and meet on trip_id, which a
-    trip repeats once per stop. Stops join as a measured dimension."""
+    trip repeats once per stop. A task looks its stop times up among its trips, of which it
+    has one row each, instead of sorting both. Stops join as a measured dimension."""
     if date is not None and timetable.calendar_dates is not None:
         trips = active_trips(trips, timetable.calendar_dates, date)
     times = timetable.stop_times.join(
-        trips.select("trip_id", *route, "direction_id", "trip_headsign"), "trip_id"
+        trips.select("trip_id", *route, "direction_id", "trip_headsign").hint("shuffle_hash"), "trip_id"
     ).withColumn("service_s", service_seconds("arrival_time"))
     return join_dimension(times, timetable.stops, ["stop_id"],
                           "left" if keep_stopless else "inner", salt_on=["trip_id"])

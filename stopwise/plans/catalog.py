@@ -99,8 +99,8 @@ def _arrived(spark: SparkSession, sf: str) -> DataFrame:
     return chains.evaluate_arrivals(chains.track(enriched), stops, schedule)
 
 
-def _training(spark: SparkSession, sf: str) -> DataFrame:
-    schedule = _line(spark, sf)
+def _training(spark: SparkSession, sf: str, schedule: DataFrame | None = None) -> DataFrame:
+    schedule = schedule if schedule is not None else _line(spark, sf)
     return chains.training_set(_matched(spark, sf, schedule), schedule)
 
 
@@ -561,20 +561,23 @@ def split_counts(spark, sf):
                                      F.sum("true_delay_seconds").alias("sum_delay")))
 
 
-def _clean_split(spark, sf):
-    """Labelled rows of a data folder with their side of the split, written once."""
+def _clean_split(spark, sf, schedule=None):
+    """Labelled rows of a data folder with their side of the split, written once.
+
+    ``schedule`` is the line's, of a query that has written it already.
+    """
     key = (spark.sparkContext.applicationId, sf)
     if key not in _SPLITS:
         _SPLITS[key] = stage(training.hash_split(
-            training.clean_training(_training(spark, sf)), _row_key()), "labelled")
+            training.clean_training(_training(spark, sf, schedule)), _row_key()), "labelled")
     return _SPLITS[key]
 
 
-def _model(spark, sf):
+def _model(spark, sf, schedule=None):
     """The delay model of a data folder, fitted once, saved and loaded from there on."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        rows = _clean_split(spark, sf).filter("is_train")
+        rows = _clean_split(spark, sf, schedule).filter("is_train")
         part = F.pmod(F.xxhash64(_row_key()), F.lit(1 << 20)) / float(1 << 20)
         sample = rows.filter(part < FOREST_ROWS / max(rows.count(), 1)).coalesce(8)
         _MODELS[key] = save_model(model.fit_delay_model(sample), new_folder(spark, "model"))
@@ -657,13 +660,17 @@ def _run_feed(spark, sf, build, fmt="csv", keep=None, **options) -> DataFrame:
 
     With ``keep``, which makes a kept table and what goes into it from a folder and the
     stream, there is no history and the table is read.
+
+    Both parts are taken from pings that are written once, and the second run goes on with the
+    stream of the first, whose lookups are held.
     """
     feed, out = new_folder(spark, "feed"), new_folder(spark, "sink")
-    raw = fixtures.gps_raw(spark, sf).select(*FEED_HEADER)     # lon before lat, as the feed
-    early, table = F.col("last_update") < EARLY, None
+    raw = stage(fixtures.gps_raw(spark, sf).select(*FEED_HEADER), "raw")   # lon before lat, as the feed
+    early, table, made = F.col("last_update") < EARLY, None, None
     for part in (early, ~early):
         raw.filter(part).write.mode("append").format(fmt).option("header", True).save(feed)
-        made = build(read_ping_stream(spark, feed, fmt))
+        if made is None:
+            made = build(read_ping_stream(spark, feed, fmt))
         if keep:
             table, rows = keep(out, made)
             options["keep"] = [(table, rows)]
@@ -716,7 +723,7 @@ def stream_enrich(spark, sf):
 @query
 def stream_score(spark, sf):
     schedule = _line(spark, sf)
-    stops, fitted = tt.route_geometry(schedule), _model(spark, sf)
+    stops, fitted = tt.route_geometry(schedule), _model(spark, sf, schedule)
     out = _run_feed(spark, sf, lambda raw: chains.score_enriched(
         chains.enrich(clean_stream(raw, LINE), stops, schedule), fitted))
     return out.select("codBus", "timestamp", "stop_sequence", "predicted_delay_ml")
