@@ -171,3 +171,34 @@ def test_pipeline_gives_the_order_of_the_mix(spark, tmp_path):
     last = corpus_pipeline.encode(spark, docs, str(tmp_path))
     assert last.columns[-2:] == ["slot", "place"]
     assert [r["doc_id"] for r in last.orderBy("slot", "place").collect()] == got
+
+
+@pytest.mark.parametrize("gram", [18, 19, 20])
+def test_contexts_that_share_a_window_are_sorted(gram):
+    """None of them is left out of the suffix sort, and most others are."""
+    rng = random.Random(gram)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(300))
+    texts = []
+    for _ in range(60):
+        a = rng.randrange(240)
+        cut = passage[a:a + rng.randrange(20, 110)]
+        texts.append("".join(rng.choice("xyz") for _ in range(60)).encode() + cut.encode()
+                     + "".join(rng.choice("uvw") for _ in range(60)).encode())
+    h, _, low, high = suffix_dedup.anchors(texts, 50, gram)
+    joined = b"".join(texts)
+    rows = sorted({(int(a), joined[x:y + 50]) for a, x, y in zip(h.view(np.int64), low, high)})
+    contexts = [c for _, c in rows]
+    marked = suffix_dedup._may_share(contexts, np.array([a for a, _ in rows]), 50, gram)
+    windows = [{c[i:i + 50] for i in range(len(c) - 49)} for c in contexts]
+    seen = Counter(w for own in windows for w in own)
+    shares = np.array([any(seen[w] > 1 for w in own) for own in windows])
+    assert shares.sum() > 20 and marked[shares].all()
+    assert (~marked).sum() > 20
+
+
+def test_anchors_do_not_depend_on_blocks(monkeypatch):
+    texts = [prose(random.Random(k), 300).encode() for k in range(6)]
+    whole = suffix_dedup.anchors(texts)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_PLACES", 256)
+    for a, b in zip(whole, suffix_dedup.anchors(texts)):
+        assert a.tolist() == b.tolist()
