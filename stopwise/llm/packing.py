@@ -23,11 +23,13 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.taskcontext import TaskContext
 
@@ -39,20 +41,20 @@ END_ID = 1
 PORTION_BYTES = 4_000_000    # text that a task holds as words and ids at once
 WORDS_KEPT = 250_000         # words of a generation; a worker keeps two
 OFFSET_ROWS = 200_000        # counts of parts and lengths that are broadcast
-WORD_END = "</w>"            # ends the last token of a word in the vocabulary
 BREAK = "<|endoftext|>"      # parts words in one call; its id cannot come from a word
 
 _WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-_NOT_WHITE = re.compile("[\x1c-\x1f]")           # str.split() takes these for white space too
 _LOWER_LATER = re.compile("[^\x00-\u012f\u0131-\u017f]")   # lower case may depend on neighbours
-_MARKS = ".,;:!?"
+_MARKS = string.punctuation.replace("'", "")     # after letters these are one word to the tokenizer
 
 
 class WordEncoder:
     """Ids of whole texts, as the tokenizer gives them, from the ids of their words.
 
     The tokenizer drops white space and never joins characters across it, so the ids of a text
-    are those of its words in order. Words are looked up; new ones are encoded many at a time.
+    are those of its words in order. The different words of many texts are looked up once, their
+    letters apart from the marks after them. New letters and marks are encoded by the
+    tokenizer's model alone, since the steps before it leave them one word; the rest, by all of it.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -61,78 +63,130 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.split_id = self.tokenizer.token_to_id(BREAK)
-        vocabulary_ids = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ends_word = np.zeros(1 + max(vocabulary_ids.values()), bool)
-        for token, i in vocabulary_ids.items():
-            self.ends_word[i] = token.endswith(WORD_END)
-        self.known: dict[str, bytes] = {}
+        self.packed = [i.to_bytes(4, "little") for i in range(
+            1 + max(self.tokenizer.get_vocab().values()))]
+        splitter = self.tokenizer.pre_tokenizer     # it writes other characters as bytes
+        letters = (chr(c) for c in range(0x80, 0x180) if chr(c).isalpha())
+        self.as_bytes = {ord(c): splitter.pre_tokenize_str(c)[0][0] for c in letters}
+        self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast(
             [text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) > WORDS_KEPT:        # words not used since are forgotten
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = words.difference(known)
-        used = new.intersection(older)
-        known.update((w, older[w]) for w in used)
-        new -= used
-        letters, ended, other = set(), [], []
-        for word in new:
-            if word.isascii() or not _LOWER_LATER.search(word):
-                if word.isalpha():
-                    letters.add(word)
+    def _learn(self, pieces: list[str]) -> None:
+        known, older, packed, tokenize = self.known, self.older, self.packed, self.model.tokenize
+        other = []
+        for piece in pieces:
+            found = older.get(piece)
+            if found is None:
+                if not piece.isalpha() and piece.rstrip(_MARKS):
+                    other.append(piece)
                     continue
-                if word[-1] in _MARKS and word[:-1].isalpha():
-                    ended.append(word)
+                if piece.isascii():
+                    found = b"".join([packed[t.id] for t in tokenize(piece)])
+                elif not _LOWER_LATER.search(piece):
+                    found = b"".join([packed[t.id] for t in tokenize(
+                        piece.translate(self.as_bytes))])
+                else:
+                    other.append(piece)
                     continue
-            other.append(word)
-        letters.update(w[:-1] for w in ended)
-        letters.difference_update(known)
-        self._add(list(letters), " ")       # letters are one word to the tokenizer
-        self._add([w for w in {*other, *(w[-1] for w in ended)} if "<|" not in w and w not in known],
-                  BREAK)
-        for word in ended:                  # and a mark after them is another
-            known[word] = known[word[:-1]] + known[word[-1]]
-        for word in other:
-            if word not in known:
-                known[word] = self._ids(word).tobytes()
-
-    def _add(self, words: list[str], mark: str) -> None:
+            known[piece] = found
+        self._add([w for w in other if "<|" not in w])
+        known.update((w, self._ids(w).tobytes()) for w in other if "<|" in w)
+
+    def _add(self, words: list[str]) -> None:
         """Encodes words many at a time, with a mark between them by which ids are told apart."""
         for k in range(0, len(words), 2000):
             part = words[k:k + 2000]
-            ids = self._ids(mark.join(part))
-            if mark == BREAK:
-                ends = np.append(np.flatnonzero(ids == self.split_id), len(ids))
-                starts = np.append(0, ends[:-1] + 1)
-            else:
-                ends = np.flatnonzero(self.ends_word[ids]) + 1
-                starts = np.append(0, ends[:-1])
+            ids = self._ids(BREAK.join(part))
+            ends = np.append(np.flatnonzero(ids == self.split_id), len(ids))
+            starts = np.append(0, ends[:-1] + 1)
             if len(ends) != len(part):
                 raise ValueError("the tokenizer's ids cannot be told apart by word")
             packed = ids.tobytes()
             self.known.update((w, packed[4 * a:4 * b]) for w, a, b in zip(
                 part, starts.tolist(), ends.tolist()))
 
-    @staticmethod
-    def words(text: str) -> list[str]:
-        if "<|" not in text and (text.isascii() or not _LOWER_LATER.search(text)):
-            text = text.lower()     # the tokenizer does the same; fewer words to know
-        if _NOT_WHITE.search(text):
-            return [w for w in _WHITE.split(text) if w]
-        return text.split()
+    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
+        if len(self.known) > WORDS_KEPT:        # pieces not used since are forgotten
+            self.known, self.older = {"": b""}, self.known
+        known = self.known
+        found = list(map(known.get, pieces))
+        self._learn([p for p, ids in zip(pieces, found) if ids is None])
+        return [known[p] if ids is None else ids for p, ids in zip(pieces, found)]
+
+    def encode_column(self, texts: pa.Array) -> list[memoryview]:
+        """Little-endian 32-bit ids of each text; no text is null."""
+        lists = _words(texts)
+        words = lists.flatten().dictionary_encode()
+        pieces = _letters_and_marks(words.dictionary).dictionary_encode()
+        ids = pa.array(self._piece_ids(pieces.dictionary.to_numpy(zero_copy_only=False).tolist()),
+                       pa.large_binary()).take(pieces.indices)
+        # a word's two pieces lie side by side
+        ends, data = _buffers(ids)
+        ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words.dictionary), [
+            None, pa.py_buffer(ends[::2].copy()), data]).take(words.indices)
+        ends, data = _buffers(ids)
+        at = ends[lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()].tolist()
+        data = memoryview(data)
+        return [data[a:b] for a, b in zip(at[:-1], at[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [self.words(t) for t in texts]
-        self._learn(set().union(*split))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return list(map(bytes, self.encode_column(pa.array(texts, pa.string()))))
+
+
+def _buffers(array: pa.Array) -> tuple[np.ndarray, pa.Buffer]:
+    """Ends of the values of a text or binary array, after a first 0, and their bytes."""
+    kind = np.int64 if pa.types.is_large_string(array.type) or pa.types.is_large_binary(
+        array.type) else np.int32
+    _, ends, data = array.buffers()
+    ends = np.frombuffer(ends, kind)[array.offset:array.offset + len(array) + 1] if len(
+        array) else np.zeros(1, kind)
+    first, last = int(ends[0]), int(ends[-1])
+    return ends - ends[0], (data or pa.py_buffer(b"")).slice(first, last - first)
+
+
+def _lower_later(texts: pa.Array) -> np.ndarray:
+    """Which texts have a character of ``_LOWER_LATER``: U+0180 and more begin with bytes from
+    C6 on, U+0130 is C4 B0."""
+    ends, data = _buffers(texts)
+    signs = np.frombuffer(data, np.uint8)
+    found = signs > 0xc5
+    found[:-1] |= (signs[:-1] == 0xc4) & (signs[1:] == 0xb0)
+    out = np.zeros(len(texts), bool)
+    out[np.searchsorted(ends, np.flatnonzero(found), "right") - 1] = True
+    return out
+
+
+def _words(texts: pa.Array) -> pa.Array:
+    """The words of each text, and maybe empty ones, which have no ids.
+
+    They are in lower case where the tokenizer lowers each character alone; there are fewer then.
+    """
+    kept = _lower_later(texts) | np.asarray(pc.match_substring(texts, "<|"))
+    texts = pc.if_else(pa.array(kept), texts, pc.utf8_lower(texts))
+    signs = np.frombuffer(_buffers(texts)[1], np.uint8)
+    if ((signs > 0x1b) & (signs < 0x20)).any():     # white space to Arrow, not to the tokenizer
+        return pa.array([_WHITE.split(t) for t in texts.to_pylist()], pa.list_(texts.type))
+    return pc.utf8_split_whitespace(texts)
+
+
+def _letters_and_marks(words: pa.Array) -> pa.Array:
+    """Two pieces of each word: lower-case letters, and the marks after them. Of any other
+    word they are the word as it is, and nothing."""
+    lower = pc.utf8_lower(words)
+    letters = pc.utf8_rtrim(lower, _MARKS)
+    split = ~_lower_later(words) & np.asarray(pc.utf8_is_alpha(letters))
+    words = pc.if_else(pa.array(split), lower, words)
+    ends, data = _buffers(words)
+    cuts = np.empty(2 * len(words) + 1, ends.dtype)
+    cuts[::2] = ends
+    cuts[1::2] = np.where(split, ends[:-1] + np.asarray(pc.binary_length(letters)), ends[1:])
+    return pa.Array.from_buffers(words.type, 2 * len(words), [None, pa.py_buffer(cuts), data])
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -166,9 +220,9 @@ def cut_pieces(docs: DataFrame, vocabulary_path: str, size: int = SIZE, end_id:
             column = batch.column(1)
             for first, last in row_portions(column, PORTION_BYTES):
                 owner, number, begin, length, ids, nth = [], [], [], [], [], []
-                coded = encoder.encode(column.slice(first, last - first).to_pylist())
+                coded = encoder.encode_column(column.slice(first, last - first))
                 for row, found in enumerate(coded, first):
-                    found += end
+                    found = b"".join((found, end))
                     for k, at in enumerate(range(0, len(found), 4 * size)):
                         piece = found[at:at + 4 * size]
                         n = len(piece) // 4

@@ -5,6 +5,7 @@ from collections import defaultdict
 from itertools import combinations as choose
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -46,6 +47,27 @@ def test_few_known_words_change_nothing(library, monkeypatch):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library_ids(library, text)[:-1]
 
 
+def test_letters_and_marks_take_the_model_alone(library, monkeypatch):
+    encoder = packing.WordEncoder(open(PATH, encoding="utf-8").read())
+    monkeypatch.setattr(encoder, "_ids", lambda text: pytest.fail(text))
+    letters = [chr(c) for c in range(0x180) if c != 0x130 and chr(c).isalpha()]
+    texts = ["Plain words, ended: by.. marks?! *** <| (", "Ünï ÇÀ.###  _", *letters,
+             *(f"x{c}Y{mark}" for c in letters for mark in ("", ".", "_-\"", "<|"))]
+    for text, found in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(found, "<u4").tolist() == library_ids(library, text)[:-1], repr(text)
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_texts_of_a_slice_are_told_apart(library, kind):
+    encoder = packing.WordEncoder(open(PATH, encoding="utf-8").read())
+    texts = ["left out é", "", "  ", *ODD, "Слово ABC, Abc<|ENDOFTEXT|> É.", "Same Same same", "", "left out"]
+    column = pa.array(texts, kind).slice(1, len(texts) - 2)
+    found = encoder.encode_column(column)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [
+        library_ids(library, t)[:-1] for t in texts[1:-1]]
+    assert [bytes(x) for x in encoder.encode_column(pa.array(["", ""], kind))] == [b"", b""]
+
+
 def test_fullest_combination_against_all_subsets():
     rng = random.Random(1)
     for _ in range(300):
