@@ -568,8 +568,9 @@ def _clean_split(spark, sf, schedule=None):
     """
     key = (spark.sparkContext.applicationId, sf)
     if key not in _SPLITS:
+        given = () if schedule is None else (schedule,)
         _SPLITS[key] = stage(training.hash_split(
-            training.clean_training(_training(spark, sf, schedule)), _row_key()), "labelled")
+            training.clean_training(_training(spark, sf, *given)), _row_key()), "labelled")
     return _SPLITS[key]
 
 
