@@ -29,9 +29,6 @@ _ALL: dict[str, Query] = {}
 
 DATE = "20240101"
 
-# The forest is fitted on about so many labelled rows, at its full size of 400 trees.
-FOREST_ROWS = 1000
-
 _MODELS: dict[tuple[str, str], str] = {}      # saved models of this application, by folder
 _SPLITS: dict[tuple[str, str], DataFrame] = {}      # its labelled rows, written once by folder
 
@@ -575,13 +572,12 @@ def _clean_split(spark, sf, schedule=None):
 
 
 def _model(spark, sf, schedule=None):
-    """The delay model of a data folder, fitted once, saved and loaded from there on."""
+    """The delay model of a data folder, fitted once on all its training rows, saved and loaded from
+    there on."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
         rows = _clean_split(spark, sf, schedule).filter("is_train")
-        part = F.pmod(F.xxhash64(_row_key()), F.lit(1 << 20)) / float(1 << 20)
-        sample = rows.filter(part < FOREST_ROWS / max(rows.count(), 1)).coalesce(8)
-        _MODELS[key] = save_model(model.fit_delay_model(sample), new_folder(spark, "model"))
+        _MODELS[key] = save_model(model.fit_delay_model(rows), new_folder(spark, "model"))
     return load_model(_MODELS[key])
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geo import GEODISTANCE
@@ -11,6 +10,7 @@ from ..functions.times import (calendar_features, clock_text, day_start_sql,
 from ..operators.arrivals import (actual_delay, arrivals_by_radius, arrivals_by_visit,
                                   back_project, score_arrivals)
 from ..operators.asof import match_schedule, nearest_intervals, next_intervals
+from ..operators.forest import DelayForest
 from ..operators.model import score
 from ..operators.motion import advance, ewma_speed, heuristic_delay, link_pings
 from ..operators.nearest import nearest_stop
@@ -55,7 +55,7 @@ def enrich(pings: DataFrame, stops: DataFrame, schedule: DataFrame, *,
     }).drop("scheduled_s")
 
 
-def score_enriched(enriched: DataFrame, model: PipelineModel | None) -> DataFrame:
+def score_enriched(enriched: DataFrame, model: DelayForest | None) -> DataFrame:
     """Add ``predicted_delay_ml``. A ping without a scheduled time waits 0 seconds."""
     wait = F.coalesce(F.col("scheduled_epoch_s") - F.col("event_s"), F.lit(0)).cast("double")
     return score(enriched.withColumn("seconds_to_scheduled", wait), model,

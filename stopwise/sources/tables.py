@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.forest import DelayForest
 from ..schemas import LIVE_STATUS, TRAINING
 
 
@@ -32,13 +32,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
-    return path
+def save_model(model: DelayForest, path: str) -> str:
+    return model.save(path)
 
 
-def load_model(path: str | None) -> PipelineModel | None:
-    """The saved pipeline, or None when there is none: callers then show the heuristic only."""
+def load_model(path: str | None) -> DelayForest | None:
+    """The saved forest, or None when there is none: callers then show the heuristic only."""
     if not path:
         return None
     spark = SparkSession.active()
@@ -48,4 +47,4 @@ def load_model(path: str | None) -> PipelineModel | None:
         if "PATH_NOT_FOUND" in str(missing):
             return None
         raise
-    return PipelineModel.load(path)
+    return DelayForest.load(spark, path)
