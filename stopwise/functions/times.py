@@ -11,13 +11,15 @@ from ..settings import DAY_S
 
 
 def service_seconds(text: str) -> Column:
-    """``H:M:S`` to seconds since service midnight; the hour may pass 23. Malformed gives null."""
-    t = f"trim({text})"
-    h, m, s = (f"try_cast({part} AS int)" for part in (
-        f"substring_index({t}, ':', 1)", f"substring_index(substring_index({t}, ':', 2), ':', -1)",
-        f"substring_index({t}, ':', -1)"))
-    return F.expr(f"""CASE WHEN length({t}) - length(replace({t}, ':', '')) = 2 AND {h} >= 0
-        AND {m} BETWEEN 0 AND 59 AND {s} BETWEEN 0 AND 59 THEN {h} * 3600 + {m} * 60 + {s} END""")
+    """``H:M:S`` to seconds since service midnight; the hour may pass 23. Malformed gives null.
+
+    The text occurs once in the expression: where it is made from other columns, several copies of that
+    make a method too long to be compiled.
+    """
+    parts = f"transform(split(trim({text}), ':'), x -> try_cast(x AS int))"
+    return F.expr(f"""transform(array({parts}), p -> CASE WHEN size(p) = 3 AND get(p, 0) >= 0
+        AND get(p, 1) BETWEEN 0 AND 59 AND get(p, 2) BETWEEN 0 AND 59
+        THEN get(p, 0) * 3600 + get(p, 1) * 60 + get(p, 2) END)[0]""")
 
 
 def two_digits(number: str) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.geo import HAVERSINE, MIN_DEGREE_M, Metric
 from ..settings import BROADCAST_ROWS, GRID_LEVELS, SALTS
-from .joins import Dimension, join_dimension
+from .joins import Dimension, hold, join_dimension
 from .stop_tree import STOP as _STOP, TREE_STOPS, far_stop
 
 _FOUND = ("struct<line:double,stop_sequence:int,stop_id:string,stop_name:string,"
@@ -68,11 +68,13 @@ def nearest_stop(
     lower sequence, then the lower stop_id. A ping without a position, or whose ``by`` no stop
     shares, is left out. Works on a stream: no shuffle, no window.
     Candidates are ranked by straight lines in space, which takes no trigonometry per
-    candidate; the distance itself is computed once, for the stop found.
+    candidate; the distance itself is computed once, for the stop found. The tree and the cells
+    are made from stops that are held, since a timetable may have to be read for them.
     """
     by, kept = by or [], pings.columns
-    far = far_stop(stops.select(*by, *_STOP), by, metric, tree_stops, max_rows=max_rows, salts=salts)
-    cells = Dimension(grid_stops(stops.select(*by, *_STOP), by, levels, metric),
+    stops = hold(stops.select(*by, *_STOP))
+    far = far_stop(stops, by, metric, tree_stops, max_rows=max_rows, salts=salts)
+    cells = Dimension(grid_stops(stops, by, levels, metric),
                       "size(near_stops)") if levels else None
     line = "(s.x - _x) * (s.x - _x) + (s.y - _y) * (s.y - _y) + (s.z - _z) * (s.z - _z)"
     best = (f"array_min(transform(near_stops, s -> struct({line} AS line, "
