@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.geo import geodistance_m
 from ..functions.labels import eta_seconds
 from ..functions.times import day_start_sql, second_of_day_sql
+from ..session import stage
 from ..settings import ARRIVAL_RADIUS_M, PREDICTION_AGE_S, SEGMENT_S
 from .asof import match_schedule, nearest_intervals
 from .joins import join_dimension
@@ -21,15 +22,19 @@ def arrivals_by_radius(matched: DataFrame, radius_m: float = ARRIVAL_RADIUS_M) -
 
 
 def arrivals_by_visit(matched: DataFrame, radius_m: float = ARRIVAL_RADIUS_M, *,
-                      gap_s: int = 600, segment_s: int = SEGMENT_S) -> DataFrame:
+                      gap_s: int = 600, segment_s: int = SEGMENT_S, staged: bool = False) -> DataFrame:
     """First time of every visit: a new one starts after a gap in the close pings.
 
     Whether a close ping starts a visit depends on the one before it only, so segments
-    need the last close second of the segment before and nothing else.
+    need the last close second of the segment before and nothing else. The close pings are
+    read twice, for the segments and for their summaries. When ``staged`` they are written once
+    to the shared folder first.
     """
     close = (matched.filter(F.col("distance_m") < radius_m)
-             .select("codBus", "stop_id", "timestamp", "event_s")
-             .withColumn("segment", segment_of(F.col("event_s"), segment_s)))
+             .select("codBus", "stop_id", "timestamp", "event_s"))
+    if staged:
+        close = stage(close, "close")
+    close = close.withColumn("segment", segment_of(F.col("event_s"), segment_s))
     inside = Window.partitionBy("codBus", "stop_id", "segment").orderBy("event_s")
     along = Window.partitionBy("codBus", "stop_id").orderBy("segment")
     keys = ["codBus", "stop_id", "segment"]

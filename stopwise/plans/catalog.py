@@ -408,7 +408,7 @@ def arrivals_radius(spark, sf):
 
 @query
 def arrivals_visit(spark, sf):
-    return shown(arrivals.arrivals_by_visit(_matched(spark, sf)))
+    return shown(arrivals.arrivals_by_visit(_matched(spark, sf), staged=True))
 
 
 @query

@@ -4,7 +4,10 @@ import io
 import re
 from contextlib import redirect_stdout
 
+from pyspark.sql import functions as F
+
 from stopwise.functions.times import service_seconds, two_digits
+from stopwise.operators.arrivals import arrivals_by_visit
 from stopwise.operators.nearest import nearest_stop
 
 JIT_BYTES = 8000        # the JVM only interprets longer methods
@@ -61,3 +64,12 @@ def test_nearest_stop_reads_its_stops_once(spark):
     watched, made = counted(spark, stops(spark))
     got = nearest_stop(pings(spark), watched).select("codBus", "event_s", "stop_id").collect()
     assert len(got) == 40 and made.value == 9
+
+
+def test_visits_read_matched_pings_once(spark):
+    matched = nearest_stop(pings(spark), stops(spark))
+    watched, made = counted(spark, matched.select("codBus", "stop_id", "timestamp", "event_s", "distance_m"))
+    staged = arrivals_by_visit(watched, staged=True)
+    assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, arrivals_by_visit(matched).collect()))
+    assert made.value == 40 and staged.count() > 4
+    assert staged.agg(F.min("actual_time")).first()[0] is not None
